@@ -34,7 +34,7 @@ def detect_anomalies(df: DataFrame, plan: DetectionPlan = DetectionPlan()) -> Da
     Without ``id_columns`` all columns together identify a row, which holds for
     de-duplicated sales.
     """
-    ids = list(plan.id_columns) or list(df.columns)
+    ids = list(plan.id_columns) or sorted(df.columns, key=lambda c: c != "Time")  # time of day breaks date ties first
     flagged = statistical_outliers(df, list(plan.outlier_columns), plan.outlier_method, plan.outlier_threshold)
     if plan.forest_columns:
         flagged = isolation_forest(

@@ -67,12 +67,13 @@ def infer_types(text: DataFrame, tokens: list[str]) -> T.StructType:
     tests = []
     for i, name in enumerate(text.columns):
         cell = _known(F.col(q(name)), tokens)
+        text_of = F.trim(cell)
+        number = text_of.try_cast("double").isNotNull() & ~text_of.rlike("[dDfF]$")
         tests += [
             F.count_if(cell.isNull()).alias(f"gaps{i}"),
-            F.bool_and(F.trim(cell).rlike(r"^[+-]?\d{1,18}$")).alias(f"whole{i}"),
-            F.bool_and(F.trim(cell).try_cast("double").isNotNull() & ~F.trim(cell).rlike("[dDfF]$"))
-            .alias(f"number{i}"),
-            F.bool_and(F.trim(cell).isin("True", "False", "TRUE", "FALSE", "true", "false")).alias(f"truth{i}"),
+            F.bool_and(text_of.rlike(r"^[+-]?\d{1,18}$")).alias(f"whole{i}"),
+            F.bool_and(F.when(cell.isNotNull(), number)).alias(f"number{i}"),
+            F.bool_and(text_of.isin("True", "False", "TRUE", "FALSE", "true", "false")).alias(f"truth{i}"),
         ]
     seen = text.agg(*tests).first()
     fields = []
