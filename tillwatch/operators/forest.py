@@ -9,10 +9,12 @@ and rows are scored in Arrow batches without any shuffle.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -20,6 +22,9 @@ from ..schema import q, require_columns, require_list
 from ..session import materialize
 from .quantiles import as_number, exact_quantiles
 
+# Executors get this module's functions with the task, so they need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, length double"
 _OVERSAMPLE = 1.5  # draws beyond the sample size, cut back to it exactly per tree
 _EULER = 0.5772156649015329
@@ -69,7 +74,7 @@ def grow_tree(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> l
         if depth >= max_depth or len(part) <= 1 or not len(able):
             nodes[number] = (number, -1, 0.0, -1, -1, float(depth + average_path(len(part))))
             continue
-        feature = int(rng.choice(able))
+        feature = int(able[rng.integers(len(able))])
         cut = float(rng.uniform(low[feature], high[feature]))
         goes_left = part[:, feature] <= cut
         left, right = len(nodes), len(nodes) + 1
@@ -92,29 +97,58 @@ def fit_forest(samples: DataFrame, features: int, sample: int, seed: int) -> pd.
         return pd.DataFrame([(tree, *n) for n in nodes],
                             columns=["tree", "node", "feature", "cut", "left", "right", "length"])
 
-    return samples.groupBy("tree").applyInPandas(grow, _NODE_SCHEMA).toPandas()
-
+    # An explicit count keeps AQE from coalescing the few sampled rows into one task.
+    tasks = max(1, samples.sparkSession.sparkContext.defaultParallelism)
+    return samples.repartition(tasks, "tree").groupBy("tree").applyInPandas(grow, _NODE_SCHEMA).toPandas()
 
-def path_lengths(forest: list[tuple], points: np.ndarray) -> np.ndarray:
-    """Mean path length of each point over all trees, level by level."""
-    total = np.zeros(len(points))
-    rows = np.arange(len(points))
-    for feature, cut, left, right, length, depth in forest:
-        at = np.zeros(len(points), dtype=np.int64)
-        for _ in range(depth):
-            f = feature[at]
-            inner = f >= 0
-            value = points[rows, np.where(inner, f, 0)]
-            at = np.where(inner, np.where(value <= cut[at], left[at], right[at]), at)
-        total += length[at]
-    return total / len(forest)
 
+def pack_forest(nodes: pd.DataFrame, max_depth: int) -> tuple:
+    """All trees as complete binary trees side by side: ``feature, cut, length, depth``.
 
-def _pack(nodes: pd.DataFrame, max_depth: int) -> list[tuple]:
-    packed = []
-    for _, tree in nodes.sort_values(["tree", "node"]).groupby("tree"):
-        packed.append((*[tree[c].to_numpy() for c in ("feature", "cut", "left", "right", "length")], max_depth))
-    return packed
+    One row per tree; ``length`` belongs to the places of the last level.  A leaf
+    above it is repeated down its left side with an infinite cut, so every point
+    takes the same number of steps without branching.
+    """
+    trees = int(nodes["tree"].nunique())
+    inner, width = (1 << max_depth) - 1, 1 << max_depth
+    feature = np.zeros((trees, inner), dtype=np.int32)
+    cut = np.full((trees, inner), np.inf)
+    length = np.zeros((trees, width))
+    for t, (_, tree) in enumerate(nodes.sort_values(["tree", "node"]).groupby("tree")):
+        rows = list(tree[["feature", "cut", "left", "right", "length"]].itertuples(index=False))
+        todo = [(0, 0)]
+        while todo:
+            node, place = todo.pop()
+            f, c, left, right, depth_value = rows[node]
+            if f >= 0:
+                feature[t, place], cut[t, place] = f, c
+                todo += [(int(left), 2 * place + 1), (int(right), 2 * place + 2)]
+                continue
+            while place < inner:
+                place = 2 * place + 1
+            length[t, place - inner] = depth_value
+    return feature, cut, length, max_depth
+
+
+def path_lengths(forest: tuple, points: np.ndarray, chunk: int = 2048) -> np.ndarray:
+    """Mean path length of each point over all trees: all trees step down together."""
+    feature, cut, length, depth = forest
+    trees, inner = feature.shape
+    feature, cut, length = feature.ravel(), cut.ravel(), length.ravel()
+    base = np.arange(trees, dtype=np.int32) * np.int32(inner)
+    out = np.empty(len(points))
+    for start in range(0, len(points), chunk):
+        part = points[start:start + chunk]
+        row = (np.arange(len(part), dtype=np.int32) * np.int32(part.shape[1]))[:, None]
+        flat = np.ascontiguousarray(part).ravel()
+        at = np.zeros((len(part), trees), dtype=np.int32)
+        for _ in range(depth):
+            place = at + base
+            right = flat[row + feature[place]] > cut[place]
+            at = 2 * at + 1 + right
+        leaf = at - inner + np.arange(trees, dtype=np.int32) * np.int32(inner + 1)
+        out[start:start + chunk] = length[leaf].mean(axis=1)
+    return out
 
 
 def isolation_forest(
@@ -146,7 +180,7 @@ def isolation_forest(
     sample = min(sample, rows)
     nodes = fit_forest(tree_samples(whole, features, ids, rows, trees, sample, seed), len(features), sample, seed)
     forest = df.sparkSession.sparkContext.broadcast(
-        _pack(nodes, max(1, math.ceil(math.log2(max(sample, 2))))))
+        pack_forest(nodes, max(1, math.ceil(math.log2(max(sample, 2))))))
     scale = max(float(average_path(sample)), 1e-12)
 
     @F.pandas_udf("double")
