@@ -184,17 +184,18 @@ def isolation_forest(
     scale = max(float(average_path(sample)), 1e-12)
 
     @F.pandas_udf("double")
-    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for columns in batches:
-            points = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        for batch in batches:
+            points = batch.to_numpy(dtype=float)
             known = ~np.isnan(points).any(axis=1)
             out = np.full(len(points), np.nan)
             if known.any():
                 out[known] = -np.exp2(-path_lengths(forest.value, points[known]) / scale)
             yield pd.Series(out)  # NaN becomes null on the way back
 
+    point = F.struct(*[as_number(df, c).alias(f"x{i}") for i, c in enumerate(features)])
     # Written once: the quantile passes below read only the score column of the result.
-    scored = materialize(df.withColumn("__score", score(*[as_number(df, c) for c in features])), "scored")
+    scored = materialize(df.withColumn("__score", score(point)), "scored")
     offset = exact_quantiles(scored, ["__score"], [contamination])["__score"][0]
     margin = F.col("__score") - F.lit(offset)
     return scored.withColumns({
