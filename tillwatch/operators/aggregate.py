@@ -12,7 +12,7 @@ from ..functions.aggregates import ORDERED, QUANTILES, SIMPLE, ordered_end
 from ..functions.bins import SALES_LABELS
 from ..schema import column_type, q, require_columns, require_list
 from ..session import materialize
-from .quantiles import grouped_quantile
+from .quantiles import DIRECT_ROWS, as_number, grouped_quantile
 
 
 @dataclass(frozen=True)
@@ -70,6 +70,7 @@ def aggregate(
     simple: list[Column] = []
     outputs: list[str] = []
     joined: list[DataFrame] = []
+    quantiles: dict[str, tuple[str, float]] = {}
     for column, functions in agg_functions.items():
         for function in functions:
             name = _function_name(function)
@@ -88,10 +89,20 @@ def aggregate(
                     raise ValueError(f"{name} needs order_by")
                 simple.append(ordered_end(name, column, order_by).alias(output))
             elif name in QUANTILES:
-                joined.append(grouped_quantile(rows, keys, column, QUANTILES[name], output))
+                quantiles[output] = (column, QUANTILES[name])
             else:
                 raise ValueError(f"unknown aggregate function {name!r}")
 
+    if quantiles and _largest_group(rows, keys) <= DIRECT_ROWS:
+        simple += [F.percentile(as_number(rows, c), p).alias(o) for o, (c, p) in quantiles.items()]
+    elif quantiles:
+        twins: dict[tuple[str, float], list[str]] = {}
+        for output, wanted in quantiles.items():
+            twins.setdefault(wanted, []).append(output)
+        for (column, prob), (first, *others) in twins.items():
+            part = grouped_quantile(rows, keys, column, prob, first)
+            joined.append(part.select("*", *[F.col(q(first)).alias(o) for o in others]))
+
     result = rows.groupBy(*names).agg(*(simple or [F.count(F.lit(1)).alias("__n")]))
     for part in joined:  # one row per group on both sides
         result = result.join(part, keys, "left")
@@ -106,6 +117,10 @@ def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.filter(test)
 
 
+def _largest_group(rows: DataFrame, keys: list[str]) -> int:
+    return rows.groupBy(*[q(k) for k in keys]).count().agg(F.max("count")).first()[0] or 0
+
+
 def _function_name(function) -> str:
     if isinstance(function, str):
         return function
@@ -147,7 +162,7 @@ def _merge_groups(rows, keys, column, function: Mergeable, output) -> DataFrame:
 
 def _whole_groups(rows, keys, column, function: WholeGroup, output) -> DataFrame:
     names = [q(k) for k in keys]
-    largest = rows.groupBy(*names).count().agg(F.max("count")).first()[0] or 0
+    largest = _largest_group(rows, keys)
     if largest > function.max_rows:
         raise ValueError(f"{function.name}: a group holds {largest} rows; use Mergeable or a Column function")
     call = function.function

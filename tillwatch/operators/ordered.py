@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.window import Window
 
 from ..functions.flags import beyond
@@ -39,16 +39,23 @@ class Block:
     number: int
     start: int
     end: int
+    parts: list  # (first index, summary row) of the ranges it is made of
 
 
 def range_blocks(
-    df: DataFrame, order_by: list[str], min_rows: int = 1, blocks: int | None = None
+    df: DataFrame,
+    order_by: list[str],
+    min_rows: int = 1,
+    blocks: int | None = None,
+    summary: dict[str, Column] | None = None,
 ) -> tuple[DataFrame, list[Block]]:
     """Number all rows by ``order_by`` and group them into blocks of consecutive rows.
 
     Adds ``__idx`` (0-based global position), ``__block`` and ``__end`` (index
     behind the block's last row).  Every block but the last has at least
     ``min_rows`` rows.  Without ``blocks`` AQE sizes the ranges from the data.
+    ``summary`` aggregates (over ``__pos``, the position within a range) are
+    computed in the pass that counts the ranges and kept in ``Block.parts``.
     """
     order = sort_columns(order_by)
     require_columns(df, order_by)
@@ -61,13 +68,16 @@ def range_blocks(
         "ranged",
     )
     # One row per range partition, never per data row.
-    sizes = [(r["__part"], r["count"]) for r in stored.groupBy("__part").count().orderBy("__part").collect()]
-    found, layout, offset = [], [], 0
-    for part, size in sizes:
+    seen = stored.groupBy("__part").agg(
+        F.count(F.lit(1)).alias("__rows"), *[c.alias(n) for n, c in (summary or {}).items()])
+    found: list[Block] = []
+    layout, offset = [], 0
+    for row in sorted(seen.collect(), key=lambda r: r["__part"]):
         if not found or found[-1].end - found[-1].start >= min_rows:
-            found.append(Block(len(found), offset, offset))
-        layout.append((part, found[-1].number, offset))
-        offset += size
+            found.append(Block(len(found), offset, offset, []))
+        found[-1].parts.append((offset, row))
+        layout.append((row["__part"], found[-1].number, offset))
+        offset += row["__rows"]
         found[-1].end = offset
     rows = [(part, number, start, found[number].end) for part, number, start in layout]
     table = df.sparkSession.createDataFrame(rows, "__part int, __block int, __start long, __end long")
@@ -88,10 +98,17 @@ def _with_frames(
     indexed, found = range_blocks(df, order_by, min_rows=max(window - 1, 1), blocks=blocks)
     rows = indexed.withColumn("__halo", F.lit(False))
     if len(found) > 1 and window > 1:
+        # Border rows only feed frames, so their other columns are not even read.
+        needed = {value_column, "__idx"}
         tails = (
             indexed.filter(F.col("__idx") >= F.col("__end") - F.lit(window - 1))
             .filter(F.col("__block") < F.lit(found[-1].number))
-            .withColumns({"__block": F.col("__block") + 1, "__halo": F.lit(True)})
+            .select(*[
+                F.col(q(f.name)) if f.name in needed
+                else (F.col("__block") + 1).alias("__block") if f.name == "__block"
+                else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in indexed.schema.fields
+            ], F.lit(True).alias("__halo"))
         )
         rows = rows.unionByName(tails)
     frame = Window.partitionBy("__block").orderBy("__idx").rowsBetween(1 - window, 0)
@@ -181,47 +198,47 @@ def interpolate(
         if columns is None and not able:
             raise ValueError("no numeric or date column to interpolate")
         return df
-    indexed, found = range_blocks(df, order_by, blocks=blocks)
-    points = {c: F.when(F.col(q(c)).isNotNull(), F.struct(F.col("__idx").alias("i"), _position(df, c).alias("v")))
-              for c in chosen}
-    carried = _carry(indexed, found, points)
+    def points(place: str) -> dict[str, Column]:
+        return {c: F.when(F.col(q(c)).isNotNull(), F.struct(F.col(place).alias("i"), _position(df, c).alias("v")))
+                for c in chosen}
+
+    ends = {}
+    for n, point in enumerate(points("__pos").values()):
+        ends |= {f"last{n}": F.max(point), f"first{n}": F.min(point)}
+    indexed, found = range_blocks(df, order_by, blocks=blocks, summary=ends)
+    carried = _carry(df.sparkSession, found, len(chosen))
+    known = points("__idx")
     rows = indexed.join(F.broadcast(carried), "__block")
     forward = Window.partitionBy("__block").orderBy("__idx").rowsBetween(Window.unboundedPreceding, 0)
     backward = Window.partitionBy("__block").orderBy(F.col("__idx").desc()).rowsBetween(Window.unboundedPreceding, 0)
     near = {}
     for n, c in enumerate(chosen):
-        near[f"__p{n}"] = F.coalesce(F.last(points[c], ignorenulls=True).over(forward), F.col(f"__before{n}"))
-        near[f"__n{n}"] = F.coalesce(F.last(points[c], ignorenulls=True).over(backward), F.col(f"__after{n}"))
+        near[f"__p{n}"] = F.coalesce(F.last(known[c], ignorenulls=True).over(forward), F.col(f"__before{n}"))
+        near[f"__n{n}"] = F.coalesce(F.last(known[c], ignorenulls=True).over(backward), F.col(f"__after{n}"))
     rows = rows.withColumns(near)
     filled = {c: _restore(df, c, _between(F.col(f"__p{n}"), F.col(f"__n{n}"))) for n, c in enumerate(chosen)}
     return rows.withColumns(filled).select(*[q(c) for c in df.columns])
 
 
-def _carry(indexed: DataFrame, found: list[Block], points: dict[str, Column]) -> DataFrame:
+def _carry(spark: SparkSession, found: list[Block], width: int) -> DataFrame:
     """For every block: nearest known point before it and after it, per column."""
-    ends = []
-    for n, point in enumerate(points.values()):
-        ends += [F.max(point).alias(f"last{n}"), F.min(point).alias(f"first{n}")]
-    seen = {r["__block"]: r for r in indexed.groupBy("__block").agg(*ends).collect()}  # one row per block
-    width = len(points)
-    before, after = {}, {}
-    known = [None] * width
-    for block in found:
-        before[block.number] = list(known)
-        known = [_pair(seen[block.number][f"last{n}"]) or known[n] for n in range(width)]
-    known = [None] * width
-    for block in reversed(found):
-        after[block.number] = list(known)
-        known = [_pair(seen[block.number][f"first{n}"]) or known[n] for n in range(width)]
+    def walk(blocks, name):
+        nearest, result = [None] * width, {}
+        for block in blocks:
+            result[block.number] = list(nearest)
+            parts = block.parts if name == "last" else reversed(block.parts)
+            for start, row in parts:
+                for n in range(width):
+                    point = row[f"{name}{n}"]
+                    nearest[n] = (start + point["i"], point["v"]) if point else nearest[n]
+        return result
+
+    before, after = walk(found, "last"), walk(reversed(found), "first")
     rows = [(b.number, *before[b.number], *after[b.number]) for b in found]
     point_type = T.StructType([T.StructField("i", T.LongType()), T.StructField("v", T.DoubleType())])
     schema = T.StructType([T.StructField("__block", T.IntegerType())] + [
         T.StructField(f"__{side}{n}", point_type) for side in ("before", "after") for n in range(width)])
-    return indexed.sparkSession.createDataFrame(rows, schema)
-
-
-def _pair(point):
-    return None if point is None else (point["i"], point["v"])
+    return spark.createDataFrame(rows, schema)
 
 
 def _between(before: Column, after: Column) -> Column:

@@ -5,12 +5,13 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.reporting import anomaly_report
-from ..session import list_dirs, materialize
+from ..session import list_dirs, materialize, scratch_scope
 from ..sources.csv import read_sales
 from ..sources.sinks import drop_expired, write_anomaly_report, write_csv, write_parquet
 from .detect import DetectionPlan, detect_anomalies
@@ -92,7 +93,8 @@ def run_job(
 ) -> JobResult:
     """One run over ``source`` (or the configured input file).
 
-    The transformed rows are written once and feed detection and reporting.
+    The transformed rows are written once and feed detection and reporting;
+    intermediates are gone when the run ends, and the result reads the outputs.
     Row counts come from an observation on the first scan and from the written
     tables' footers.  A failing detection is recorded and the run goes on with
     the unflagged table; any other failure ends the run with ``success=False``.
@@ -100,7 +102,8 @@ def run_job(
     result = JobResult(start_time=dt.datetime.now())
     stamp = run_ts or result.start_time
     try:
-        _run(spark, config, stamp, source, result)
+        with scratch_scope(spark):
+            _run(spark, config, stamp, source, result)
         result.success = all(s.success for s in result.stages)
     except Exception as failure:
         result.error = str(failure)
@@ -120,14 +123,10 @@ def _run(spark, config, stamp, source, result) -> None:
 
     if config.enable_anomaly_detection:
         table = _detect(spark, config, stamp, table, result)
-    result.table = table
+    result.table = _save(spark, table, _at(config.processed_path, config.output_file))
 
     if config.enable_reporting:
-        result.tables = complete_report(table)
-        for name, part in result.tables.items():
-            dated = part.withColumn("run_date", F.lit(stamp.date()))
-            write_parquet(dated, _at(config.reports_path, name), ["run_date"])
-        result.stages.append(Stage("reporting", True, len(result.tables)))
+        _report(spark, config, stamp, table, result)
 
     removed = 0
     for name in list_dirs(spark, config.reports_path):
@@ -137,18 +136,39 @@ def _run(spark, config, stamp, source, result) -> None:
     result.stages.append(Stage("cleanup", True, removed))
 
 
+def _save(spark, table, path) -> DataFrame:
+    """Write by the path's ending and return the written table."""
+    reader = spark.read.schema(table.schema)
+    if path.endswith(".csv"):
+        write_csv(table, path)
+        return reader.option("header", True).csv(path)
+    write_parquet(table, path)
+    return reader.parquet(path)
+
+
 def _detect(spark, config, stamp, table, result) -> DataFrame:
     try:
         flagged = materialize(detect_anomalies(table, config.detection_plan()), "flagged")
-        path = _at(config.processed_path, config.output_file)
-        if path.endswith(".csv"):
-            write_csv(flagged, path)
-        else:
-            write_parquet(flagged, path)
-        write_anomaly_report(
-            anomaly_report(flagged), _at(config.reports_path, "anomaly_report"), stamp.isoformat(sep="T")[:19].replace(":", "-"))
+        run = stamp.strftime("%Y-%m-%dT%H-%M-%S")
+        write_anomaly_report(anomaly_report(flagged), _at(config.reports_path, "anomaly_report"), run)
         result.stages.append(Stage("anomaly_detection", True, flagged.count(), len(flagged.columns)))
         return flagged
     except Exception as failure:
         result.stages.append(Stage("anomaly_detection", False, error=str(failure)))
         return table
+
+
+def _report(spark, config, stamp, table, result) -> None:
+    """Write the report tables side by side: each is a few small tasks over the cube."""
+    tables = complete_report(table)
+    day = F.lit(stamp.date())
+
+    def write(name: str) -> DataFrame:
+        path = _at(config.reports_path, name)
+        dated = tables[name].withColumn("run_date", day)
+        write_parquet(dated, path, ["run_date"])
+        return spark.read.schema(dated.schema).parquet(path).filter(F.col("run_date") == day).drop("run_date")
+
+    with ThreadPoolExecutor(4) as pool:
+        result.tables = dict(zip(tables, pool.map(write, tables)))
+    result.stages.append(Stage("reporting", True, len(tables)))

@@ -13,6 +13,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -96,6 +97,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the intermediates made inside the block when it ends."""
+    made = _written.setdefault(spark.sparkContext.applicationId, [])
+    start = len(made)
+    try:
+        yield
+    finally:
+        for path in made[start:]:
+            delete_path(spark, path)
+        del made[start:]
+
+
 def drop_scratch(spark: SparkSession) -> int:
     """Delete this application's intermediates; tables built on them go with it."""
     paths = _written.pop(spark.sparkContext.applicationId, [])
