@@ -48,28 +48,25 @@ def standardize(df: DataFrame, columns: list[str], suffix: str = "_scaled") -> D
     """Add ``(x - mean) / population std`` per feature.
 
     Statistics come from rows complete in all features, and rows that are not
-    complete get null.  A constant feature is divided by one.  The moments are a
-    one-row scalar subquery, computed by a map-side combined aggregate.
+    complete get null.  A constant feature is divided by one.  The moments come
+    from one map-side combined aggregate.
     """
     columns = require_list(columns, "columns")
     require_columns(df, columns)
     complete = _complete(columns)
-    moments = df.filter(complete).agg(F.struct(*[
+    moments = df.filter(complete).agg(*[
         F.struct(
-            F.avg(F.col(q(c)).cast("double")).alias("mean"),
-            F.when(F.min(q(c)) == F.max(q(c)), 1.0)
-            .otherwise(F.stddev_pop(F.col(q(c)).cast("double"))).alias("std"),
-        ).alias(c)
-        for c in columns
-    ]).alias("m")).scalar()
-    return df.withColumns({
-        f"{c}{suffix}": F.when(
-            complete,
-            (F.col(q(c)).cast("double") - moments.getField(c).getField("mean"))
-            / moments.getField(c).getField("std"),
-        )
-        for c in columns
-    })
+            F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), (F.min(x) == F.max(x)).alias("constant"),
+        ).alias(f"x{i}")
+        for i, x in enumerate(F.col(q(c)).cast("double") for c in columns)
+    ]).first()
+    scaled = {}
+    for i, c in enumerate(columns):
+        found = moments[f"x{i}"]
+        spread = 1.0 if found["constant"] else found["std"]
+        centered = F.col(q(c)).cast("double") - F.lit(found["mean"]).cast("double")
+        scaled[f"{c}{suffix}"] = F.when(complete, centered / F.lit(spread).cast("double"))
+    return df.withColumns(scaled)
 
 
 def _complete(columns: list[str]):

@@ -20,7 +20,7 @@ def statistical_outliers(
     """Add ``{column}_outlier`` per present column and their union ``is_outlier``.
 
     All columns share the passes that find the bounds; the flags themselves are
-    comparisons with literals (or a one-row scalar subquery), without shuffle.
+    comparisons with literals, without shuffle.
     Missing values are never outliers.
     """
     columns = require_list(columns, "columns")
@@ -63,19 +63,19 @@ def _iqr(df, columns, limit, quantiles) -> dict[str, Column]:
 
 
 def _zscore(df, columns, limit, _) -> dict[str, Column]:
-    moments = df.agg(F.struct(*[
+    moments = df.agg(*[
         F.struct(
-            F.avg(as_number(df, c)).alias("mean"),
-            # Null for a constant column, whose rounded mean must not flag anything.
-            F.when(F.min(as_number(df, c)) < F.max(as_number(df, c)), F.stddev_pop(as_number(df, c))).alias("std"),
+            F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"), (F.min(x) < F.max(x)).alias("varied"),
         ).alias(f"x{i}")
-        for i, c in enumerate(columns)
-    ]).alias("m")).scalar()
+        for i, x in enumerate(as_number(df, c) for c in columns)
+    ]).first()
     tests = {}
     for i, c in enumerate(columns):
-        one = moments.getField(f"x{i}")
-        score = F.abs(F.try_divide(as_number(df, c) - one.getField("mean"), one.getField("std")))
-        tests[c] = score > F.lit(float(limit))
+        found = moments[f"x{i}"]
+        if found["varied"]:  # else constant: its rounded mean must not flag anything
+            tests[c] = F.abs((as_number(df, c) - F.lit(found["mean"])) / F.lit(found["std"])) > F.lit(float(limit))
+        else:
+            tests[c] = F.lit(False)
     return tests
 
 

@@ -71,20 +71,18 @@ def histogram(df: DataFrame, column: str = "money", bins: int = 30) -> DataFrame
         raise ValueError("bins must be at least 1")
     value = as_number(df, column)
     data = df.select(value.alias("x")).filter(F.col("x").isNotNull())
-    same = F.min("x") == F.max("x")
-    extent = data.agg(F.struct(
-        F.when(same, F.min("x") - 0.5).otherwise(F.min("x")).alias("low"),
-        F.when(same, F.max("x") + 0.5).otherwise(F.max("x")).alias("high"),
-    ).alias("e"))
-    low, high = extent.scalar().getField("low"), extent.scalar().getField("high")
-    width = (high - low) / F.lit(float(bins))
-    number = F.least(F.floor((F.col("x") - low) / width).cast("int") + 1, F.lit(bins))
+    low, high = data.agg(F.min("x"), F.max("x")).first()
+    if low is not None and low == high:
+        low, high = low - 0.5, high + 0.5
+    width = None if low is None else (high - low) / bins
+    start, step = F.lit(low).cast("double"), F.lit(width).cast("double")
+    number = F.least(F.floor((F.col("x") - start) / step).cast("int") + 1, F.lit(bins))
     counts = data.groupBy(number.alias("bin")).agg(F.count("*").alias("n"))
     frame = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
     return frame.join(counts, "bin", "left").select(
         "bin",
-        (low + width * (F.col("bin") - 1)).alias("bin_start"),
-        (low + width * F.col("bin")).alias("bin_end"),
+        (start + step * (F.col("bin") - 1)).alias("bin_start"),
+        (start + step * F.col("bin")).alias("bin_end"),
         F.coalesce("n", F.lit(0)).alias("count"),
     ).orderBy("bin")
 

@@ -13,11 +13,8 @@ def transform_sales(df: DataFrame, trim: bool = True, threshold: float = 1.5, qu
     """Clean, derive, then cut price outliers.
 
     The category is set before the cut, and the quartiles are those of the
-    cleaned rows.  The distinct rows are written once, as the quantile passes
-    and the result all read them.
+    cleaned rows.  The distinct rows are written once: the quantile passes and
+    every use of the result read them, none repeats the de-duplication.
     """
-    cleaned = clean(df)
-    if trim and "money" in df.columns:
-        cleaned = materialize(cleaned, "cleaned")
-    derived = add_calculated_columns(cleaned)
+    derived = add_calculated_columns(materialize(clean(df), "cleaned"))
     return remove_outliers_iqr(derived, "money", threshold, quantiles) if trim else derived
