@@ -140,3 +140,19 @@ def test_incremental_runs_take_only_new_files(spark, tmp_path):
     done = local(read_daily(spark, out), "day")
     assert list(done["day"]) == [dt.date(2024, 1, d) for d in (1, 2, 3, 4)]
     assert set(done["sales"]) == {20.0} and set(done["transactions"]) == {20}
+
+
+def test_incremental_days_are_local_days(spark, tmp_path, folder):
+    """Same days whatever the session's time zone."""
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    before = spark.conf.get("spark.sql.session.timeZone")
+    found = []
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            out, state = str(tmp_path / zone / "out"), str(tmp_path / zone / "state")
+            run_incremental(spark, folder, schema, out, state, transform=sales_view, files="events.parquet")
+            found.append(sorted((r["day"], r["coffee_name"], r["transactions"]) for r in read_daily(spark, out).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert found[0] == found[1] == found[2] and len(found[0]) == 140

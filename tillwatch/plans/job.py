@@ -166,7 +166,7 @@ def _report(spark, config, stamp, table, result) -> None:
     def write(name: str) -> DataFrame:
         path = _at(config.reports_path, name)
         dated = tables[name].withColumn("run_date", day)
-        write_parquet(dated, path, ["run_date"])
+        write_parquet(dated, path, ["run_date"], rebalance=False)  # one day, few rows
         return spark.read.schema(dated.schema).parquet(path).filter(F.col("run_date") == day).drop("run_date")
 
     with ThreadPoolExecutor(4) as pool:

@@ -15,8 +15,17 @@ def write_csv(df: DataFrame, path: str, **options) -> None:
     df.write.mode("overwrite").options(**{"header": True, **options}).csv(path)
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Parquet table; with partitions only those present in ``df`` are replaced."""
+def write_parquet(
+    df: DataFrame, path: str, partition_by: list[str] | None = None, rebalance: bool = True
+) -> None:
+    """Parquet table; with partitions only those present in ``df`` are replaced.
+
+    Rows are rebalanced by the partition columns first, so that not every task
+    writes a file into every partition; AQE splits a partition holding much of
+    the table over several tasks.
+    """
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *[F.col(q(c)) for c in partition_by])
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)

@@ -12,14 +12,18 @@ def daily_totals(
     """Tumbling one-day sums per product; rows later than ``lateness`` are left out.
 
     State holds one row per open day and product, and each batch is combined
-    map-side before it reaches the state.
+    map-side before it reaches the state.  Days are those of the session's time
+    zone, although Spark aligns windows to UTC.
     """
+    zone = sales.sparkSession.conf.get("spark.sql.session.timeZone")
+    wall_clock = F.from_utc_timestamp(F.col(time_column).cast("timestamp"), zone)
+    day = F.date_from_unix_date(F.floor(F.unix_seconds("w.start") / 86400).cast("int"))
     return (
-        sales.withColumn("__ts", F.col(time_column).cast("timestamp"))
+        sales.withColumn("__ts", wall_clock)
         .withWatermark("__ts", lateness)
         .groupBy(F.window("__ts", "1 day").alias("w"), F.col(product))
         .agg(F.sum(value).alias("sales"), F.count(value).alias("transactions"))
-        .select(F.to_date("w.start").alias("day"), F.col(product), "sales", "transactions")
+        .select(day.alias("day"), F.col(product), "sales", "transactions")
     )
 
 
