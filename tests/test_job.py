@@ -34,6 +34,9 @@ def test_full_run(spark, sales_file):
     assert result.success and result.error is None and result.duration is not None
     rows = {s.name: s.rows for s in result.stages}
     assert rows == {"extraction": 200, "transformation": 200, "anomaly_detection": 200, "reporting": 10, "cleanup": 0}
+    assert {k: result.counts[k] for k in ("rows_read", "duplicates_removed", "outliers_removed")} == {
+        "rows_read": 200, "duplicates_removed": 0, "outliers_removed": 0}
+    assert {r["metric"] for r in result.metrics(spark).collect()} >= {"temporal_anomaly", "combined_anomalies"}
     metrics = result.stage_metrics(spark)
     assert metrics.columns == ["stage", "success", "rows", "columns", "error"] and metrics.count() == 5
     flagged = spark.read.option("header", True).csv(f"{cfg.processed_path}/{cfg.output_file}")

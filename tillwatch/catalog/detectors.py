@@ -13,7 +13,7 @@ from ..operators.reporting import anomaly_report, combined_anomalies, label_flag
 from ..plans.detect import DetectionPlan, detect_anomalies
 from ..session import materialize
 from ..sources.views import ORDER_LINE_KEY
-from . import GAPPY, LINES, SALES, gappy, lines, query, rounded, sales
+from . import GAPPY, LINES, gappy, lines, query, rounded, sales
 
 _IQR = """b AS (SELECT quantile_cont(money, 0.25) AS m1, quantile_cont(money, 0.75) AS m3,
              quantile_cont(hour_of_day, 0.25) AS h1, quantile_cont(hour_of_day, 0.75) AS h3 FROM g),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import (
@@ -10,7 +9,7 @@ from ..operators.aggregate import (
 from ..operators.features import sales_category
 from ..operators.quantiles import grouped_quantile, median_abs_dev, quantile_bounds
 from ..operators.tables import describe, histogram, pivot_sum, product_month, unpivot
-from . import CATEGORY, GAPPY, LINES, SALES, gappy, lines, query, rounded, sales
+from . import CATEGORY, GAPPY, LINES, gappy, lines, query, rounded
 
 
 @query("aggregate", f"""WITH {GAPPY}

@@ -12,7 +12,7 @@ from ..plans.report import (
     complete_report, daily_sales, date_range, monthly_sales, sales_by_category, sales_by_period, sales_summary,
     stats_by_product)
 from ..session import scratch_path
-from . import CATEGORY, COPIES, GAPPY, LINES, SALES, copies, gappy, lines, query, rounded, sales
+from . import CATEGORY, COPIES, GAPPY, LINES, copies, gappy, lines, query, rounded
 
 _KPI = """k AS (SELECT round(coalesce(sum(money), 0), 2) AS a, CAST(count(*) AS DOUBLE) AS b, round(avg(money), 6) AS c,
              CAST(count(DISTINCT coffee_name) AS DOUBLE) AS d FROM {t}),
@@ -121,10 +121,36 @@ SELECT 'anomaly_detection', true, kept FROM n UNION ALL
 SELECT 'reporting', true, 10 UNION ALL SELECT 'cleanup', true, 0""")
 def q_job(spark, folder):
     """One run of the daily job, outputs in scratch; rows counted per stage."""
+    return _run(spark, folder).stage_metrics(spark).select("stage", "success", "rows")
+
+
+@query("job_metrics", f"""WITH {COPIES},
+u AS (SELECT DISTINCT * FROM d), c AS (SELECT * FROM u WHERE money IS NOT NULL AND coffee_name IS NOT NULL),
+b AS (SELECT quantile_cont(money, 0.25) AS q1, quantile_cont(money, 0.75) AS q3 FROM c),
+k AS (SELECT c.* FROM c, b WHERE money BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)),
+f AS (SELECT quantile_cont(money, 0.25) AS q1, quantile_cont(money, 0.75) AS q3 FROM k),
+n AS (SELECT (SELECT count(*) FROM d) AS read, (SELECT count(*) FROM u) AS uniq, (SELECT count(*) FROM c) AS whole,
+             (SELECT count(*) FROM k) AS kept,
+             (SELECT count(*) FROM k, f WHERE money < q1 - 1.5 * (q3 - q1) OR money > q3 + 1.5 * (q3 - q1)) AS o,
+             (SELECT count(*) FROM k JOIN (SELECT coffee_name, avg(money) AS a, stddev_samp(money) AS sd FROM k GROUP BY 1)
+                USING (coffee_name) WHERE abs(money - a) > 2 * sd) AS p)
+SELECT 'rows_read' AS metric, read AS "value" FROM n UNION ALL SELECT 'duplicates_removed', read - uniq FROM n UNION ALL
+SELECT 'incomplete_removed', uniq - whole FROM n UNION ALL SELECT 'outliers_removed', whole - kept FROM n UNION ALL
+SELECT 'money_outlier', o FROM n UNION ALL SELECT 'pattern_anomaly', p FROM n UNION ALL
+SELECT 'ungrouped_removed', 0""")
+def q_job_metrics(spark, folder):
+    """Rows each cleaning step removed and the flags that SQL can count too."""
+    table = _run(spark, folder).metrics(spark)
+    shown = ["rows_read", "duplicates_removed", "incomplete_removed", "outliers_removed", "money_outlier",
+             "pattern_anomaly", "ungrouped_removed"]
+    return table.filter(F.col("metric").isin(shown))
+
+
+def _run(spark, folder):
     root = scratch_path(spark, "job")
     config = JobConfig.merged({
         "processed_path": f"{root}/processed", "reports_path": f"{root}/reports", "output_file": "flagged.parquet"})
     result = run_job(spark, config, dt.datetime(2024, 2, 1, 9), source=copies(spark, folder))
     if result.error:
         raise RuntimeError(result.error)
-    return result.stage_metrics(spark).select("stage", "success", "rows")
+    return result

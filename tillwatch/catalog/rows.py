@@ -10,7 +10,7 @@ from ..operators.features import bin_column, calendar_columns, sales_category, s
 from ..operators.filters import filter_all, filter_eq, filter_in, filter_range
 from ..operators.ordered import interpolate
 from ..plans.transform import transform_sales
-from . import CATEGORY, COPIES, GAPPY, LINES, SALES, copies, gappy, lines, query, rounded, sales
+from . import CATEGORY, COPIES, GAPPY, LINES, copies, gappy, lines, query, rounded, sales
 
 _CALENDAR = """CAST(year("Date") AS INTEGER) AS "year", CAST(month("Date") AS INTEGER) AS "month",
        dayname("Date") AS day_of_week, CAST(quarter("Date") AS INTEGER) AS "quarter\""""

@@ -7,8 +7,9 @@ from pyspark.sql import Column, functions as F
 
 def parse_date(col: Column, fmt: str | None = None, strict: bool = True) -> Column:
     """Text to timestamp: raises on bad text when ``strict``, else gives null."""
-    parse = F.to_timestamp if strict else F.try_to_timestamp
-    return parse(col, F.lit(fmt)) if fmt and not strict else parse(col, fmt) if fmt else parse(col)
+    if strict:
+        return F.to_timestamp(col, fmt) if fmt else F.to_timestamp(col)
+    return F.try_to_timestamp(col, F.lit(fmt)) if fmt else F.try_to_timestamp(col)
 
 
 def to_day(col: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..schema import column_type, is_numeric, normalize_missing, numeric_columns, q, require_columns
@@ -82,15 +84,20 @@ def clean(
     handle_missing: str | None = "drop",
     order_by: list | None = None,
     method: str = "exact",
+    watch: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
-    """Duplicates first, then missing values by ``drop``, ``fill`` or ``interpolate``."""
+    """Duplicates first, then missing values by ``drop``, ``fill`` or ``interpolate``.
+
+    ``watch`` may attach an observation to the rows after each step.
+    """
+    watch = watch or (lambda table, step: table)
     if handle_missing not in MISSING_MODES:
         raise ValueError(f"unknown handle_missing {handle_missing!r}")
     df = normalize_missing(df)
     if remove_duplicates:
-        df = drop_duplicates(df)
+        df = watch(drop_duplicates(df), "distinct")
     if handle_missing == "drop":
-        return drop_missing(df)
+        return watch(drop_missing(df), "complete")
     if handle_missing == "fill":
         if remove_duplicates:
             df = materialize(df, "distinct")  # read by several passes below

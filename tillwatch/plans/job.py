@@ -68,6 +68,7 @@ class Stage:
 class JobResult:
     start_time: dt.datetime
     stages: list[Stage] = field(default_factory=list)
+    counts: dict[str, int] = field(default_factory=dict)
     success: bool = False
     error: str | None = None
     end_time: dt.datetime | None = None
@@ -75,6 +76,10 @@ class JobResult:
     table: DataFrame | None = None
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
+    def metrics(self, spark: SparkSession) -> DataFrame:
+        """Rows removed by each cleaning step and rows flagged by each detector."""
+        return spark.createDataFrame(list(self.counts.items()), "metric string, value long")
+
     def stage_metrics(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(
             [(s.name, s.success, s.rows, s.columns, s.error) for s in self.stages],
@@ -114,12 +119,21 @@ def run_job(
 
 def _run(spark, config, stamp, source, result) -> None:
     raw = source if source is not None else read_sales(spark, config.input_file, config.data_path)
-    seen = Observation("extraction")
-    raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
-
-    table = transform_sales(raw, trim=config.trim)  # narrow columns and filters over a written table
-    result.stages.append(Stage("extraction", True, seen.get["rows"], len(raw.columns)))
-    result.stages.append(Stage("transformation", True, table.count(), len(table.columns)))
+    seen: dict[str, Observation] = {}
+
+    def watch(table: DataFrame, step: str) -> DataFrame:
+        seen[step] = Observation(step)
+        return table.observe(seen[step], F.count(F.lit(1)).alias("rows"))
+
+    # Narrow columns and filters over a written table.
+    table = transform_sales(watch(raw, "read"), trim=config.trim, watch=watch)
+    read, distinct, complete = (seen[step].get["rows"] for step in ("read", "distinct", "complete"))
+    kept = table.count()
+    result.counts = {
+        "rows_read": read, "duplicates_removed": read - distinct, "incomplete_removed": distinct - complete,
+        "outliers_removed": complete - kept}
+    result.stages.append(Stage("extraction", True, read, len(raw.columns)))
+    result.stages.append(Stage("transformation", True, kept, len(table.columns)))
 
     if config.enable_anomaly_detection:
         table = _detect(spark, config, stamp, table, result)
@@ -150,8 +164,12 @@ def _detect(spark, config, stamp, table, result) -> DataFrame:
     try:
         flagged = materialize(detect_anomalies(table, config.detection_plan()), "flagged")
         run = stamp.strftime("%Y-%m-%dT%H-%M-%S")
-        write_anomaly_report(anomaly_report(flagged), _at(config.reports_path, "anomaly_report"), run)
-        result.stages.append(Stage("anomaly_detection", True, flagged.count(), len(flagged.columns)))
+        report = materialize(anomaly_report(flagged), "flags")
+        write_anomaly_report(report, _at(config.reports_path, "anomaly_report"), run)
+        kept = flagged.count()
+        result.counts |= {r["flag"]: r["count"] for r in report.collect()}  # one row per flag
+        result.counts["ungrouped_removed"] = table.count() - kept
+        result.stages.append(Stage("anomaly_detection", True, kept, len(flagged.columns)))
         return flagged
     except Exception as failure:
         result.stages.append(Stage("anomaly_detection", False, error=str(failure)))
