@@ -152,6 +152,14 @@ def test_tree_walk_equals_node_walk():
     assert average_path(1) == 0 and average_path(2) == 1 and abs(average_path(256) - 10.2447) < 1e-3
 
 
+def test_tree_of_awkward_values():
+    """Neighbouring floats and infinities still split into two non-empty sides."""
+    column = [1.0, np.nextafter(1.0, 2.0), -np.inf, np.inf, 5.0]
+    for seed in range(20):
+        nodes = grow_tree(np.array([[v] for v in column]), np.random.default_rng(seed), 8)
+        assert sum(n[1] < 0 for n in nodes) == 5
+
+
 def test_kmeans_flags_far_points(spark):
     rng = np.random.default_rng(2)
     table = pd.DataFrame({"id": np.arange(600), "x": np.repeat([0.0, 50.0, 100.0], 200) + rng.normal(0, 1, 600)})

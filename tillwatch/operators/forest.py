@@ -65,17 +65,22 @@ def tree_samples(df: DataFrame, features: list[str], id_columns: list[str], rows
 
 def grow_tree(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
     """Random axis splits down to single points; rows ``node, feature, cut, left, right, length``."""
+    extra = average_path(np.arange(len(points) + 1)).tolist()
+    draws = rng.random((2 << max_depth, 2)).tolist()  # a feature and a place in its range per node
     nodes: list[tuple | None] = [None]
     todo = [(0, points, 0)]
     while todo:
         number, part, depth = todo.pop()
-        low, high = part.min(axis=0), part.max(axis=0)
-        able = np.flatnonzero(low < high)
-        if depth >= max_depth or len(part) <= 1 or not len(able):
-            nodes[number] = (number, -1, 0.0, -1, -1, float(depth + average_path(len(part))))
+        low, high = part.min(axis=0).tolist(), part.max(axis=0).tolist()
+        able = [f for f, (a, b) in enumerate(zip(low, high)) if a < b]
+        if depth >= max_depth or not able:
+            nodes[number] = (number, -1, 0.0, -1, -1, depth + extra[len(part)])
             continue
-        feature = int(able[rng.integers(len(able))])
-        cut = float(rng.uniform(low[feature], high[feature]))
+        pick, place = draws[number]
+        feature = able[int(pick * len(able))]
+        cut = low[feature] + (high[feature] - low[feature]) * place
+        if not low[feature] <= cut < high[feature]:  # rounding, or an infinite range
+            cut = low[feature]
         goes_left = part[:, feature] <= cut
         left, right = len(nodes), len(nodes) + 1
         nodes += [None, None]
