@@ -21,6 +21,7 @@ from .transform import transform_sales
 
 @dataclass(frozen=True)
 class JobConfig:
+    # Default settings of a run.
     data_path: str = "data/raw/"
     processed_path: str = "data/processed/"
     reports_path: str = "reports/"
