@@ -6,7 +6,16 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import compare  # noqa: E402
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
+from tillwatch.catalog import ORACLE, QUERIES  # noqa: E402
+
+
+def queries():
+    return QUERIES
+
+
+def oracle_sql():
+    return ORACLE
 
 
 @pytest.fixture(scope="module")
