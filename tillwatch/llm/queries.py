@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, token_files
+from . import mixing, packing, quality, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,3 +42,17 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     files = token_files.write(docs)
     return files.read(token_files.keys_of(docs), with_ids=False).drop("copy", "ids")
+
+
+@query("op4_quality_rules")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"))
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = F.coalesce(toxicity.in_fold("doc_id", 3, 1), F.lit(False))
+    model = toxicity.fit(docs, table(spark, folder, "labels").filter(~held))
+    return toxicity.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
