@@ -33,7 +33,7 @@ from .job import narrow, ship
 from .tokens import default_path, token_ids
 
 LIMIT = 1024
-SALTED = 1 << 16  # rows of one length that one salt numbers, on average
+SALTED = 1 << 10  # pieces that one salt numbers, on average over lengths
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids array<int>"
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, quality, token_files, toxicity
+from . import jaccard, mixing, packing, quality, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -56,3 +56,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, folder, "labels").filter(~held))
     return toxicity.score(docs, model).select(
         "doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
+@query("op1_ngram_jaccard_join")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, folder, "documents"))
