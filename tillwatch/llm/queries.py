@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import jaccard, mixing, packing, quality, token_files, toxicity
+from . import jaccard, mixing, packing, quality, substrings, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -61,3 +61,9 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_ngram_jaccard_join")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, folder, "documents"))
+
+
+@query("op2_substring_dedup")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
