@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import jaccard, mixing, packing, quality, substrings, token_files, toxicity
+from . import jaccard, lm, mixing, packing, quality, substrings, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -67,3 +67,9 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     kept = substrings.remove_repeats(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op3_lm_scoring")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    held = toxicity.in_fold("doc_id", 7, 2)
+    return lm.score(table(spark, folder, "documents"), ~held, held)
