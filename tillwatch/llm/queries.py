@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import jaccard, lm, mixing, packing, quality, substrings, token_files, toxicity
+from . import jaccard, lm, mixing, neighbours, packing, pii, quality, substrings, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -73,3 +73,23 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     held = toxicity.in_fold("doc_id", 7, 2)
     return lm.score(table(spark, folder, "documents"), ~held, held)
+
+
+@query("op9_nearest_neighbours")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op5_personal_data")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = pii.find(docs, pii.fit(docs))
+
+    def listed(column: str):
+        return F.concat_ws(",", F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+    def counted(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [counted(kind) for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed("base").cast("binary"), 256).alias("base_sha256"), listed("spans").alias("spans"))
