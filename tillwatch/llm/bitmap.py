@@ -19,9 +19,9 @@ def bitmap(keys: DataFrame, column: str = "key") -> np.ndarray:
     place = F.shiftrightunsigned(_mixed(F.col(column)), 64 - BITS)
     bits = (keys.select(place.alias("place")).groupBy((F.shiftright("place", 6)).cast("int").alias("word"))
             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("place").bitwiseAND(63).cast("int"))).alias("bits"))
-            .toPandas())
+            .toArrow())
     out = np.zeros(1 << (BITS - 6), np.int64)
-    out[bits["word"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64)
+    out[bits["word"].to_numpy()] = bits["bits"].to_numpy()
     return out.view(np.uint64)
 
 

@@ -128,7 +128,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each taken row of ``docs`` as often as it is taken, shard by shard.
 
-    Only the columns of ``docs``; rows of a shard lie together, in the shard's order.
+    Only the columns of ``docs``; a shard's rows are dealt over tasks by their place and
+    lie in the shard's order within each.
     """
     taken = mix(docs, **options).select("doc", F.explode("takes").alias("take"))
-    return taken.repartition("take.shard").sortWithinPartitions("take.shard", "take.place").select("doc.*")
+    part = F.shiftrightunsigned("take.place", 56)
+    return taken.repartition("take.shard", part).sortWithinPartitions("take.shard", "take.place").select("doc.*")

@@ -12,9 +12,9 @@ Pieces of one length are interchangeable, and so are sequences with one gap.  A
 superstep's successor sweep therefore runs over runs ``(gap, first sequence,
 count)`` and not over rows: at most one entry per length goes in, at most three
 runs per length come out, whatever the number of documents.  The ranks inside a
-length are the distributed part: counted for each (length, salt), offset by the
-earlier salts, numbered within.  The row order of the result is best-fit
-decreasing's.
+length are the distributed part: each task numbers its own pieces of a length, the
+counts of the earlier tasks are added, and pieces never move.  The result is that of
+best-fit decreasing.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -33,13 +34,14 @@ from .job import narrow, ship
 from .tokens import default_path, token_ids
 
 LIMIT = 1024
-SALTED = 1 << 10  # pieces that one salt numbers, on average over lengths
+SMALL = 2_000_000  # rows (length, task, count) that are surely small enough to be broadcast
 
-PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids array<int>"
+PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids array<int>, task int, turn bigint"
 
 
 def _cut(path: str, limit: int, with_ids: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, seen = TaskContext.get().partitionId(), np.zeros(limit + 1, np.int64)
         for batch in batches:
             ids = token_ids(batch, "text", path)
             row, piece, start, length, crc, own = [], [], [], [], [], []
@@ -56,15 +58,31 @@ def _cut(path: str, limit: int, with_ids: bool):
                     crc.append(zlib.crc32(raw[at:to].tobytes()))
                     own.append(raw[at:to].astype(np.int32) if with_ids else None)
                     at, to, k = to, to + limit, k + 1
+            turn = _turns(np.array(length, np.int64), seen)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                 pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(own, pa.list_(pa.int32()))],
-                ["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
+                 pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(own, pa.list_(pa.int32())),
+                 pa.array(np.full(len(row), task, np.int32)), pa.array(turn)],
+                ["doc_id", "piece", "start", "length", "ids_crc32", "ids", "task", "turn"])
     return cut
 
 
+def _turns(length: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """How many pieces of its length came before each; ``seen`` goes on."""
+    by = np.argsort(length, kind="stable")
+    ordered = length[by]
+    first = np.searchsorted(ordered, ordered)
+    out = np.empty(len(length), np.int64)
+    out[by] = np.arange(len(length)) - first + seen[ordered]
+    np.add.at(seen, length, 1)
+    return out
+
+
 def pieces(docs: DataFrame, tokenizer: str | None = None, limit: int = LIMIT, with_ids: bool = True) -> DataFrame:
-    """Pieces of at most ``limit`` ids of every document: doc_id, piece, start, length, ids_crc32, ids."""
+    """Pieces of at most ``limit`` ids of every document: doc_id, piece, start, length, ids_crc32, ids.
+
+    ``task`` and ``turn`` number the pieces of a length; write the table before it is packed.
+    """
     ship(docs.sparkSession)
     texts = narrow(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     return texts.mapInArrow(_cut(tokenizer or default_path(), limit, with_ids), PIECES)
@@ -128,10 +146,11 @@ def _place(steps: list[tuple[int, int, int, int, int]]):
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = (table[:, 0] << 48) + table[:, 1]
         for batch in batches:
-            length, rank = batch.column("length").to_numpy(), batch.column("rank").to_numpy()
+            length = batch.column("length").to_numpy()
+            rank = batch.column("turn").to_numpy() + batch.column("before").to_numpy()
             at = np.searchsorted(key, (length << 48) + rank, "right") - 1
             sequence = table[at, 3] + rank - table[at, 1]
-            names = [n for n in batch.schema.names if n != "rank"]
+            names = [n for n in batch.schema.names if n not in ("task", "turn", "before", "rank")]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in names), pa.array(sequence), pa.array(table[at, 4])],
                 [*names, "sequence_id", "offset"])
@@ -139,26 +158,21 @@ def _place(steps: list[tuple[int, int, int, int, int]]):
 
 
 def pack(cut: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """Add sequence_id and offset to pieces (a table with ``doc_id``, ``piece``, ``start`` and ``length`` 1..limit).
+    """Add sequence_id and offset to the written pieces of ``pieces``.
 
-    The pieces are read three times, so hand in a written table.  Equal pieces,
-    null ids and repeated rows are packed like others, each row once; an empty
-    table gives an empty one.
+    Equal pieces, null ids and repeated rows are packed like others, each row once;
+    an empty table gives an empty one.
     """
     ship(cut.sparkSession)
-    rows = cut.count()
-    salts = max(1, -(-rows // SALTED))
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(salts)).cast("int"))
-    counts = materialize(salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")), "lengths")
+    counts = materialize(cut.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "lengths")
     by_length = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # <= limit rows
-    earlier = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("length", "salt", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    inner = Window.partitionBy("length", "salt").orderBy("doc_id", "piece")
-    ranked = (salted.withColumn("rank", F.row_number().over(inner).cast("bigint") - 1)
-              .join(offsets, ["length", "salt"])
-              .select(*cut.columns, (F.col("before") + F.col("rank")).alias("rank")))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema) + ", sequence_id bigint, offset bigint"
-    return ranked.mapInArrow(_place(plan(by_length, limit)), schema)
+    earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)  # a row for each task
+    before = materialize(counts.select("length", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")), "before")
+    ranked = cut.join(F.broadcast(before) if before.count() <= SMALL else before, ["length", "task"])
+    kept = [f for f in cut.schema if f.name not in ("task", "turn")]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", sequence_id bigint, offset bigint"
+    names = [f.name for f in kept]
+    return ranked.select(*names, "turn", "before").mapInArrow(_place(plan(by_length, limit)), schema)
 
 
 def best_fit(docs: DataFrame, tokenizer: str | None = None, limit: int = LIMIT, with_ids: bool = True) -> DataFrame:
