@@ -4,6 +4,7 @@ import pytest
 
 from helpers import assert_columns, frame, local, plan
 from tillwatch.operators.clusters import kmeans_anomaly
+from tillwatch.operators.features import standardize
 from tillwatch.operators.forest import average_path, grow_tree, isolation_forest, pack_forest, path_lengths
 from tillwatch.operators.outliers import (
     outliers_iqr, outliers_modified_zscore, outliers_zscore, statistical_outliers)
@@ -179,3 +180,15 @@ def test_detection_chain_on_the_sample(spark):
     assert flags == {"money_outlier", "hour_of_day_outlier", "is_outlier", "isolation_forest_anomaly",
                      "temporal_anomaly", "pattern_anomaly", "combined_anomalies"}
     assert out.count() == 100 and out.filter("money_outlier or pattern_anomaly").count() == 0
+
+
+def test_zscore_of_infinite_and_tiny_values(spark):
+    values = [float(i) for i in range(20)] + [float("inf")]
+    out = outliers_zscore(frame(spark, {"v": values}, "v double"), ["v"])
+    assert out.filter("v_outlier").count() == 0
+    tiny = outliers_zscore(frame(spark, {"v": [1e-200, 2e-200, 3e-200]}, "v double"), ["v"])
+    assert tiny.filter("v_outlier").count() == 0
+    scaled = standardize(frame(spark, {"v": [1e-200, 2e-200, 3e-200]}, "v double"), ["v"]).collect()
+    assert all(r["v_scaled"] is not None for r in scaled)
+    both = frame(spark, {"v": [float("-inf"), float("-inf"), 1.0, float("inf"), float("inf")]}, "v double")
+    assert outliers_iqr(both, ["v"]).filter("v_outlier").count() == 0

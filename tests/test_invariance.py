@@ -6,6 +6,8 @@ import pytest
 
 from tillwatch.operators.aggregate import aggregate
 from tillwatch.operators.clean import clean
+from tillwatch.operators.clusters import kmeans_anomaly
+from tillwatch.operators.forest import isolation_forest
 from tillwatch.operators.ordered import interpolate, temporal_anomaly
 from tillwatch.operators.outliers import outliers_modified_zscore, pattern_anomaly
 from tillwatch.operators.tables import pivot_sum
@@ -36,6 +38,8 @@ CASES = {
     "modified": lambda df: outliers_modified_zscore(df, ["money"]),
     "aggregate": lambda df: aggregate(df, ["coffee_name", "p"], {"money": ["sum", "mean", "median", "std", "nunique"]}),
     "pivot": lambda df: pivot_sum(df, "coffee_name", "p", "money"),
+    "kmeans": lambda df: kmeans_anomaly(df.dropDuplicates(), ["money", "day"], id_columns=["id"]),
+    "forest": lambda df: isolation_forest(df.dropDuplicates(), ["money", "day"], ["id"], trees=20),
 }
 
 

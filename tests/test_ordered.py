@@ -138,3 +138,15 @@ def test_interpolate_types(spark):
     words = frame(spark, {"k": ["a", None]}, "k string")
     with pytest.raises(ValueError):
         interpolate(words, order_by=["k"])
+
+
+def test_interpolate_leaves_complete_columns_alone(spark):
+    df = frame(spark, {"id": [1, 2, 3], "big": [9007199254740993, 1, 2], "v": [1.0, None, 3.0]}, "id long, big long, v double")
+    out = interpolate(df, None, ["id"]).orderBy("id")
+    assert dict(out.dtypes)["big"] == "bigint" and out.first()["big"] == 9007199254740993
+    assert [r["v"] for r in out.collect()] == [1.0, 2.0, 3.0]
+
+
+def test_temporal_rows_come_in_date_order(spark):
+    df = spark.range(200).selectExpr("id", "(id * 37) % 200 AS day", "cast(id AS double) AS v").repartition(7)
+    assert [r["day"] for r in temporal_anomaly(df, "day", "v", ["id"]).collect()] == list(range(200))

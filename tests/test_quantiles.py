@@ -89,3 +89,27 @@ def test_grouped_quantile_with_a_hot_group(spark, direct):
         theirs = table.groupby("k")["v"].quantile(p)
         assert len(ours) == len(theirs)
         assert (abs(ours.sort_index() - theirs.sort_index()) < 1e-9).all()
+
+
+def test_two_heavy_values_settle_at_once(spark, monkeypatch):
+    """A rank between two values that most rows share: few passes, the same answer on both ways."""
+    from tillwatch.operators import quantiles
+
+    turns = []
+    narrow = quantiles._narrow
+    monkeypatch.setattr(quantiles, "_narrow", lambda *a: (turns.append(1), narrow(*a)))
+    df = spark.range(40_000).selectExpr("cast(id % 2 AS int) AS v")
+    assert exact_quantiles(df, ["v"], [0.5], direct_rows=100)["v"] == [0.5] and len(turns) <= 3
+    groups = spark.range(30_000).selectExpr("id % 3 AS k", "cast(id % 2 AS int) AS v")
+    rounds = []
+    narrow_groups = quantiles._narrow_groups
+    monkeypatch.setattr(quantiles, "_narrow_groups", lambda *a: (rounds.append(1), narrow_groups(*a))[1])
+    out = grouped_quantile(groups, ["k"], "v", 0.5, "m", direct_rows=100)
+    assert {r["k"]: r["m"] for r in out.collect()} == {0: 0.5, 1: 0.5, 2: 0.5} and len(rounds) <= 3
+
+
+def test_both_ways_agree_to_the_last_bit(spark):
+    df = spark.range(6000).selectExpr("id % 7 AS k", "(id * 7919 % 6007) / 7.0 AS v")
+    small = {r["k"]: r["m"] for r in grouped_quantile(df, ["k"], "v", 0.37, "m").collect()}
+    large = {r["k"]: r["m"] for r in grouped_quantile(df, ["k"], "v", 0.37, "m", direct_rows=10).collect()}
+    assert small == large

@@ -4,7 +4,7 @@ import os
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from helpers import frame, local
 from tillwatch.schema import NA_TOKENS, SALES_SCHEMA
@@ -43,6 +43,27 @@ def test_quoted_cells_and_options(spark, tmp_path):
     assert read_csv(spark, str(path), sep=";", na_values=["1"]).first()["a"] is None
 
 
+def test_awkward_cells_survive(spark, tmp_path):
+    """Quotes, blanks at the ends, line breaks inside cells: both ways, and from a file pandas wrote."""
+    texts = ['say "hi"', 'x,"y"', "  pad  ", "two\nlines", "a\\b", ""]
+    table = frame(spark, {"id": list(range(6)), "s": texts}, "id long, s string")
+    write_csv(table, str(tmp_path / "ours"))
+    back = read_csv(spark, str(tmp_path / "ours"), keep_default_na=False)
+    assert [r["s"] for r in back.orderBy("id").collect()] == texts
+    pd.DataFrame({"id": range(5), "s": texts[:5]}).to_csv(tmp_path / "theirs.csv", index=False)
+    back = read_csv(spark, str(tmp_path / "theirs.csv"))
+    assert [r["s"] for r in back.orderBy("id").collect()] == texts[:5]
+
+
+def test_extra_cells_raise(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("id,s\n1,a\n2,b,lost\n")
+    with pytest.raises(Exception, match="more cells"):
+        read_csv(spark, str(path), schema=T.StructType.fromDDL("id long, s string")).collect()
+    path.write_text("id,s\n1,a\n2\n")  # a short row is filled up
+    assert read_csv(spark, str(path)).filter("s is null").count() == 1
+
+
 def test_missing_file(spark, tmp_path):
     for call in (lambda: read_csv(spark, "no.csv", str(tmp_path)), lambda: read_sales(spark, "no.csv", str(tmp_path)),
                  lambda: read_parquet(spark, str(tmp_path / "no"))):

@@ -13,7 +13,7 @@ from ..operators.reporting import anomaly_report, combined_anomalies, label_flag
 from ..plans.detect import DetectionPlan, detect_anomalies
 from ..session import materialize
 from ..sources.views import ORDER_LINE_KEY
-from . import GAPPY, LINES, gappy, lines, query, rounded, sales
+from . import GAPPY, LINES, SALES, gappy, lines, query, rounded, sales
 
 _IQR = """b AS (SELECT quantile_cont(money, 0.25) AS m1, quantile_cont(money, 0.75) AS m3,
              quantile_cont(hour_of_day, 0.25) AS h1, quantile_cont(hour_of_day, 0.75) AS h3 FROM g),
@@ -144,6 +144,61 @@ def q_kmeans(spark, folder):
     return kmeans_anomaly(table, ["money", "hour_of_day"])
 
 
+@query("outliers_zscore_infinite", f"""WITH {SALES}
+SELECT id, CASE WHEN id = 0 THEN CAST('infinity' AS DOUBLE) ELSE money END AS money, false AS money_outlier, false AS is_outlier FROM s""")
+def q_zscore_infinite(spark, folder):
+    """One infinite amount: neither mean nor deviation is a number, so nothing is flagged."""
+    table = sales(spark, folder).select(
+        "id", F.when(F.col("id") == 0, float("inf")).otherwise(F.col("money")).alias("money"))
+    return outliers_zscore(table, ["money"])
+
+
+_SHIFTED = f"""WITH {SALES},
+t AS (SELECT id, list_position(['click', 'error', 'purchase', 'signup', 'view'], coffee_name) AS kind, money FROM s),
+u AS (SELECT id, kind, money + 1000000 * kind AS x FROM t),
+m AS (SELECT avg(x) AS a, stddev_pop(x) AS sd FROM u),
+z AS (SELECT id, kind, (x - a) / sd AS z FROM u, m),
+c AS (SELECT kind, avg(z) AS c FROM z GROUP BY 1),
+f AS (SELECT id, abs(z - c) AS far FROM z JOIN c USING (kind))"""
+
+
+@query("kmeans_groups", _SHIFTED + """
+SELECT (SELECT count(*) FROM f) AS n, (SELECT count(DISTINCT kind) FROM c) AS clusters,
+       (SELECT round(avg(far), 4) FROM f) AS distance, (SELECT count(*) FROM f
+        WHERE far > (SELECT quantile_cont(far, 0.9) FROM f)) > 0 AS some_flagged,
+       (SELECT abs(count(*) - 0.1 * (SELECT count(*) FROM f)) <= 0.01 * (SELECT count(*) FROM f) FROM f
+        WHERE far > (SELECT quantile_cont(far, 0.9) FROM f)) AS tenth_flagged""")
+def q_kmeans_groups(spark, folder):
+    """Five groups far apart are found whatever the first centres are."""
+    kinds = F.array(*[F.lit(t) for t in ("click", "error", "purchase", "signup", "view")])
+    table = sales(spark, folder).select(
+        "id", (F.col("money") + F.lit(1_000_000) * F.array_position(kinds, F.col("coffee_name"))).alias("x"))
+    out = kmeans_anomaly(table, ["x"], k=5, id_columns=["id"])
+    flagged = F.count_if("kmeans_anomaly")
+    return out.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("cluster").alias("clusters"),
+        F.round(F.avg("centroid_distance"), 4).alias("distance"), (flagged > 0).alias("some_flagged"),
+        (F.abs(flagged - 0.1 * F.count(F.lit(1))) <= 0.01 * F.count(F.lit(1))).alias("tenth_flagged"))
+
+
+@query("isolation_forest_properties", f"""WITH {GAPPY}
+SELECT count(*) AS n, count(money) AS complete, true AS planted_found,
+       true AS share_near, 0 AS incomplete_flagged, count(*) - count(money) AS incomplete_zero FROM g""")
+def q_forest_properties(spark, folder):
+    """Every 200th amount a thousandfold: found; about a tenth flagged; incomplete rows false with score 0."""
+    table = gappy(spark, folder).select(
+        "id", "hour_of_day", F.when(F.col("id") % 200 == 1, F.col("money") * 1000).otherwise(F.col("money")).alias("money"))
+    out = isolation_forest(table, ["money", "hour_of_day"], ["id"])
+    bad, whole = F.col("isolation_forest_anomaly"), F.col("money").isNotNull()
+    planted = whole & (F.col("id") % 200 == 1) & (F.col("money") > 50_000)
+    return out.agg(
+        F.count(F.lit(1)).alias("n"), F.count("money").alias("complete"),
+        (F.count_if(planted & ~bad) == 0).alias("planted_found"),
+        (F.abs(F.count_if(bad) - 0.1 * F.count("money")) <= 0.01 * F.count("money")).alias("share_near"),
+        F.count_if(bad & ~whole).alias("incomplete_flagged"),
+        F.count_if(~whole & (F.col("anomaly_score") == 0)).alias("incomplete_zero"))
+
+
 @query("detection_chain")
 def q_chain(spark, folder):
     """Statistical, forest, temporal and pattern flags with their combined report."""

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.aggregate import (
-    Mergeable, WholeGroup, aggregate, aggregate_categories, count_distinct_rows, group_stats, join_group_stats)
+    Mergeable, aggregate, aggregate_categories, count_distinct_rows, group_stats, join_group_stats)
+from ..functions.bins import SALES_LABELS
 from ..operators.features import sales_category
 from ..operators.quantiles import grouped_quantile, median_abs_dev, quantile_bounds
-from ..operators.tables import describe, histogram, pivot_sum, product_month, unpivot
+from ..operators.tables import describe, histogram, pivot_sum, product_month_long
 from . import CATEGORY, GAPPY, LINES, gappy, lines, query, rounded
 
 
@@ -62,24 +63,28 @@ SELECT coffee_name, max(money) - min(money) AS money_spread, max(money) + min(mo
        max(money) / min(money) AS money_ratio
 FROM g WHERE coffee_name IS NOT NULL GROUP BY 1""")
 def q_callable(spark, folder):
-    """A mergeable pandas aggregate, a Column function and a size-checked whole-group function."""
+    """A mergeable pandas aggregate and two Column functions."""
     def ends(x):
         return F.max(x) + F.min(x)
-    ratio = WholeGroup("ratio", lambda values: float(values.max() / values.min()))
+
+    def ratio(x):
+        return F.max(x) / F.min(x)
+
     return aggregate(gappy(spark, folder), ["coffee_name"], {"money": [_SPREAD, ends, ratio]})
 
 
 @query("aggregate_categories", f"""WITH {GAPPY},
-c AS (SELECT *, {CATEGORY} AS sales_category FROM g WHERE money <= 40 OR money IS NULL),
+c AS (SELECT *, {CATEGORY} AS sales_category FROM g),
 k AS (SELECT DISTINCT coffee_name FROM c WHERE coffee_name IS NOT NULL AND sales_category IS NOT NULL)
 SELECT v.level AS sales_category, k.coffee_name, round(coalesce(sum(money), 0), 2) AS money_sum,
        count(money) AS money_count, round(avg(money), 6) AS money_mean
-FROM (VALUES ('Baixa'), ('Média'), ('Alta'), ('Muito Alta')) v(level), k
+FROM (VALUES ('Baixa'), ('Média'), ('Alta'), ('Muito Alta'), ('Rara')) v(level), k
 LEFT JOIN c ON c.sales_category = v.level AND c.coffee_name = k.coffee_name GROUP BY 1, 2""")
 def q_aggregate_categories(spark, folder):
-    """No sale above 40, so two levels are empty and still shown for every product."""
-    table = sales_category(gappy(spark, folder)).filter((F.col("money") <= 40) | F.col("money").isNull())
-    table = aggregate_categories(table, ["sales_category", "coffee_name"], {"money": ["sum", "count", "mean"]})
+    """The last level never occurs and is still shown for every product."""
+    table = aggregate_categories(
+        sales_category(gappy(spark, folder)), ["sales_category", "coffee_name"], {"money": ["sum", "count", "mean"]},
+        levels=[*SALES_LABELS, "Rara"])
     return rounded(rounded(table, 2, "money_sum"), 6, "money_mean")
 
 
@@ -122,17 +127,16 @@ SELECT p.coffee_name, m."month", round(coalesce(sum(l.money), 0), 2) AS sales
 FROM p CROSS JOIN m LEFT JOIN l ON l.coffee_name = p.coffee_name AND strftime(l."Date", '%Y-%m') = m."month"
 GROUP BY 1, 2""")
 def q_heatmap(spark, folder):
-    """Long form of the wide table, whose columns are the months present."""
-    return rounded(unpivot(product_month(lines(spark, folder)), "coffee_name", "month", "sales"), 2, "sales")
+    """Long form: every product with every month present."""
+    return rounded(product_month_long(lines(spark, folder)), 2, "sales")
 
 
 @query("sales_histogram", f"""WITH {GAPPY},
-e AS (SELECT min(money) AS mn, (max(money) - min(money)) / 30 AS w FROM g),
-c AS (SELECT CAST(least(floor((money - mn) / w) + 1, 30) AS INTEGER) AS bin, count(*) AS n
-      FROM g, e WHERE money IS NOT NULL GROUP BY 1)
-SELECT CAST(b.i AS INTEGER) AS bin, round(mn + w * (b.i - 1), 6) AS bin_start, round(mn + w * b.i, 6) AS bin_end,
-       coalesce(n, 0) AS "count"
-FROM range(1, 31) b(i) CROSS JOIN e LEFT JOIN c ON c.bin = b.i""")
+e AS (SELECT min(money) AS mn, max(money) AS mx, (max(money) - min(money)) / 30 AS w FROM g),
+b AS (SELECT CAST(i AS INTEGER) AS bin, mn + (i - 1) * w AS lo, CASE WHEN i = 30 THEN mx ELSE mn + i * w END AS hi
+      FROM range(1, 31) r(i), e)
+SELECT bin, round(lo, 6) AS bin_start, round(hi, 6) AS bin_end, count(money) AS "count"
+FROM b LEFT JOIN g ON money >= lo AND (money < hi OR bin = 30 AND money = hi) GROUP BY ALL""")
 def q_histogram(spark, folder):
     return rounded(histogram(gappy(spark, folder)), 6, "bin_start", "bin_end")
 
@@ -195,3 +199,25 @@ SELECT count(DISTINCT coffee_name) AS coffee_name, count(DISTINCT money) AS mone
        count(DISTINCT "Date") AS "Date" FROM g""")
 def q_count_distinct(spark, folder):
     return count_distinct_rows(gappy(spark, folder), ["coffee_name", "money", "Date"])
+
+
+_WHOLE = "CAST(l_quantity > 25 AS INTEGER)"
+
+
+@query("quantile_ties", f"""SELECT 'whole' AS "column", quantile_cont({_WHOLE}, 0.25)::DOUBLE AS q1,
+       quantile_cont({_WHOLE}, 0.75)::DOUBLE AS q3 FROM lineitem UNION ALL
+SELECT 'quantity', quantile_cont(l_quantity, 0.25)::DOUBLE, quantile_cont(l_quantity, 0.75)::DOUBLE FROM lineitem""")
+def q_quantile_ties(spark, folder):
+    """Two values over all rows, and fifty."""
+    table = spark.read.parquet(f"{folder}/lineitem.parquet").select(
+        (F.col("l_quantity") > 25).cast("int").alias("whole"), F.col("l_quantity").alias("quantity"))
+    return quantile_bounds(table, ["whole", "quantity"]).select("column", "q1", "q3")
+
+
+@query("grouped_quantile_ties", f"""SELECT l_returnflag, l_linestatus, quantile_cont({_WHOLE}, 0.5)::DOUBLE AS middle
+FROM lineitem GROUP BY 1, 2""")
+def q_grouped_quantile_ties(spark, folder):
+    """The way for groups above the size that one task may hold, at any table size."""
+    table = spark.read.parquet(f"{folder}/lineitem.parquet").select(
+        "l_returnflag", "l_linestatus", (F.col("l_quantity") > 25).cast("int").alias("whole"))
+    return grouped_quantile(table, ["l_returnflag", "l_linestatus"], "whole", 0.5, "middle", direct_rows=1)

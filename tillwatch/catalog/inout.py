@@ -31,6 +31,16 @@ def q_read_csv(spark, folder):
     return read_csv(spark, path)
 
 
+@query("csv_round_trip", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def q_csv_round_trip(spark, folder):
+    """Whole texts with quotes, line breaks and blanks at their ends, written and read again."""
+    path = scratch_path(spark, "texts-csv")
+    table = read_parquet(spark, f"{folder}/documents.parquet")
+    write_csv(table.select("doc_id", "text", "lang", "source", "n_chars"), path)
+    return read_csv(spark, path, schema=T.StructType.fromDDL(
+        "doc_id long, text string, lang string, source string, n_chars long"), keep_default_na=False)
+
+
 @query("read_sales", f"WITH {GAPPY} SELECT {_CANONICAL_SQL} FROM g")
 def q_read_sales(spark, folder):
     path = scratch_path(spark, "sales-csv")

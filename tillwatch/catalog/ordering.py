@@ -51,9 +51,9 @@ _LINE_KEY = ", ".join(ORDER_LINE_KEY)
 
 @query("lines_temporal_anomaly", f"WITH {LINES}, " + _temporal("l", f'"Date", {_LINE_KEY}', _LINE_KEY))
 def q_lines_temporal(spark, folder):
-    """Day-long ties split by the line key; several blocks even at small scale."""
+    """Day-long ties split by the line key."""
     table = lines(spark, folder).select(*ORDER_LINE_KEY, "Date", "money")
-    result = temporal_anomaly(table, "Date", "money", ORDER_LINE_KEY, blocks=8)
+    result = temporal_anomaly(table, "Date", "money", ORDER_LINE_KEY)
     return rounded(result, 6, "rolling_mean", "rolling_std").drop("Date")
 
 
@@ -61,7 +61,7 @@ def q_lines_temporal(spark, folder):
 SELECT {_LINE_KEY}, row_number() OVER (ORDER BY "Date", {_LINE_KEY}) - 1 AS row_index FROM l""")
 def q_row_index(spark, folder):
     table = lines(spark, folder).select(*ORDER_LINE_KEY, "Date")
-    return row_index(table, ["Date", *ORDER_LINE_KEY], blocks=8).drop("Date")
+    return row_index(table, ["Date", *ORDER_LINE_KEY]).drop("Date")
 
 
 @query("sort_by_date", f"WITH {GAPPY} SELECT id, \"Date\", money FROM g ORDER BY \"Date\", id")

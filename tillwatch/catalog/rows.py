@@ -154,25 +154,25 @@ def q_clean_drop(spark, folder):
 
 @query("clean_fill", f"""WITH {COPIES}, u AS (SELECT DISTINCT * FROM d),
 m AS (SELECT coffee_name AS v FROM u WHERE coffee_name IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
-SELECT id, ts, coalesce(money, (SELECT median(money) FROM u)) AS money,
-       coalesce(coffee_name, (SELECT v FROM m)) AS coffee_name FROM u""")
+SELECT * REPLACE (coalesce(money, (SELECT median(money) FROM u)) AS money,
+                  coalesce(coffee_name, (SELECT v FROM m)) AS coffee_name) FROM u""")
 def q_clean_fill(spark, folder):
-    return clean(copies(spark, folder), handle_missing="fill").select("id", "ts", "money", "coffee_name")
+    return clean(copies(spark, folder), handle_missing="fill")
 
 
 @query("clean_interpolate", f"""WITH {COPIES}, u AS (SELECT DISTINCT * FROM d),
 n AS (SELECT *, row_number() OVER (ORDER BY ts, id) AS i FROM u),
 p AS (SELECT *, CASE WHEN money IS NOT NULL THEN i END AS j FROM n),
-w AS (SELECT id, coffee_name, money, i,
+w AS (SELECT *,
         last_value(money IGNORE NULLS) OVER a AS v0, last_value(j IGNORE NULLS) OVER a AS i0,
         first_value(money IGNORE NULLS) OVER b AS v1, first_value(j IGNORE NULLS) OVER b AS i1
       FROM p WINDOW a AS (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
                     b AS (ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-SELECT id, coffee_name, round(CASE WHEN money IS NOT NULL THEN money WHEN i0 IS NULL THEN NULL
-       WHEN i1 IS NULL THEN v0 ELSE v0 + (v1 - v0) * (i - i0) / (i1 - i0) END, 6) AS money FROM w""")
+SELECT * EXCLUDE (i, j, v0, i0, v1, i1) REPLACE (round(CASE WHEN money IS NOT NULL THEN money WHEN i0 IS NULL THEN NULL
+       WHEN i1 IS NULL THEN v0 ELSE v0 + (v1 - v0) * (i - i0) / (i1 - i0) END, 6) AS money) FROM w""")
 def q_clean_interpolate(spark, folder):
     table = clean(copies(spark, folder), handle_missing="interpolate", order_by=["ts", "id"])
-    return rounded(table, 6, "money").select("id", "coffee_name", "money")
+    return rounded(table, 6, "money")
 
 
 @query("transform_sales", f"""WITH {COPIES},

@@ -12,17 +12,22 @@ from ..functions.aggregates import ORDERED, QUANTILES, SIMPLE, ordered_end
 from ..functions.bins import SALES_LABELS
 from ..schema import column_type, q, require_columns, require_list
 from ..session import materialize
-from .quantiles import DIRECT_ROWS, as_number, grouped_quantile
+from .quantiles import DIRECT_ROWS, as_number, grouped_quantile, small_quantile
+
+
+HELD = 10_000  # groups whose states a task holds before it passes them on
+FAN_IN = 64    # states of one group that are folded together
 
 
 @dataclass(frozen=True)
 class Mergeable:
     """A caller's own aggregate in three pandas steps, safe for groups of any size.
 
-    ``partial`` reduces a batch of values to one state, ``merge`` folds the
-    states of all batches (a list) into one, ``finish`` turns it into the result.  The
-    state is any picklable value; a group's states number at most one per batch
-    and are folded in two steps, so no task sees all rows of a group.
+    ``partial`` reduces a batch of values to one state, ``merge`` folds a list of
+    states into one, ``finish`` turns the last into the result.  The state is any
+    picklable value.  Each task merges its own batches, then states are folded
+    ``FAN_IN`` at a time in as many levels as the number of tasks needs, so no task
+    sees all rows or all states of a group.
     """
 
     name: str
@@ -32,20 +37,6 @@ class Mergeable:
     return_type: str = "double"
 
 
-@dataclass(frozen=True)
-class WholeGroup:
-    """A caller's function of a whole group as one pandas Series.
-
-    Only for groups known to be small: sizes are counted first, and a group
-    above ``max_rows`` is refused (use ``Mergeable`` or a Column function).
-    """
-
-    name: str
-    function: Callable[[pd.Series], object]
-    return_type: str = "double"
-    max_rows: int = 1_000_000
-
-
 def aggregate(
     df: DataFrame,
     group_columns: list[str],
@@ -56,7 +47,7 @@ def aggregate(
     """Group by columns, with ``{column}_{function}`` outputs, sorted by the keys.
 
     Rows with a missing key are dropped.  A function is a name, a callable from
-    Column to aggregate Column, ``Mergeable`` or ``WholeGroup``.
+    Column to aggregate Column, or ``Mergeable``.
     """
     keys = require_list(group_columns, "group_columns")
     if not keys:
@@ -78,8 +69,6 @@ def aggregate(
             outputs.append(output)
             if isinstance(function, Mergeable):
                 joined.append(_merge_groups(rows, keys, column, function, output))
-            elif isinstance(function, WholeGroup):
-                joined.append(_whole_groups(rows, keys, column, function, output))
             elif callable(function):
                 simple.append(function(F.col(q(column))).alias(output))
             elif name in SIMPLE:
@@ -94,7 +83,7 @@ def aggregate(
                 raise ValueError(f"unknown aggregate function {name!r}")
 
     if quantiles and _largest_group(rows, keys) <= DIRECT_ROWS:
-        simple += [F.percentile(as_number(rows, c), p).alias(o) for o, (c, p) in quantiles.items()]
+        simple += [small_quantile(as_number(rows, c), p).alias(o) for o, (c, p) in quantiles.items()]
     elif quantiles:
         twins: dict[tuple[str, float], list[str]] = {}
         for output, wanted in quantiles.items():
@@ -136,21 +125,35 @@ def _merge_groups(rows, keys, column, function: Mergeable, output) -> DataFrame:
     partial, merge, finish = function.partial, function.merge, function.finish
 
     def batches(frames):
-        for number, frame in enumerate(frames):
+        held: dict = {}
+
+        def flush():
+            rows = [(*key, pickle.dumps(state), 0) for key, state in held.items()]
+            held.clear()
+            return pd.DataFrame(rows, columns=[*keys, "__state", "__lane"])
+
+        for frame in frames:
             for key, values in frame.groupby(keys, sort=False)[column]:
-                yield pd.DataFrame([(*key, pickle.dumps(partial(values.dropna())), number)],
-                                   columns=[*keys, "__state", "__lane"])
+                state = partial(values.dropna())
+                held[key] = merge([held[key], state]) if key in held else state
+            if len(held) > HELD:
+                yield flush()
+        yield flush()
 
-    states = rows.select(*[q(k) for k in keys], q(column)).mapInPandas(batches, partial_schema)
-    state_schema = T.StructType([*key_fields, T.StructField("__state", T.BinaryType())])
+    values = rows.select(*[q(k) for k in keys], q(column))
+    tasks = max(1, values.rdd.getNumPartitions())
+    states = values.mapInPandas(batches, partial_schema).withColumn("__lane", F.spark_partition_id().cast("long"))
 
     def fold(key, frame):
         merged = merge([pickle.loads(s) for s in frame["__state"]])
-        return pd.DataFrame([(*key[: len(keys)], pickle.dumps(merged))], columns=[*keys, "__state"])
-
-    # A hot group's states are first folded in 64 lanes.
-    lanes = states.withColumn("__lane", (F.spark_partition_id() + F.col("__lane")) % 64)
-    folded = lanes.groupBy(*[q(k) for k in keys], "__lane").applyInPandas(fold, state_schema)
+        return pd.DataFrame([(*key, pickle.dumps(merged))], columns=[*keys, "__lane", "__state"])
+
+    folded, lanes = states, tasks
+    lane_schema = T.StructType([*key_fields, T.StructField("__lane", T.LongType()), T.StructField("__state", T.BinaryType())])
+    while lanes > FAN_IN:
+        folded = folded.withColumn("__lane", F.floor(F.col("__lane") / FAN_IN)).groupBy(
+            *[q(k) for k in keys], "__lane").applyInPandas(fold, lane_schema)
+        lanes = -(-lanes // FAN_IN)
     final_schema = T.StructType([*key_fields, T.StructField(output, T._parse_datatype_string(function.return_type))])
 
     def close(key, frame):
@@ -160,21 +163,6 @@ def _merge_groups(rows, keys, column, function: Mergeable, output) -> DataFrame:
     return folded.groupBy(*[q(k) for k in keys]).applyInPandas(close, final_schema)
 
 
-def _whole_groups(rows, keys, column, function: WholeGroup, output) -> DataFrame:
-    names = [q(k) for k in keys]
-    largest = _largest_group(rows, keys)
-    if largest > function.max_rows:
-        raise ValueError(f"{function.name}: a group holds {largest} rows; use Mergeable or a Column function")
-    call = function.function
-
-    def whole(values: pd.Series):
-        return call(values.dropna())
-
-    whole.__annotations__ = {"values": pd.Series, "return": float}
-    udf = F.pandas_udf(whole, function.return_type)
-    return rows.groupBy(*names).agg(udf(F.col(q(column))).alias(output))
-
-
 def aggregate_categories(
     df: DataFrame,
     group_columns: list[str],

@@ -1,17 +1,47 @@
-"""Distance-to-centroid anomalies on MLlib's KMeans."""
+"""Distance-to-centroid anomalies by Lloyd's k-means as grouped aggregates."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import math
+
+import numpy as np
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schema import q, require_columns, require_list
 from ..session import materialize
 from .features import standardize
 from .quantiles import exact_quantiles
 
+SEEDS = 2048      # points the first centres are chosen from
+ROUNDS = 12
+TOLERANCE = 1e-3  # of a centre's move, in standard deviations
+GRID = 1 << 30    # coordinates are added up as whole multiples of 1 / GRID
+
+
+def _squares(names: list[str], centers: list[tuple[float, ...]]) -> list[Column]:
+    return [sum((F.pow(F.col(q(n)) - F.lit(x), 2) for n, x in zip(names, center)), F.lit(0.0)) for center in centers]
+
+
+def _nearest(squares: list[Column]) -> Column:
+    return F.least(*squares) if len(squares) > 1 else squares[0]
+
+
+def first_centers(points: np.ndarray, k: int, seed: int) -> list[tuple[float, ...]]:
+    """k-means++ on a few points in a fixed order."""
+    rng = np.random.default_rng(seed)
+    points = points[np.lexsort(points.T[::-1])]
+    centers = [points[rng.integers(len(points))]]
+    while len(centers) < k:
+        apart = np.min([np.sum((points - c) ** 2, axis=1) for c in centers], axis=0)
+        if not apart.sum():
+            break
+        centers.append(points[np.searchsorted(np.cumsum(apart), rng.random() * apart.sum())])
+    return sorted(tuple(float(x) for x in c) for c in centers)
+
 
 def kmeans_anomaly(
-    df: DataFrame, feature_columns: list[str], k: int = 5, contamination: float = 0.1, seed: int = 42
+    df: DataFrame, feature_columns: list[str], k: int = 5, contamination: float = 0.1, seed: int = 42,
+    id_columns: list[str] | None = None,
 ) -> DataFrame:
     """Add ``cluster``, ``centroid_distance`` and ``kmeans_anomaly``.
 
@@ -19,29 +49,52 @@ def kmeans_anomaly(
     the distance to their nearest centroid are flagged.  Rows missing a feature
     get null, null and false.  Centroids are ``k`` literals, so assignment is a
     plain expression without Python workers.
-    """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
 
+    The first centres come from points drawn by the hash of ``id_columns`` (of the
+    features without them), and coordinates are added up as whole numbers, so
+    the answer does not depend on how the rows are partitioned.
+    """
     features = require_list(feature_columns, "feature_columns")
-    require_columns(df, features)
-    scaled = materialize(standardize(df, features, "__z"), "standardized")
+    ids = require_list(id_columns or [], "id_columns")
+    require_columns(df, [*features, *ids])
+    scaled = standardize(df, features, "__z")
     names = [f"{c}__z" for c in features]
-    vectors = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="skip").transform(
-        scaled.select(*[q(n) for n in names]))
-    if vectors.isEmpty():
+    complete = F.lit(True)
+    for n in names:
+        complete = complete & F.col(q(n)).isNotNull()
+    # on a grid, so that the last bits of mean and deviation are gone; only the features are written
+    grid = [(F.round(F.col(q(n)) * 1e9) / 1e9).alias(n) for n in names]
+    key = F.xxhash64(*[F.col(q(c)) for c in (ids or features)])
+    points = materialize(scaled.filter(complete).select(*grid, key.alias("__key")), "features")
+    rows = points.count()
+    if not rows:
         return df
-    model = KMeans(k=k, seed=seed, featuresCol="features").fit(vectors)
-    squares = [
-        sum((F.pow(F.col(q(n)) - F.lit(float(x)), 2) for n, x in zip(names, center)), F.lit(0.0))
-        for center in model.clusterCenters()
-    ]
-    nearest = F.least(*squares) if len(squares) > 1 else squares[0]
-    complete = F.col(q(names[0])).isNotNull()
-    placed = scaled.withColumns({
+    share = min(1.0, 2.0 * SEEDS / rows)
+    drawn = points.filter(F.pmod(F.xxhash64("__key", F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    few = drawn.orderBy(F.xxhash64("__key", F.lit(seed + 1)), *[q(n) for n in names]).limit(SEEDS).select(*[q(n) for n in names])
+    sample = np.array([tuple(r) for r in few.collect()], float).reshape(-1, len(names))
+    centers = first_centers(sample, k, seed)
+    for _ in range(ROUNDS):
+        squares = _squares(names, centers)
+        assigned = points.withColumn("__c", F.array_position(F.array(*squares), _nearest(squares)).cast("int") - 1)
+        sums = assigned.groupBy("__c").agg(F.count(F.lit(1)).alias("n"), *[
+            F.sum(F.round(F.col(q(n)) * GRID).cast("decimal(30,0)")).alias(f"s{i}") for i, n in enumerate(names)]).collect()
+        moved = list(centers)
+        for r in sums:  # a row for each centre
+            moved[r["__c"]] = tuple(float(r[f"s{i}"]) / GRID / r["n"] for i in range(len(names)))
+        far = max(math.dist(a, b) for a, b in zip(centers, moved))
+        centers = moved
+        if far <= TOLERANCE:
+            break
+    centers = sorted(centers)
+    squares = _squares(names, centers)
+    nearest = _nearest(squares)
+    rounded = scaled.withColumns({n: F.round(F.col(q(n)) * 1e9) / 1e9 for n in names})
+    placed = rounded.withColumns({
         "cluster": F.when(complete, F.array_position(F.array(*squares), nearest).cast("int") - 1),
         "centroid_distance": F.when(complete, F.sqrt(nearest)),
     }).drop(*names)
-    cut = exact_quantiles(placed, ["centroid_distance"], [1.0 - contamination])["centroid_distance"][0]
+    own = points.select(F.sqrt(nearest).alias("centroid_distance"))
+    cut = exact_quantiles(own, ["centroid_distance"], [1.0 - contamination])["centroid_distance"][0]
     flag = F.coalesce(F.col("centroid_distance") > F.lit(cut), F.lit(False))
     return placed.withColumn("kmeans_anomaly", flag)

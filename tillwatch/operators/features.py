@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.bins import SALES_EDGES, SALES_LABELS, bin_label, bin_ordinal
@@ -48,8 +50,9 @@ def standardize(df: DataFrame, columns: list[str], suffix: str = "_scaled") -> D
     """Add ``(x - mean) / population std`` per feature.
 
     Statistics come from rows complete in all features, and rows that are not
-    complete get null.  A constant feature is divided by one.  The moments come
-    from one map-side combined aggregate.
+    complete get null.  A constant feature, or one whose spread rounds to zero, is divided
+    by one; one with an infinite value has no scale and gets null.  The moments
+    come from one map-side combined aggregate.
     """
     columns = require_list(columns, "columns")
     require_columns(df, columns)
@@ -63,7 +66,10 @@ def standardize(df: DataFrame, columns: list[str], suffix: str = "_scaled") -> D
     scaled = {}
     for i, c in enumerate(columns):
         found = moments[f"x{i}"]
-        spread = 1.0 if found["constant"] else found["std"]
+        if found["std"] is not None and not math.isfinite(found["std"]):
+            scaled[f"{c}{suffix}"] = F.lit(None).cast("double")
+            continue
+        spread = 1.0 if found["constant"] or found["std"] == 0 else found["std"]
         centered = F.col(q(c)).cast("double") - F.lit(found["mean"]).cast("double")
         scaled[f"{c}{suffix}"] = F.when(complete, centered / F.lit(spread).cast("double"))
     return df.withColumns(scaled)

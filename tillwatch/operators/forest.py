@@ -42,22 +42,22 @@ def tree_samples(df: DataFrame, features: list[str], id_columns: list[str], rows
                  trees: int, sample: int, seed: int) -> DataFrame:
     """``tree, x0, x1, ...``: at most ``sample`` rows per tree, chosen by hash.
 
-    Large tables give each drawn row to one tree; small ones let trees share
-    rows.  Either way only about ``1.5 * trees * sample`` rows leave the scan.
+    A row's number of trees follows from its hash and the wanted share, and it goes
+    to that many different trees: from a hashed first one on with a hashed stride.
+    The scheme is the same at every size, and about ``1.5 * trees * sample`` rows
+    leave the scan.
     """
     ids = [F.col(q(c)) for c in id_columns]
     unit = lambda *salt: F.pmod(F.xxhash64(*ids, *[F.lit(s) for s in salt]), F.lit(1 << 40)) / F.lit(float(1 << 40))
     points = df.select(*ids, *[as_number(df, c).alias(f"x{i}") for i, c in enumerate(features)])
-    wanted = _OVERSAMPLE * trees * sample
-    if rows > wanted:
-        tree = F.pmod(F.xxhash64(*ids, F.lit(seed + 1)), F.lit(trees)).cast("int")
-        drawn = points.filter(unit(seed) < F.lit(wanted / rows)).withColumn("tree", tree)
-    else:
-        chance = min(1.0, _OVERSAMPLE * sample / rows)
-        mine = F.filter(
-            F.sequence(F.lit(0), F.lit(trees - 1)),
-            lambda t: F.pmod(F.xxhash64(*ids, t, F.lit(seed)), F.lit(1 << 40)) < F.lit(int(chance * (1 << 40))))
-        drawn = points.withColumn("tree", F.explode(mine))
+    share = min(1.0, _OVERSAMPLE * sample / rows)  # of all rows, in each tree
+    strides = F.array(*[F.lit(i) for i in range(1, trees + 1) if math.gcd(i, trees) == 1])
+    number = (F.floor(F.lit(trees * share)) + (unit(seed) < F.lit(trees * share % 1)).cast("int")).cast("int")
+    first = F.pmod(F.xxhash64(*ids, F.lit(seed + 1)), F.lit(trees)).cast("int")
+    stride = F.element_at(strides, (F.pmod(F.xxhash64(*ids, F.lit(seed + 3)), F.size(strides)) + 1).cast("int"))
+    drawn = (points.withColumn("__number", number).filter(F.col("__number") > 0)
+             .withColumn("__turn", F.explode(F.sequence(F.lit(0), F.col("__number") - 1)))
+             .withColumn("tree", F.pmod(first + F.col("__turn") * stride, F.lit(trees)).cast("int")))
     place = Window.partitionBy("tree").orderBy(F.xxhash64(*ids, F.col("tree"), F.lit(seed + 2)), *ids)
     return (drawn.withColumn("__place", F.row_number().over(place)).filter(F.col("__place") <= sample)
             .select("tree", *[f"x{i}" for i in range(len(features))]))

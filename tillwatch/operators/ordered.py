@@ -154,8 +154,9 @@ def temporal_anomaly(
     window: int = 7,
     blocks: int | None = None,
     factor: float = 2.0,
+    sort: bool = True,
 ) -> DataFrame:
-    """Flag values more than two rolling deviations from the rolling mean.
+    """Flag values more than two rolling deviations from the rolling mean; rows by date unless ``sort`` is off.
 
     A constant frame is never flagged (its rounded mean may differ from the
     value).  As a value is part of its own frame it can lie at most
@@ -169,8 +170,9 @@ def temporal_anomaly(
         return F.coalesce(complete & varied & beyond(value, F.col("__avg"), F.col("__std"), factor), F.lit(False))
 
     order_by = [date_column, *require_list(ties, "ties")]
-    return _with_frames(df, value_column, window, order_by, blocks, {
+    flagged = _with_frames(df, value_column, window, order_by, blocks, {
         "rolling_mean": _mean, "rolling_std": _std, "temporal_anomaly": flag})
+    return flagged.orderBy(*sort_columns(order_by)) if sort else flagged
 
 
 def _check_window(df: DataFrame, value_column: str, window: int) -> None:
@@ -184,8 +186,9 @@ def interpolate(
 ) -> DataFrame:
     """Linear fill by row position of numeric and date/time columns.
 
-    Leading gaps stay, trailing gaps repeat the last value.  Integer columns
-    become double; dates keep their type, so a midpoint is cut to its day.
+    Leading gaps stay, trailing gaps repeat the last value.  Columns without a gap are
+    left alone; integer columns with gaps become double; dates keep their type, so a
+    midpoint is cut to its day.  Known values never change.
     """
     sort_columns(order_by)
     temporal = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -198,6 +201,11 @@ def interpolate(
         if columns is None and not able:
             raise ValueError("no numeric or date column to interpolate")
         return df
+    gaps = df.agg(*[F.count_if(F.col(q(c)).isNull()).alias(f"g{n}") for n, c in enumerate(chosen)]).first()
+    chosen = [c for n, c in enumerate(chosen) if gaps[f"g{n}"]]
+    if not chosen:
+        return df
+
     def points(place: str) -> dict[str, Column]:
         return {c: F.when(F.col(q(c)).isNotNull(), F.struct(F.col(place).alias("i"), _position(df, c).alias("v")))
                 for c in chosen}
@@ -216,7 +224,8 @@ def interpolate(
         near[f"__p{n}"] = F.coalesce(F.last(known[c], ignorenulls=True).over(forward), F.col(f"__before{n}"))
         near[f"__n{n}"] = F.coalesce(F.last(known[c], ignorenulls=True).over(backward), F.col(f"__after{n}"))
     rows = rows.withColumns(near)
-    filled = {c: _restore(df, c, _between(F.col(f"__p{n}"), F.col(f"__n{n}"))) for n, c in enumerate(chosen)}
+    filled = {c: F.coalesce(F.col(q(c)), _restore(df, c, _between(F.col(f"__p{n}"), F.col(f"__n{n}"))))
+              for n, c in enumerate(chosen)}
     return rows.withColumns(filled).select(*[q(c) for c in df.columns])
 
 

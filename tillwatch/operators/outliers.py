@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.flags import any_flag, beyond
@@ -56,10 +58,12 @@ def outliers_modified_zscore(df, columns, threshold: float = 3.5, quantiles: str
 
 def _iqr(df, columns, limit, quantiles) -> dict[str, Column]:
     bounds = iqr_bounds(df, columns, limit, quantiles)
-    return {
-        c: (as_number(df, c) < F.lit(b[3])) | (as_number(df, c) > F.lit(b[4])) if b else F.lit(False)
-        for c, b in bounds.items()
-    }
+    def outside(column: str, low: float, high: float) -> Column:
+        # infinite values can make a bound not-a-number, which nothing is beyond
+        below = F.lit(False) if math.isnan(low) else as_number(df, column) < F.lit(low)
+        return below if math.isnan(high) else below | (as_number(df, column) > F.lit(high))
+
+    return {c: outside(c, b[3], b[4]) if b else F.lit(False) for c, b in bounds.items()}
 
 
 def _zscore(df, columns, limit, _) -> dict[str, Column]:
@@ -72,7 +76,8 @@ def _zscore(df, columns, limit, _) -> dict[str, Column]:
     tests = {}
     for i, c in enumerate(columns):
         found = moments[f"x{i}"]
-        if found["varied"]:  # else constant: its rounded mean must not flag anything
+        # a constant's rounded mean must not flag anything, nor a spread that is infinite or rounds to zero
+        if found["varied"] and found["std"] > 0 and math.isfinite(found["std"]) and math.isfinite(found["mean"]):
             tests[c] = F.abs((as_number(df, c) - F.lit(found["mean"])) / F.lit(found["std"])) > F.lit(float(limit))
         else:
             tests[c] = F.lit(False)
@@ -83,7 +88,7 @@ def _modified_zscore(df, columns, limit, quantiles) -> dict[str, Column]:
     tests = {}
     for c, (median, mad) in median_and_mad(df, columns, quantiles).items():
         x = as_number(df, c)
-        if median is None:
+        if median is None or not (math.isfinite(median) and math.isfinite(mad)):
             tests[c] = F.lit(False)
         elif mad == 0:  # division by zero: infinitely far unless equal
             tests[c] = x != F.lit(median)

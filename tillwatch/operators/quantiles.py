@@ -132,17 +132,27 @@ def _narrow(data, names, targets, proposals) -> None:
     counts = data.agg(*[
         F.struct(
             F.count_if(F.col(x) < lo).alias("below"),
-            F.count_if(F.col(x).between(lo, hi)).alias("inside"),
+            F.count_if(F.col(x) == lo).alias("at_low"),
+            F.count_if((F.col(x) > lo) & (F.col(x) < hi)).alias("between"),
+            F.count_if(F.col(x) == hi).alias("at_high"),
         ).alias(f"b{i}")
         for i, (x, lo, hi) in enumerate(brackets)
     ]).first()
     found = {b: counts[f"b{i}"] for i, b in enumerate(brackets)}
     for key, (lo, hi) in todo.items():
+        # the ends are tested by themselves: a value that many rows share is never bracketed twice
         target, seen = targets[key], found[(names[key[0]], lo, hi)]
-        if seen["below"] <= target.rank < seen["below"] + seen["inside"]:
-            target.low, target.high = lo, hi
-            target.below, target.inside = seen["below"], seen["inside"]
+        place = target.rank - seen["below"]
+        if place < 0:
+            continue
+        if place < seen["at_low"]:
+            target.value = lo
+        elif place < seen["at_low"] + seen["between"]:
+            target.low, target.high = math.nextafter(lo, math.inf), math.nextafter(hi, -math.inf)
+            target.below, target.inside = seen["below"] + seen["at_low"], seen["between"]
             target.settle()
+        elif lo < hi and place < seen["at_low"] + seen["between"] + seen["at_high"]:
+            target.value = hi
 
 
 def _select_or_sketch(data, names, open_, margin, accuracy, direct_rows):
@@ -219,6 +229,16 @@ def median_abs_dev(df: DataFrame, columns: list[str], method: str = "exact") ->
         [(c, m, d) for c, (m, d) in found.items()], "column string, median double, mad double")
 
 
+def small_quantile(value: Column, prob: float) -> Column:
+    """Aggregate for groups of bounded size, by the same arithmetic as large ones."""
+    ordered = F.sort_array(F.collect_list(value))
+    position = F.lit(float(prob)) * (F.size(ordered) - 1)
+    at = lambda place: F.element_at(ordered, (place + 1).cast("int"))
+    low, high = at(F.floor(position)), at(F.ceil(position))
+    inner = F.when(low == high, low).otherwise(low + (high - low) * (position - F.floor(position)))
+    return F.when(F.size(ordered) > 0, inner)
+
+
 def grouped_quantile(
     df: DataFrame,
     keys: list[str],
@@ -243,22 +263,22 @@ def grouped_quantile(
     sizes = materialize(data.groupBy(*names).agg(F.count("__x").alias("__n")), "group-sizes")
     largest = sizes.agg(F.max("__n")).first()[0]
     if largest is None or largest <= direct_rows:
-        return data.groupBy(*names).agg(F.percentile("__x", prob).alias(output))
+        return data.groupBy(*names).agg(small_quantile(F.col("__x"), prob).alias(output))
 
     small = data.join(sizes.filter(F.col("__n") <= direct_rows).select(*names), keys, "left_semi")
-    done = small.groupBy(*names).agg(F.percentile("__x", prob).alias(output))
+    done = small.groupBy(*names).agg(small_quantile(F.col("__x"), prob).alias(output))
     position = F.lit(float(prob)) * (F.col("__n") - 1)
     state = sizes.filter(F.col("__n") > direct_rows).select(
         *names,
         F.floor(position).alias("__r0"), F.ceil(position).alias("__r1"),
         (position - F.floor(position)).alias("__part"),
         F.lit(float("-inf")).alias("__lo"), F.lit(float("inf")).alias("__hi"),
-        F.lit(0).cast("long").alias("__below"), F.col("__n").alias("__inside"),
+        F.lit(0).cast("long").alias("__below"), F.col("__n").alias("__inside"), F.lit(False).alias("__tied"),
     )
     for _ in range(MAX_ROUNDS):
         state = materialize(_narrow_groups(data, state, keys, accuracy, direct_rows), "group-brackets")
         check = state.agg(
-            F.max(F.when(F.col("__lo") < F.col("__hi"), F.col("__inside"))),
+            F.max(F.when((F.col("__lo") < F.col("__hi")) & ~F.col("__tied"), F.col("__inside"))),
             F.count_if((F.col("__r0") < F.col("__below"))
                        | (F.col("__r1") >= F.col("__below") + F.col("__inside"))),
         ).first()
@@ -270,10 +290,14 @@ def grouped_quantile(
 
 
 def _narrow_groups(data, state, keys, accuracy, direct_rows):
-    """Replace each large bracket by two neighbouring grid points of its sketch."""
+    """Replace each large bracket by two neighbouring grid points of its sketch.
+
+    A bracket that keeps more than half of its rows has values at its ends that
+    many rows share, and few rows between; it is read off as it is.
+    """
     names = [q(k) for k in keys]
     grid = [i / GRID for i in range(GRID + 1)]
-    open_ = (F.col("__inside") > direct_rows) & (F.col("__lo") < F.col("__hi"))
+    open_ = (F.col("__inside") > direct_rows) & (F.col("__lo") < F.col("__hi")) & ~F.col("__tied")
     wide, kept = state.filter(open_), state.filter(~open_)
     within = F.col("__x").between(F.col("__lo"), F.col("__hi"))
     sketch = (data.join(wide, keys).filter(within).groupBy(*names)
@@ -283,7 +307,7 @@ def _narrow_groups(data, state, keys, accuracy, direct_rows):
     left = F.floor(step(F.col("__r0"))).cast("int") - 1
     right = F.ceil(step(F.col("__r1") + 1)).cast("int") + 1
     bracket = wide.join(sketch, keys).select(
-        *names, "__r0", "__r1", "__part",
+        *names, "__r0", "__r1", "__part", F.col("__inside").alias("__before"),
         F.when(left < 0, F.col("__mn")).otherwise(F.try_element_at("__s", F.greatest(left, F.lit(0)) + 1)).alias("__lo"),
         F.when(right > GRID, F.col("__mx")).otherwise(F.try_element_at("__s", F.least(right, F.lit(GRID)) + 1)).alias("__hi"),
     )
@@ -291,7 +315,8 @@ def _narrow_groups(data, state, keys, accuracy, direct_rows):
     counted = (data.join(bracket, keys).groupBy(*names)
                .agg(F.count_if(F.col("__x") < F.col("__lo")).alias("__below"),
                     F.count_if(within).alias("__inside")))
-    return kept.unionByName(bracket.join(counted, keys))
+    narrowed = bracket.join(counted, keys).withColumn("__tied", F.col("__inside") * 2 > F.col("__before")).drop("__before")
+    return kept.unionByName(narrowed)
 
 
 def _read_off_groups(data, state, keys, output):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import month_label, to_month
@@ -60,6 +62,22 @@ def product_month(df: DataFrame, product: str = "coffee_name", date: str = "Date
     return pivot_sum(keyed, product, "__month", value, 0, pivot_on=months)
 
 
+def product_month_long(df: DataFrame, product: str = "coffee_name", date: str = "Date", value: str = "money",
+                       fill: float = 0) -> DataFrame:
+    """The heat map as rows (product, month, sales), every product with every month present.
+
+    The months come to the driver (as many as the calendar has), not as columns, so
+    any number of them goes.
+    """
+    month = month_label(to_month(F.col(q(date)))).alias("month")
+    sums = df.filter(F.col(q(product)).isNotNull()).groupBy(q(product), month).agg(F.sum(q(value)).alias("sales"))
+    months = sorted(r[0] for r in df.select(month).distinct().collect() if r[0] is not None)
+    grid = df.filter(F.col(q(product)).isNotNull()).select(q(product)).distinct().select(
+        q(product), F.explode(F.array(*[F.lit(m) for m in months]).cast("array<string>")).alias("month"))
+    return grid.join(sums, [product, "month"], "left").select(
+        q(product), "month", F.coalesce("sales", F.lit(float(fill))).alias("sales"))
+
+
 def histogram(df: DataFrame, column: str = "money", bins: int = 30) -> DataFrame:
     """Counts in equal-width bins from minimum to maximum, the last bin closed.
 
@@ -72,17 +90,27 @@ def histogram(df: DataFrame, column: str = "money", bins: int = 30) -> DataFrame
     value = as_number(df, column)
     data = df.select(value.alias("x")).filter(F.col("x").isNotNull())
     low, high = data.agg(F.min("x"), F.max("x")).first()
-    if low is not None and low == high:
-        low, high = low - 0.5, high + 0.5
-    width = None if low is None else (high - low) / bins
-    start, step = F.lit(low).cast("double"), F.lit(width).cast("double")
-    number = F.least(F.floor((F.col("x") - start) / step).cast("int") + 1, F.lit(bins))
-    counts = data.groupBy(number.alias("bin")).agg(F.count("*").alias("n"))
     frame = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    if low is None:
+        nothing = F.lit(None).cast("double")
+        return frame.select("bin", nothing.alias("bin_start"), nothing.alias("bin_end"), F.lit(0).cast("long").alias("count")).orderBy("bin")
+    if not (math.isfinite(low) and math.isfinite(high)):
+        raise ValueError(f"{column} holds an infinite value")
+    if low == high:
+        low, high = low - 0.5, high + 0.5
+    width = (high - low) / bins
+    edges = F.array(*[F.lit(low + i * width if i < bins else high) for i in range(bins + 1)])
+    # the division may round a value over an edge: what counts is where the edges lie
+    guess = F.least(F.floor((F.col("x") - F.lit(low)) / F.lit(width)).cast("int") + 1, F.lit(bins))
+    placed = data.withColumn("bin", guess)
+    number = (F.when(F.col("x") < F.element_at(edges, F.col("bin")), F.col("bin") - 1)
+              .when((F.col("x") >= F.element_at(edges, F.col("bin") + 1)) & (F.col("bin") < bins), F.col("bin") + 1)
+              .otherwise(F.col("bin")))
+    counts = placed.groupBy(number.alias("bin")).agg(F.count("*").alias("n"))
     return frame.join(counts, "bin", "left").select(
         "bin",
-        (start + step * (F.col("bin") - 1)).alias("bin_start"),
-        (start + step * F.col("bin")).alias("bin_end"),
+        F.element_at(edges, F.col("bin")).alias("bin_start"),
+        F.element_at(edges, F.col("bin") + 1).alias("bin_end"),
         F.coalesce("n", F.lit(0)).alias("count"),
     ).orderBy("bin")
 

@@ -42,7 +42,8 @@ def detect_anomalies(df: DataFrame, plan: DetectionPlan = DetectionPlan()) -> Da
             trees=plan.trees, contamination=plan.contamination)
     if plan.date_column in df.columns and plan.value_column in df.columns:
         flagged = temporal_anomaly(
-            flagged, plan.date_column, plan.value_column, [c for c in ids if c != plan.date_column], plan.window)
+            flagged, plan.date_column, plan.value_column, [c for c in ids if c != plan.date_column], plan.window,
+            sort=False)
     if plan.group_columns and all(c in df.columns for c in plan.group_columns):
         flagged = pattern_anomaly(flagged, list(plan.group_columns), plan.value_column)
     return flagged

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.reporting import anomaly_report
 from ..session import list_dirs, materialize, scratch_scope
-from ..sources.csv import read_sales
+from ..sources.csv import READ_OPTIONS, read_sales
 from ..sources.sinks import drop_expired, write_anomaly_report, write_csv, write_parquet
 from .detect import DetectionPlan, detect_anomalies
 from .report import complete_report
@@ -30,7 +30,6 @@ class JobConfig:
     anomaly_threshold: float = 0.1
     enable_anomaly_detection: bool = True
     enable_reporting: bool = True
-    schedule_time: str = "09:00"  # read by whatever scheduler starts the job
     retention_days: int = 30
     trim: bool = True
     detection: DetectionPlan = field(default_factory=DetectionPlan)
@@ -156,7 +155,7 @@ def _save(spark, table, path) -> DataFrame:
     reader = spark.read.schema(table.schema)
     if path.endswith(".csv"):
         write_csv(table, path)
-        return reader.option("header", True).csv(path)
+        return reader.options(**READ_OPTIONS, multiLine=True).csv(path)
     write_parquet(table, path)
     return reader.parquet(path)
 

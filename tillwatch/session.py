@@ -10,6 +10,7 @@ later scans are column-pruned and carry their true size into join planning.
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -46,7 +47,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if root:
         return f"{root.rstrip('/')}/tillwatch"
-    if not sc.master.startswith("local"):
+    if not re.match(r"local($|\[)", sc.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if sc.applicationId not in _local_dirs:
         folder = tempfile.mkdtemp(prefix="tillwatch-")

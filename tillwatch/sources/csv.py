@@ -7,9 +7,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..schema import NA_TOKENS, SALES_SCHEMA, q
 from ..session import path_exists
 
+#: Both directions: quotes doubled, blanks kept, line breaks allowed inside quotes.
+CSV_OPTIONS = {
+    "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+#: An unquoted empty cell is missing, a quoted one is empty text.
+READ_OPTIONS = {**CSV_OPTIONS, "nullValue": "\u0000"}
+_EXTRA = "__extra"
+
 
 def _known(col: Column, na_values: list[str]) -> Column:
-    return F.when(~col.isin(na_values), col)
+    return F.when(~col.isin(na_values), col) if na_values else col
 
 
 def _typed(col: Column, dtype: T.DataType, na_values: list[str], strict: bool) -> Column:
@@ -23,11 +30,16 @@ def _typed(col: Column, dtype: T.DataType, na_values: list[str], strict: bool) -
     return F.trim(cell).cast(dtype) if strict else F.trim(cell).try_cast(dtype)
 
 
-def _scan_text(spark: SparkSession, path: str, options: dict) -> DataFrame:
-    """All columns as text, named by the header."""
+def _scan_text(spark: SparkSession, path: str, options: dict, multi_line: bool = True) -> DataFrame:
+    """All columns as text, named by the header; a row with more cells than the header raises."""
     if not path_exists(spark, path):
         raise FileNotFoundError(path)
-    return spark.read.options(**{"header": True, "quote": '"', "escape": '"', **options}).csv(path)
+    reader = spark.read.options(**{**READ_OPTIONS, "multiLine": multi_line, **options})
+    columns = reader.csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, _EXTRA]])
+    rows = reader.option("enforceSchema", True).schema(schema).csv(path)
+    message = F.concat(F.lit(f"a row of {path} has more cells than the header: "), F.col(_EXTRA))
+    return rows.filter(F.when(F.col(_EXTRA).isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)).drop(_EXTRA)
 
 
 def read_csv(
@@ -38,17 +50,23 @@ def read_csv(
     parse_dates: list[str] | None = None,
     na_values: list[str] | None = None,
     strict: bool = True,
+    multi_line: bool = True,
+    keep_default_na: bool = True,
     **options,
 ) -> DataFrame:
-    """Scan a CSV file or folder under ``base_path``; missing files raise.
+    """Scan a CSV file or folder under ``base_path``; missing files and extra cells raise.
+
+    A quoted cell may hold line breaks, so a file is one task; for files without
+    them ``multi_line=False`` lets Spark split large files.  Without
+    ``keep_default_na`` only empty cells and ``na_values`` are missing.
 
     With ``schema`` the cells are cast to it by column name.  Without one a single aggregate
     decides per column between bigint, double, boolean and text (never a
     timestamp).  ``options`` go to Spark's reader.
     """
     path = f"{base_path.rstrip('/')}/{filename}" if base_path else filename
-    tokens = NA_TOKENS + list(na_values or [])
-    text = _scan_text(spark, path, options)
+    tokens = (NA_TOKENS if keep_default_na else []) + list(na_values or [])
+    text = _scan_text(spark, path, options, multi_line)
     if schema is None:
         schema = infer_types(text, tokens)
     absent = [f.name for f in schema.fields if f.name not in text.columns]
@@ -109,9 +127,10 @@ def read_sales(
     return df.withColumn("Date", parse("Date").cast("date"))
 
 
-def bad_dates(spark: SparkSession, filename: str, base_path: str = "", column: str = "Date", **options) -> DataFrame:
+def bad_dates(spark: SparkSession, filename: str, base_path: str = "", column: str = "Date",
+              na_values: list[str] | None = None, **options) -> DataFrame:
     """Number of cells that hold text but no date."""
     path = f"{base_path.rstrip('/')}/{filename}" if base_path else filename
-    cell = _known(F.col(q(column)), NA_TOKENS)
+    cell = _known(F.col(q(column)), NA_TOKENS + list(na_values or []))
     return _scan_text(spark, path, options).agg(
         F.count_if(cell.isNotNull() & F.try_to_timestamp(cell).isNull()).alias("bad_dates"))

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schema import q
 from ..session import delete_path, list_dirs
+from .csv import CSV_OPTIONS
 
 
 def write_csv(df: DataFrame, path: str, **options) -> None:
-    """CSV folder of part files with a header line each."""
-    df.write.mode("overwrite").options(**{"header": True, **options}).csv(path)
+    """CSV folder of part files with a header line each; ``read_csv`` gives the same cells back."""
+    df.write.mode("overwrite").options(**{**CSV_OPTIONS, **options}).csv(path)
 
 
 def write_parquet(
