@@ -13,8 +13,8 @@ Distance is 1 - Jaccard similarity, a metric; two documents link within
 3. Inside a region the pivots are documents.  Everybody's exact distance to the
    region's first pivot is taken.  Points within the radius link and form the
    pivot's ball; the ball is connected, so pairs inside it need no test.  The
-   others are the outside.  In further rounds outside points are pivots, 1, 4,
-   16, ... a region at a time, against those points that are not yet in the same
+   others are the outside.  In further rounds outside points are pivots, 8, 128,
+   2048, ... a region at a time, against those points that are not yet in the same
    component and that the triangle inequality admits: both distances to the
    region's first pivot differ by the radius at most, and sizes by the factor
    ``similarity``.  A region is done when each outside point has been a pivot.
@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from ..session import materialize
+from .bitmap import bitmap, let_through
 from .components import components
 from .job import narrow, ship
 from .words import Words, grams, mix, pieces, signed
@@ -48,6 +49,7 @@ from .words import Words, grams, mix, pieces, signed
 LEVEL_BITS = 22  # the table of n-gram frequencies has 2**22 places, whatever the data
 SAMPLED = 16     # one document in so many counts for the order
 HEAVY = 3        # times that a sampled n-gram must occur to be ordered after the rare ones
+SKETCH_BITS = 11 # a point's sketch has 2**11 parity bits
 
 
 def ngram_sets(text: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,9 +92,9 @@ def frequency_levels(docs: DataFrame, k: int) -> np.ndarray:
     heavy = some.mapInArrow(_sampled(k), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= HEAVY)
     place = F.shiftrightunsigned("key", 64 - LEVEL_BITS).cast("int").alias("place")
     level = F.least(F.ceil(F.log2(F.max("n"))), F.lit(63)).cast("int").alias("level")
-    found = heavy.groupBy(place).agg(level).toPandas()  # at most 2**22 rows
+    found = heavy.groupBy(place).agg(level).toArrow()  # at most 2**22 rows
     levels = np.zeros(1 << LEVEL_BITS, np.uint8)
-    levels[found["place"].to_numpy(np.int64)] = found["level"].to_numpy(np.uint8)
+    levels[found["place"].to_numpy()] = found["level"].to_numpy()
     return levels
 
 
@@ -114,36 +116,84 @@ def _points(k: int, percent: int, shared):
                 turn = np.arange(len(keys)) - ends[docs]
                 pick = ranked[turn < short[docs]]
                 offsets = np.concatenate(([0], np.cumsum(short))).astype(np.int32)
+                bit = docs * (1 << SKETCH_BITS) + (keys & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
+                odd = np.bincount(bit, minlength=text.texts << SKETCH_BITS) & 1
+                sketch = np.packbits(odd.astype(np.uint8)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(at, to - at), pa.array(sizes.astype(np.int64)),
                      pa.array(signed(one[ends[1:]] - one[ends[:-1]])), pa.array(signed(two[ends[1:]] - two[ends[:-1]])),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(pick)))],
-                    ["doc_id", "n_shingles", "d1", "d2", "pivots"])
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(pick))),
+                     pa.ListArray.from_arrays(pa.array(np.arange(text.texts + 1, dtype=np.int32) << (SKETCH_BITS - 6)), pa.array(sketch))],
+                    ["doc_id", "n_shingles", "d1", "d2", "pivots", "sketch"])
     return make
 
 
-def _set_rows(k: int):
+def _set_rows(k: int, shared):
+    """n-gram sets of the texts whose doc_id the bitmap lets through."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
         for batch in batches:
-            for at, to, text in pieces(batch, "text", lower=True):
+            some = batch.filter(pa.array(let_through(bits, batch.column("doc_id").to_numpy())))
+            for at, to, text in pieces(some, "text", lower=True):
                 keys, docs = ngram_sets(text, k)
-                offsets = np.concatenate(([0], np.cumsum(np.bincount(docs, minlength=text.texts)))).astype(np.int32)
+                ends = np.concatenate(([0], np.cumsum(np.bincount(docs, minlength=text.texts))))
+                one = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(keys), dtype=np.uint64)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(at, to - at), pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(keys)))],
-                    ["doc", "keys"])
+                    [some.column("doc_id").slice(at, to - at), pa.array(signed(one[ends[1:]] - one[ends[:-1]])),
+                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(signed(keys)))],
+                    ["doc", "d1", "keys"])
+    return make
+
+
+def _in_regions(shared):
+    """Points with the pivots that the bitmap lets through, one row each."""
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            pivots = batch.column("pivots")
+            row = pivots.value_parent_indices().to_numpy()
+            keys = pivots.flatten().to_numpy()
+            keep = let_through(bits, keys) if len(keys) else np.zeros(0, bool)
+            first = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=batch.num_rows))))
+            place = (np.arange(len(row)) - first[row])[keep]
+            row = pa.array(row[keep])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[keep]), batch.column("doc").take(row), batch.column("n").take(row), pa.array(place.astype(np.int32))],
+                ["region", "doc", "n", "pos"])
     return make
 
 
 def _near(percent: int):
-    """Sizes of two sets allow the similarity."""
-    return F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent
+    """Sizes of two sets, and what follows this n-gram in both, allow the similarity.
+
+    Where the region's n-gram is a pair's first common one, all others they share
+    come after it in both; a pair that is similar passes at least there.
+    """
+    sizes = F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent
+    after = F.least(F.col("n") - F.col("pos"), F.col("pivot_n") - F.col("pivot_pos"))
+    return sizes & (after * (100 + percent) >= (F.col("n") + F.col("pivot_n")) * percent)
 
 
-def _measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Exact intersection sizes of (doc, n, pivot, pivot_n)."""
-    left = sets.select("doc", "keys")
+def _measure(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Exact intersection sizes of those pairs (doc, n, pivot, pivot_n) that can be similar enough.
+
+    The parity sketches of two sets differ in at most as many bits as the sets do in
+    n-grams; pairs whose sketches are too far apart need no text.
+    """
+    spark = pairs.sparkSession
+    own = classes.select("doc", "sketch", "d1")
+    other = classes.select(F.col("doc").alias("pivot"), F.col("sketch").alias("pivot_sketch"), F.col("d1").alias("pivot_d1"))
+    apart = F.aggregate(F.zip_with("sketch", "pivot_sketch", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda x, y: x + y)
+    asked = (pairs.join(own, "doc").join(other, "pivot")
+             .filter(apart * (100 + percent) <= (F.col("n") + F.col("pivot_n")) * (100 - percent)))
+    asked = materialize(asked.select("doc", "n", "d1", "pivot", "pivot_n", "pivot_d1"), "asked")
+    ids = asked.select(F.explode(F.array("doc", "pivot")).alias("key"))
+    shared = spark.sparkContext.broadcast(bitmap(ids))  # 4 MB
+    sets = texts.filter("doc_id IS NOT NULL").mapInArrow(_set_rows(k, shared), "doc bigint, d1 bigint, keys array<bigint>")
+    wanted = asked.select("doc", "d1").unionByName(asked.select(F.col("pivot").alias("doc"), F.col("pivot_d1").alias("d1"))).distinct()
+    sets = materialize(sets.join(wanted, ["doc", "d1"], "left_semi").dropDuplicates(["doc"]), "sets")
     right = sets.select(F.col("doc").alias("pivot"), F.col("keys").alias("pivot_keys"))
-    return pairs.join(left, "doc").join(right, "pivot").select(
+    return asked.join(sets.select("doc", "keys"), "doc").join(right, "pivot").select(
         "doc", "pivot", "n", "pivot_n", F.size(F.array_intersect("keys", "pivot_keys")).cast("bigint").alias("both"))
 
 
@@ -158,34 +208,29 @@ def jaccard_join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     texts = narrow(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     shared = spark.sparkContext.broadcast(frequency_levels(texts, k))  # 4 MB
     points = materialize(texts.mapInArrow(
-        _points(k, percent, shared), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, pivots array<bigint>"), "points")
+        _points(k, percent, shared), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, pivots array<bigint>, sketch array<bigint>"), "points")
     full = points.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = full.groupBy("n_shingles", "d1", "d2").agg(F.min(F.struct("doc_id", "pivots")).alias("least"))
+    classes = full.groupBy("n_shingles", "d1", "d2").agg(F.min(F.struct("doc_id", "pivots", "sketch")).alias("least"))
     classes = materialize(classes.select(F.col("least.doc_id").alias("doc"), F.col("n_shingles").alias("n"), "d1", "d2",
-                                         F.col("least.pivots").alias("pivots")), "classes")
+                                         F.col("least.pivots").alias("pivots"), F.col("least.sketch").alias("sketch")), "classes")
     held = materialize(full.select("doc_id", "n_shingles", "d1", "d2").join(
         classes.select("doc", F.col("n").alias("n_shingles"), "d1", "d2"), ["n_shingles", "d1", "d2"]).select("doc_id", "doc"), "held")
     # a doc_id with several texts ties their classes
     tied = (held.groupBy("doc_id").agg(F.min("doc").alias("u"), F.max("doc").alias("v")).filter("u <> v").select("u", "v")
             .unionByName(held.filter("doc_id <> doc").groupBy("doc_id").agg(F.min("doc").alias("doc"), F.count_distinct("doc").alias("c"))
                          .filter("c > 1").select(F.col("doc_id").alias("u"), F.col("doc").alias("v"))))
-    replicas = classes.select(F.explode("pivots").alias("region"), "doc", "n")
-    shared_by = replicas.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc", "n")).alias("p")).filter("c > 1")
-    members = replicas.join(shared_by, "region").select(
-        "region", "doc", "n", F.col("p.doc").alias("pivot"), F.col("p.n").alias("pivot_n"))
-    # two regions with the same points are one: keep a region per set of points
-    regions = materialize(members, "regions")
-    wanted = regions.select("doc").distinct()
-    sets = materialize(texts.join(wanted, texts["doc_id"] == wanted["doc"], "left_semi").mapInArrow(
-        _set_rows(k), "doc bigint, keys array<bigint>"), "sets")
-    one = classes.select("doc", "n").withColumnRenamed("n", "size")
-    sets = sets.withColumn("size", F.size("keys")).join(one, ["doc", "size"], "left_semi").dropDuplicates(["doc"]).drop("size") \
-        if held.count() != held.select("doc_id").distinct().count() else sets
+    # of the regions only those of several points go on
+    crowded = classes.select(F.explode("pivots").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
+    bits = spark.sparkContext.broadcast(bitmap(crowded))  # 4 MB
+    replicas = materialize(classes.select("doc", "n", "pivots").mapInArrow(_in_regions(bits), "region bigint, doc bigint, n bigint, pos int"), "replicas")
+    firsts = replicas.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc", "n", "pos")).alias("p")).filter("c > 1")
+    regions = materialize(replicas.join(firsts, "region").select(
+        "region", "doc", "n", "pos", F.col("p.doc").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.pos").alias("pivot_pos")), "regions")
 
     # first round: the smallest document of each region is its pivot
     near = _near(percent)
     asked = regions.filter("doc <> pivot").filter(near).select("doc", "n", "pivot", "pivot_n").distinct()
-    first = materialize(_measure(asked, sets), "measured")
+    first = materialize(_measure(asked, classes, texts, k, percent), "measured")
     linked = F.col("both") * 100 >= (F.col("n") + F.col("pivot_n") - F.col("both")) * percent
     links = first.filter(linked).select(F.col("doc").alias("u"), F.col("pivot").alias("v")).unionByName(tied)
     links = materialize(links, "links")
@@ -202,8 +247,8 @@ def jaccard_join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     mixed = rows.groupBy("region").agg((F.min("comp") != F.max("comp")).alias("open")).filter("open").select("region")
     rows = materialize(rows.join(mixed, "region", "left_semi").join(known, ["doc", "pivot"], "left")
                        .withColumn("far", F.when(F.col("doc") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("far")))
-                       .select("region", "doc", "n", "far", F.col("pivot").alias("center")), "open")
-    served, turn = 1, 1
+                       .select("region", "doc", "n", "pos", "far", F.col("pivot").alias("center")), "open")
+    turn = 8
     radius = 1 - percent / 100 + 1e-9
     while True:
         # outside points that have not been pivots yet, in a fixed order
@@ -211,22 +256,22 @@ def jaccard_join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
         order = Window.partitionBy("region").orderBy(F.xxhash64("doc"), "doc")
         outside = now.filter("comp <> center_comp").withColumn("rank", F.row_number().over(order))
         chosen = outside.filter(F.col("rank") <= turn).select(
-            "region", F.col("doc").alias("pivot"), F.col("n").alias("pivot_n"), F.col("far").alias("pivot_far"), F.col("comp").alias("pivot_comp"))
+            "region", F.col("doc").alias("pivot"), F.col("n").alias("pivot_n"), F.col("pos").alias("pivot_pos"), F.col("far").alias("pivot_far"), F.col("comp").alias("pivot_comp"))
         chosen = materialize(chosen, "pivots")
         if chosen.isEmpty():
             break
         asked = (now.join(chosen, "region").filter("comp <> pivot_comp").filter(near)
                  .filter(F.coalesce(F.abs(F.col("far") - F.col("pivot_far")) <= radius, F.lit(True)))
                  .select("doc", "n", "pivot", "pivot_n").distinct())
-        fresh = materialize(_measure(asked, sets).filter(linked).select(F.col("doc").alias("u"), F.col("pivot").alias("v")), "links")
+        fresh = materialize(_measure(asked, classes, texts, k, percent).filter(linked).select(F.col("doc").alias("u"), F.col("pivot").alias("v")), "links")
         # a point that was a pivot is done in its region
         done = chosen.select("region", F.col("pivot").alias("doc"))
-        rows = materialize(now.select("region", "doc", "n", "far", "center").join(
+        rows = materialize(now.select("region", "doc", "n", "pos", "far", "center").join(
             done.withColumn("was", F.lit(True)), ["region", "doc"], "left").filter("was IS NULL").drop("was"), "open")
         if not fresh.isEmpty():
             links = materialize(links.unionByName(fresh), "links")
             label = components(links)
-        served, turn = served + turn, turn * 4
+        turn *= 16
 
     leader = label.select(F.col("node").alias("doc"), "component")
     class_of = held.join(leader, "doc", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "doc")).alias("component_id"))
@@ -238,8 +283,24 @@ def jaccard_join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
 def keep_one(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """The rows of ``docs`` without those that have a smaller document in their component.
 
-    One row stays of those that share the component's smallest doc_id; null ids stay.
+    Of rows that repeat a doc_id one stays; rows with a null id all stay.  Only rows
+    that may have to go are shuffled.
     """
-    groups = jaccard_join(docs, k, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(groups, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    spark = docs.sparkSession
+    ids = F.col("doc_id").cast("bigint").alias("key")
+    groups = jaccard_join(docs, k, percent)
+    gone = materialize(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    again = docs.groupBy(ids).count().filter("count > 1 AND key IS NOT NULL").select("key")
+    bits = spark.sparkContext.broadcast(bitmap(gone.select(F.col("doc_id").alias("key")).unionByName(again)))  # 4 MB
+
+    def parted(through: bool):
+        def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own = batch.column("doc_id").cast(pa.int64())
+                hit = let_through(bits.value, own.fill_null(0).to_numpy()) & ~own.is_null().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(hit == through))
+        return part
+
+    some = docs.mapInArrow(parted(True), docs.schema)
+    kept = some.join(gone, some["doc_id"] == gone["doc_id"], "left_anti").dropDuplicates(["doc_id"])
+    return docs.mapInArrow(parted(False), docs.schema).unionByName(kept)
