@@ -9,6 +9,8 @@ import zipfile
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH_ROWS = 2000  # rows of an Arrow batch, at most: texts are long, and two tasks share an executor's memory
+
 _shipped: set[str] = set()
 
 
@@ -16,9 +18,13 @@ def ship(spark: SparkSession) -> None:
     """Send this package's source to the executors, once for each application.
 
     Functions then travel by name, and what a module remembers (vocabularies,
-    power tables) lives as long as the Python worker.
+    power tables) lives as long as the Python worker.  Also keeps the session's Arrow
+    batches to ``BATCH_ROWS`` rows.
     """
     sc = spark.sparkContext
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(size)) <= BATCH_ROWS:
+        spark.conf.set(size, BATCH_ROWS)
     if sc.applicationId in _shipped:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -13,7 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 4 << 20
+PIECE = 2 << 20
+TEXTS = 4096  # texts of a piece, at most
 BASE = 0x9E3779B97F4A7C15  # odd, 5 modulo 8: its powers repeat only after 2**62 steps
 MASK = (1 << 64) - 1
 
@@ -116,7 +117,7 @@ def pieces(batch: pa.RecordBatch, column: str, lower: bool = False) -> Iterator[
     data, offsets = utf8(batch.column(column))
     at = 0
     while at < len(offsets) - 1:
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + PIECE, "right")) - 1)
+        to = max(at + 1, min(at + TEXTS, int(np.searchsorted(offsets, offsets[at] + PIECE, "right")) - 1))
         part = offsets[at:to + 1]
         yield at, to, Words(data[part[0]:part[-1]], part - part[0], lower)
         at = to
