@@ -159,3 +159,19 @@ def test_incremental_days_are_local_days(spark, tmp_path, folder):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert found[0] == found[1] == found[2] and len(found[0]) == 140
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    """A row two days behind the watermark of an earlier run is left out, and the run says so."""
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+
+    def arrive(n, *days):
+        rows = [(n * 10 + i, dt.datetime(2024, 1, d, 12), 1, "view", 1.0, "") for i, d in enumerate(days)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        return run_incremental(spark, source, spark.createDataFrame([], schema).schema, out, state, transform=sales_view)
+
+    assert arrive(1, 1, 2, 9) == {"rows": 3, "late": 0}
+    arrive(2, 10)
+    seen = arrive(3, 3, 11)
+    assert seen["late"] == 1

@@ -167,6 +167,15 @@ def q_incremental_daily(spark, folder):
     return rounded(read_daily(spark, out), 2, "sales")
 
 
+@query("incremental_late", "SELECT count(*) AS \"rows\", 0 AS late FROM events")
+def q_incremental_late(spark, folder):
+    """What a run reports: rows read, and sums that came too late (none when all files come at once)."""
+    out, state = scratch_path(spark, "daily"), scratch_path(spark, "daily-state")
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    seen = run_incremental(spark, folder, schema, out, state, transform=sales_view, files="events.parquet")
+    return spark.createDataFrame([(seen["rows"], seen["late"])], "rows long, late long")
+
+
 @query("drop_duplicates", f"WITH {COPIES} SELECT DISTINCT * FROM d")
 def q_drop_duplicates(spark, folder):
     return drop_duplicates(copies(spark, folder))

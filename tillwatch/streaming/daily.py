@@ -37,9 +37,12 @@ def run_incremental(
     files: str | None = None,
     lateness: str = "1 day",
     max_files: int | None = None,
-) -> None:
+) -> dict[str, int]:
     """Process the files that came since the last run, append the closed days, stop.
 
+    Returns the rows read and the (day, product) sums of a task that came too late and were left
+    out; a caller that sees any can rebuild those days from the files.
+
     ``checkpoint`` remembers the files seen and the open days, so calling it
     once a day replaces a scheduler loop.  A day is appended, once, when the
     watermark has passed its end.
@@ -56,6 +59,11 @@ def run_incremental(
         .trigger(availableNow=True).start()
     )
     run.awaitTermination()
+    progress = run.recentProgress
+    return {
+        "rows": sum(p["numInputRows"] for p in progress),
+        "late": sum(s["numRowsDroppedByWatermark"] for p in progress for s in p["stateOperators"]),
+    }
 
 
 OUTPUT_SCHEMA = "day date, coffee_name string, sales double, transactions long"
