@@ -42,10 +42,10 @@ from .job import ship
 K = 20
 SAMPLE = 32_768
 TREES = 8
-LEAF = 200        # points of a leaf, about
+LEAF = 200        # points of a leaf, about, in small tables; in larger ones 4 x the root of their number
 BLOCK = 512       # points of a block, on average
 CHUNK = 256       # queries that meet a block together, on average
-VISITED = 0.17    # share of all leaves that a query visits
+VISITED = 0.14    # share of all leaves that a query visits
 HELD = 20_000     # best lists that a task merges before it passes them on
 
 
@@ -269,6 +269,7 @@ def nearest(embeddings: DataFrame, queries, k: int = K, trees: int = TREES, leaf
     drawn = points.filter(F.pmod(F.xxhash64("vector"), F.lit(1_000_003)) < int(share * 1_000_003) + 1)
     fitted = np.frombuffer(b"".join(r["vector"] for r in drawn.select("vector").collect()), kind).reshape(-1, bounds["size"])
     fitted = fitted[np.lexsort(fitted.T[::-1])]
+    leaf = max(leaf, 4 * n ** 0.5)  # so that a query's visits and a leaf's points grow alike
     depth = max(0, min(int(np.log2(max(n / leaf, 1))), int(np.log2(max(len(fitted) / 8, 1)))))
     forest = spark.sparkContext.broadcast(Forest.grow(fitted, trees if depth else 1, depth, largest, kind, seed))  # sample x trees / 8 planes at most
     visits = max(1, int(np.ceil(visited * forest.value.planes.shape[0] * (1 << depth))))
