@@ -170,10 +170,8 @@ def _search(shared, visits: int):
 
 def exact_products(vector: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Inner products in double precision, added up from the first coordinate to the last."""
-    out = np.zeros(len(others))
-    for j in range(len(vector)):
-        out += others[:, j].astype(np.float64) * float(vector[j])
-    return out
+    products = others.astype(np.float64) * vector.astype(np.float64)
+    return np.add.accumulate(products, axis=1)[:, -1]
 
 
 def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
