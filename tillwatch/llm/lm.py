@@ -172,7 +172,7 @@ def _unpack(blob: bytes, *kinds) -> list[np.ndarray]:
     return out
 
 
-RECORD = ("<u8", "<u4", "u1", "<u4", "<u2", "<u2")  # pairs, learning counts, p1 steps, first text, texts, times in the text
+RECORD = ("<u8", "<u4", "u1", "<u4", "<u2", "<u2")  # pairs, learning counts, p1 steps, numbers of texts, texts, times in the text
 
 
 def _records(folder: str, files, total: int, vocabulary: int, starts: int, shards: int, mu: float):
@@ -231,7 +231,7 @@ def _records(folder: str, files, total: int, vocabulary: int, starts: int, shard
                     begin = np.concatenate(([0], np.cumsum(n)))
                     flat = np.repeat(lead[some] - begin[:-1], n) + np.arange(begin[-1])
                     out_shard.append(s)
-                    blobs.append(_pack(own[some], count[some].astype("<u4"), steps[some], begin[:-1].astype("<u4"),
+                    blobs.append(_pack(own[some], count[some].astype("<u4"), steps[some], n.astype("<u4"),
                                        row[flat].astype("<u2"), times[flat].astype("<u2")))
                 many = len(blobs)
                 yield pa.RecordBatch.from_arrays(
@@ -310,9 +310,9 @@ def _answer(folder: str, mu: float):
         fs.move(draft, f"{base}/{name}")
         trie = Trie(memoryview(_mapped(folder, name, np.uint8, len(raw), 0)))
         for batch, texts, blob in blobs:
-            own, _, code, begin, row, times = _unpack(blob, *RECORD)
+            own, _, code, n, row, times = _unpack(blob, *RECORD)
             gain = np.log10(1 + trie.count(own) / (mu * 10.0 ** (code / 255 * FINEST)))
-            per = np.repeat(gain, np.diff(np.append(begin, len(row))))
+            per = np.repeat(gain, n)
             sums = np.bincount(row, per * times, texts)
             yield _row(batch, False, texts, None, sums.tobytes())
 
