@@ -19,7 +19,7 @@ import pyarrow as pa
 from .words import SPACE, Words, mix, pieces
 
 END = 2            # the id that ends every document
-KNOWN = 3_000_000  # remembered units of one worker; beyond it the memory starts anew
+KNOWN = 2_000_000  # remembered units of one worker; beyond it the memory starts anew
 CHUNK = 4_000      # units encoded by one call
 
 _encoders: dict[str, "Encoder"] = {}

@@ -13,8 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 2 << 20
-TEXTS = 4096  # texts of a piece, at most
+PIECE = 1 << 20
+TEXTS = 2048  # texts of a piece, at most
 BASE = 0x9E3779B97F4A7C15  # odd, 5 modulo 8: its powers repeat only after 2**62 steps
 MASK = (1 << 64) - 1
 
