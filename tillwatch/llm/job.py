@@ -9,7 +9,7 @@ import zipfile
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
-BATCH_ROWS = 2000  # rows of an Arrow batch, at most: texts are long, and two tasks share an executor's memory
+BATCH_ROWS = 1000  # rows of an Arrow batch, at most: texts are long, and two tasks share an executor's memory
 
 _shipped: set[str] = set()
 

@@ -121,6 +121,7 @@ def pieces(batch: pa.RecordBatch, column: str, lower: bool = False) -> Iterator[
         part = offsets[at:to + 1]
         yield at, to, Words(data[part[0]:part[-1]], part - part[0], lower)
         at = to
+    pa.default_memory_pool().release_unused()  # a worker outlives its task
 
 
 def signed(values: np.ndarray) -> np.ndarray:
