@@ -169,6 +169,28 @@ def test_deobfuscation():
     assert [data[at[i]:at[i + 1]].tobytes().decode() for i in range(len(cases))] == list(cases.values())
 
 
+def test_deobfuscation_of_each_form():
+    words = ("idiot stupid loser the and with moron pathetic worthless scum trash clown you are very person today "
+             "kill ass dumbass hello see this bad covid user well").split()
+    restorer = toxicity.Restorer(toxicity.CharModel({w: 50 for w in words}))
+    cases = {
+        "a dumba$$ here": "a dumbass here", "idio7": "idiot", "a55": "ass", "1d10t": "idiot",  # signs at the end
+        "i d 1 o t": "idiot", "k i l l today": "kill today", "a s s": "ass", "a 5 5": "ass", "k  i   l l": "kill",  # rows
+        "stop k i l l!": "stop kill!", "(i d 1 o t)": "(idiot)",
+        "s€€": "see", "k¡ll": "kill", "we££": "well", "k¡££ you": "kill you",  # signs of several bytes
+        "l" + "o" * 60 + "ser": "loser", "l" + "0" * 500 + "ser": "loser",  # long repeats
+        "hello! (see this) covid19 @user bad.": "hello! (see this) covid19 @user bad.", "12 30 1 2 3 4": "12 30 1 2 3 4",
+    }
+    from tillwatch.llm.words import utf8
+    import pyarrow as pa
+
+    data, at = toxicity._restored(*utf8(pa.array(list(cases))), restorer)
+    got = [data[at[i]:at[i + 1]].tobytes().decode() for i in range(len(cases))]
+    assert dict(zip(cases, got)) == cases
+    long = "x1y2" * 20_000  # a word of any length is read whole
+    assert len(toxicity.restore_text(long, restorer)) >= 70_000
+
+
 @pytest.fixture(scope="module")
 def toxic(spark):
     rng = random.Random(6)
