@@ -22,6 +22,16 @@ def ids():
     return lambda text: [*model.encode(text or "", add_special_tokens=False).ids, tokens.END]
 
 
+def test_token_ids_of_added_tokens(ids):
+    import pyarrow as pa
+
+    texts = ["one <|endoftext|> two<|endoftext|>", "plain one two", "<|endoftext|>", "a\n <|endoftext|>  \n b", "<|endoftext", "|> end",
+             "x  <|endoftext|><|endoftext|>\t<|ENDOFTEXT|>", "one <|endoftext|>two three", None]
+    out = tokens.token_ids(pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]), "text", tokens.default_path())
+    assert [x.tolist() for x in out] == [ids(t) for t in texts]
+    assert out[0].tolist() == [505, 220, 50256, 734, 50256, tokens.END]
+
+
 def test_token_ids_of_awkward_texts(ids):
     import pyarrow as pa
 

@@ -5,13 +5,15 @@ The vocabulary's split pattern never lets a token cross the place before a word
 units: words with or without their blank, and what other white space lies
 between.  Each distinct unit is encoded once by the ``tokenizers`` library and
 remembered by its hash; texts are put together from the units' ids with array
-operations.  Texts with rarer white space than ASCII's go through the library
-whole.
+operations.  Texts with rarer white space than ASCII's, or with an added token of
+the vocabulary such as ``<|endoftext|>``, go through the library whole: their ids
+are those of ``encode(text, add_special_tokens=False)`` with the library's defaults.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        added = [re.escape(t.content.encode()) for t in self.model.get_added_tokens_decoder().values()]
+        self.added = re.compile(b"(?=" + b"|".join(added) + b")") if added else None
         size = self.model.get_vocab_size()
         spaced = np.zeros(size, bool)
         for token, i in self.model.get_vocab().items():
@@ -166,13 +169,21 @@ def _odd(text: Words) -> np.ndarray:
     return np.unique(np.searchsorted(text.offsets, places, "right") - 1)
 
 
+def _with_added(text: Words, added: re.Pattern | None) -> np.ndarray:
+    """Rows that hold the content of an added token."""
+    if added is None:
+        return np.zeros(0, np.int64)
+    places = np.array([m.start() for m in added.finditer(text.data.tobytes())], np.int64)
+    return np.unique(np.searchsorted(text.offsets, places, "right") - 1)
+
+
 def token_ids(batch: pa.RecordBatch, column: str, path: str) -> list[np.ndarray]:
     """The ids of every whole text of a batch, each with the end id after it."""
     out: list[np.ndarray] = []
     model = encoder(path)
     for _, _, text in pieces(batch, column):
         ids, at = model.encode(text)
-        odd = set(_odd(text).tolist())
+        odd = {*_odd(text).tolist(), *_with_added(text, model.added).tolist()}
         for i in range(text.texts):
             if i in odd:
                 raw = text.data[text.offsets[i]:text.offsets[i + 1]].tobytes()
