@@ -119,6 +119,20 @@ def test_random_field_adds_and_spares(spark, folder):
     assert pii.all_spans("reach me at 269-555-3296 today", model)[1] == [(12, 24, "phone")]
 
 
+def test_spelled_addresses_without_digits(spark):
+    names = "anna ben carl dora emil fred gina hans ida jon".split()
+    rows = [(i, f"please write to {names[i % 10]}.{names[i // 10 % 10]}@{names[i // 3 % 10]}{'.example' * (i % 2)}.com today or look at the house") for i in range(300)]
+    model = pii.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    forms = ["john.doe(at)mail.host.com", "john.doe[at]mail.host.com", "john.doe (at) mail.host.com", "john.doe at host dot com",
+             "john.doe(AT)mail.host.com"]
+    texts = [f"please write to {form} today" for form in forms] + ["look at the house", "that is late"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in pii.find(docs, model).collect()}
+    for i, form in enumerate(forms):
+        assert found[i] == [("email", 16, 16 + len(form))], form
+    assert not found[5] and not found[6]
+
+
 def test_redaction_keeps_the_rest(spark):
     rows = [(1, "write to a@b.example.com please", "x"), (2, None, "y"), (3, "nothing", None)]
     out = pii.redact(spark.createDataFrame(rows, "doc_id long, text string, other string"), pii.SemiMarkov())

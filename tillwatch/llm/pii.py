@@ -2,7 +2,7 @@
 
 The patterns give e-mail addresses, IPv4 addresses, payment cards and phone numbers,
 leftmost and non-overlapping for each kind.  The random field reads the words around
-digits and at-signs.  A segment of up to ``LONGEST`` words is scored as a whole (its
+digits, at-signs and the word at (alone or in brackets, in any case).  A segment of up to ``LONGEST`` words is scored as a whole (its
 shape, digit counts, checksum, the word before it, ...) for each kind; dynamic
 programming over all segmentations finds the best boundaries and kinds together,
 and a segment is added if its probability under the model is ``SURE`` or more and
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .job import narrow, ship
-from .words import utf8
+from .words import LOWER, SPACE, utf8
 
 KINDS = ("email", "ip", "card", "phone")  # also the order of spans with one start
 LONGEST = 6       # words of a segment, at most
@@ -50,6 +50,11 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 EDGES = "()[]{}<>\"'.,;:!?"
+#: A word that a segment can begin from: with a digit or an at-sign, or with an at in brackets or alone.
+BRACKETED = r"[\[({<]at[\])}>]"
+MARKED = re.compile(rf"[0-9@]|{BRACKETED}|^[{re.escape(EDGES)}]*at[{re.escape(EDGES)}]*$", re.IGNORECASE)
+DOT = re.compile(rf"^[{re.escape(EDGES)}]*dot[{re.escape(EDGES)}]*$", re.IGNORECASE)
+SPELLED = re.compile(rf"{BRACKETED}| at .+ dot ", re.IGNORECASE)
 
 Span = tuple[int, int, str]  # start, end, kind
 
@@ -114,7 +119,7 @@ def features(words: list[str], i: int, j: int) -> list[str]:
     parts = text.split(".")
     ip = len(parts) == 4 and all(p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)
     only = not text.strip("+0123456789 ().-/")
-    at = "@" in text or bool(re.search(r"[\[(]at[\])]| at .+ dot ", text))
+    at = "@" in text or bool(SPELLED.search(text))
     found = [
         f"shape:{_shape(text)}", f"digits:{bucket}", f"words:{j - i}", f"digits:{bucket}|words:{j - i}", f"letters:{min(letters, 4)}|only:{only}",
         f"ip:{ip}", f"luhn:{n >= 14 and luhn(digits)}|{bucket}|{letters == 0}", f"at:{at}|dot:{'.' in text or ' dot ' in text}|{text.count('@')}|{j - i}",
@@ -137,9 +142,9 @@ class SemiMarkov:
 
     @staticmethod
     def segments(words: list[str]) -> dict[tuple[int, int], list[str]]:
-        """Features of all segments that hold a digit or an at-sign."""
+        """Features of all segments that hold a digit, an at-sign or an at in brackets or alone."""
         out = {}
-        marked = [any(c.isdigit() or c == "@" for c in w) or w in ("at", "(at)", "[at]") for w in words]
+        marked = [bool(MARKED.search(w)) or any(c.isdigit() for c in w) for w in words]
         for i in range(len(words)):
             for j in range(i + 1, min(i + LONGEST, len(words)) + 1):
                 if marked[i] and marked[j - 1] or j - i >= 3 and any(marked[i:j]):
@@ -231,12 +236,12 @@ def _logsum(values: list[float]) -> float:
 
 
 def stretches(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Places of the words around digits and at-signs, two words more on each side."""
+    """Places of the words around digits, at-signs and the word at, two words more on each side; a dot in words goes on."""
     words = [(m.start(), m.end()) for m in WORD.finditer(text)]
     last, run = -1, []
     for k, (s, e) in enumerate(words):
         part = text[s:e]
-        if "@" in part or any("0" <= c <= "9" for c in part) or part in ("(at)", "[at]"):
+        if MARKED.search(part) or run and k <= last and DOT.search(part):
             first = max(k - 2, last + 1)
             if run and first > last + 1:
                 yield run
@@ -310,9 +315,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> SemiMarkov:
     rows = docs.count()
     share = min(1.0, sample / max(rows, 1))
     drawn = narrow(docs, "doc_id", "text").filter(F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    # only the words around digits and at-signs come back, from about ``sample`` rows
-    short = drawn.filter(F.col("text").rlike("[0-9@]")).select(
-        "doc_id", F.expr("regexp_extract_all(text, '(?:[^ \\\\t-\\\\r]+[ \\\\t-\\\\r]+){0,3}(?:[^ \\\\t-\\\\r]*[0-9@][^ \\\\t-\\\\r]*[ \\\\t-\\\\r]*)+(?:[^ \\\\t-\\\\r]+[ \\\\t-\\\\r]*){0,3}', 0)").alias("parts"))
+    # only the words around digits, at-signs and the word at come back, from about ``sample`` rows
+    edge = r"[()\[\]{}<>\"'.,;:!?]"
+    trigger = rf"(?:[^ \t-\r]*(?:[0-9@]|{BRACKETED})[^ \t-\r]*|(?<![^ \t-\r]){edge}*at{edge}*(?![^ \t-\r]))"
+    part = rf"(?i)(?:[^ \t-\r]+[ \t-\r]+){{0,3}}(?:{trigger}[ \t-\r]*)+(?:[^ \t-\r]+[ \t-\r]*){{0,3}}"
+    short = drawn.filter(F.col("text").rlike(f"(?i){trigger}")).select("doc_id", F.regexp_extract_all("text", F.lit(part), F.lit(0)).alias("parts"))
     texts = [p for r in short.orderBy("doc_id").collect() for p in r["parts"]]
     examples = _examples(texts)
     return SemiMarkov.train(examples) if any(m for _, m in examples) else SemiMarkov()
@@ -336,16 +343,22 @@ def all_spans(text: str, model: SemiMarkov) -> tuple[list[Span], list[Span]]:
 
 
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-_marks = np.zeros(256, bool)
+_marks, _edges = np.zeros(256, bool), SPACE.copy()
 _marks[list(b"0123456789@")] = True
+_edges[list(EDGES.encode())] = True
 
 
 def _suspect(batch: pa.RecordBatch) -> np.ndarray:
-    """Rows with a digit or an at-sign; all others hold nothing of either method."""
+    """Rows with a digit, an at-sign or an at in brackets or alone; in all others neither method begins a span."""
     data, offsets = utf8(batch.column("text"))
     sums = np.concatenate(([0], np.cumsum(_marks[data], dtype=np.int64)))
-    odd = (sums[offsets[1:]] > sums[offsets[:-1]]).tolist()
-    return np.array(odd, bool)
+    odd = np.array((sums[offsets[1:]] > sums[offsets[:-1]]).tolist(), bool)
+    at = np.flatnonzero((LOWER[data[:-1]] == 97) & (LOWER[data[1:]] == 116))
+    row = np.searchsorted(offsets, at, "right") - 1
+    free = (at == offsets[row]) | _edges[data[at - 1]]
+    free &= (at + 2 == offsets[row + 1]) | _edges[data[np.minimum(at + 2, len(data) - 1)]]
+    odd[row[free & (at + 2 <= offsets[row + 1])]] = True
+    return odd
 
 
 def _find(shared):
