@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,6 +166,20 @@ def test_language_model_equals_counting(docs, rows, monkeypatch):
     assert all(abs(r["score"] - near[r["doc_id"], r["n_tokens"]]) < 0.03 * r["n_tokens"] for r in out)
 
 
+def test_language_model_of_a_pair_many_times(spark):
+    n = 70_000
+    docs = spark.createDataFrame([(1, "word " * n), (2, "word word other")], "doc_id long, text string")
+    out = {r["doc_id"]: r for r in lm.score(docs, F.lit(True), F.lit(False)).collect()}
+    pair = Counter({("<s>", "word"): 2, ("word", "word"): n, ("word", "</s>"): 1, ("word", "other"): 1, ("other", "</s>"): 1})
+    single, total, mu = Counter({"word": n + 2, "other": 1, "</s>": 2}), n + 5, lm.MU
+    step = lambda h, x: math.log10((pair[h, x] + mu * (single[x] + 1) / (total + 4)) / ((2 if h == "<s>" else single[h]) + mu))
+    want = step("<s>", "word") + (n - 1) * step("word", "word") + step("word", "</s>")
+    assert out[1]["n_tokens"] == n + 1 and abs(out[1]["score"] - want) < 0.03 * n
+    counts = np.array([1, 64, 70_000, 26_000_000, 4_000_000_000])
+    trie = lm.Trie(lm.Trie.build(np.arange(5, dtype=np.uint64), counts))
+    assert (abs(trie.count(np.arange(5, dtype=np.uint64)) / counts - 1) < 0.04).all()
+
+
 def test_language_model_without_training(spark, docs):
     out = lm.score(docs, F.lit(False), F.lit(True)).collect()
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["base_score"] == 0.0 and r["held_out"] for r in out)

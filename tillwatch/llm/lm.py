@@ -18,7 +18,7 @@ which sums to one over the known words and one unknown word for every context h
    count, p1 in 256 steps, and the texts that hold it.
 3. A shard merges its records into the trie's second level: contexts, monotone
    pointers to their successor lists (both Elias-Fano coded), and the counts in 256
-   steps.  The level is a file in the shared folder, mapped for the queries: a
+   steps, with a list of those too large for a step.  The level is a file in the shared folder, mapped for the queries: a
    successor is searched within the range of its context.  The shard answers each
    record with a sum for each text.
 4. The answers of a batch are added up.
@@ -172,7 +172,8 @@ def _unpack(blob: bytes, *kinds) -> list[np.ndarray]:
     return out
 
 
-RECORD = ("<u8", "<u4", "u1", "<u4", "<u2", "<u2")  # pairs, learning counts, p1 steps, numbers of texts, texts, times in the text
+#: Pairs, learning counts, p1 steps, numbers of texts, texts, times in the text (low and high half: the high one packs to nothing).
+RECORD = ("<u8", "<u4", "u1", "<u4", "<u2", "<u2", "<u2")
 
 
 def _records(folder: str, files, total: int, vocabulary: int, starts: int, shards: int, mu: float):
@@ -211,7 +212,7 @@ def _records(folder: str, files, total: int, vocabulary: int, starts: int, shard
                 new = np.ones(len(pair), bool)
                 new[1:] = (pair[1:] != pair[:-1]) | (row[1:] != row[:-1])
                 place = np.flatnonzero(new)
-                times = np.minimum(np.diff(np.append(place, len(pair))), 65535)
+                times = np.diff(np.append(place, len(pair)))
                 pair, row, code = pair[place], row[place], code[place]
                 taught = np.where(learn[at:to][row], times, 0)
                 lead = np.ones(len(pair), bool)
@@ -232,7 +233,7 @@ def _records(folder: str, files, total: int, vocabulary: int, starts: int, shard
                     flat = np.repeat(lead[some] - begin[:-1], n) + np.arange(begin[-1])
                     out_shard.append(s)
                     blobs.append(_pack(own[some], count[some].astype("<u4"), steps[some], n.astype("<u4"),
-                                       row[flat].astype("<u2"), times[flat].astype("<u2")))
+                                       row[flat].astype("<u2"), (times[flat] & 0xFFFF).astype("<u2"), (times[flat] >> 16).astype("<u2")))
                 many = len(blobs)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out_shard, pa.int32()), pa.array(np.full(many, number)), pa.array([True] + [False] * (many - 1)),
@@ -255,16 +256,20 @@ class Trie:
         pointers = np.append(first, len(pairs)).astype(np.uint64)
         rank = np.searchsorted(contexts, context).astype(np.uint64)
         steps = _steps(counts)
+        large = np.flatnonzero(steps == 255)
         # successors made monotone by the rank of their context
         return b"".join((encode(contexts), encode(pointers), encode((rank << np.uint64(32)) | successor),
-                         struct.pack("<Q", len(steps)), steps.tobytes()))
+                         struct.pack("<QQ", len(steps), len(large)), steps.tobytes(),
+                         large.astype("<i8").tobytes(), counts[large].astype("<i8").tobytes()))
 
     def __init__(self, raw):
         self.contexts, at = decode(raw)
         self.pointers, at = decode(raw, at)
         self.successors, at = decode(raw, at)
-        n = struct.unpack_from("<Q", raw, at)[0]
-        self.steps = np.frombuffer(raw, np.uint8, n, at + 8)
+        n, large = struct.unpack_from("<QQ", raw, at)
+        self.steps = np.frombuffer(raw, np.uint8, n, at + 16)
+        self.large = np.frombuffer(raw, "<i8", large, at + 16 + n)
+        self.large_counts = np.frombuffer(raw, "<i8", large, at + 16 + n + 8 * large)
 
     def count(self, pairs: np.ndarray) -> np.ndarray:
         """Counts of pairs: the successor is searched within its context's range."""
@@ -277,11 +282,13 @@ class Trie:
         at = np.searchsorted(self.successors, wanted)
         inside = known & (at < self.pointers[rank + 1].astype(np.int64))
         at = np.where(inside, at, 0)
-        return np.where(inside & (self.successors[at] == wanted), _values(self.steps)[at], 0.0)
+        values = _values(self.steps)
+        values[self.large] = self.large_counts
+        return np.where(inside & (self.successors[at] == wanted), values[at], 0.0)
 
 
 def _steps(counts: np.ndarray) -> np.ndarray:
-    """Counts to 64 exactly, larger ones in steps of 7 percent."""
+    """Counts to 64 exactly, larger ones in steps of 7 percent; 255 stands for those beyond, which a level lists."""
     large = 64 + np.rint(np.log(np.maximum(counts, 64) / 64) / np.log(1.07))
     return np.where(counts <= 64, counts, np.minimum(large, 255)).astype(np.uint8)
 
@@ -310,10 +317,10 @@ def _answer(folder: str, mu: float):
         fs.move(draft, f"{base}/{name}")
         trie = Trie(memoryview(_mapped(folder, name, np.uint8, len(raw), 0)))
         for batch, texts, blob in blobs:
-            own, _, code, n, row, times = _unpack(blob, *RECORD)
+            own, _, code, n, row, low, high = _unpack(blob, *RECORD)
             gain = np.log10(1 + trie.count(own) / (mu * 10.0 ** (code / 255 * FINEST)))
             per = np.repeat(gain, n)
-            sums = np.bincount(row, per * times, texts)
+            sums = np.bincount(row, per * (low + high * 65536.0), texts)
             yield _row(batch, False, texts, None, sums.tobytes())
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
