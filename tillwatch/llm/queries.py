@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import jaccard, lm, mixing, neighbours, packing, pii, quality, substrings, token_files, toxicity
+from . import jaccard, lm, mixing, neighbours, packing, phrases, pii, quality, repair, substrings, token_files, toxicity, transducer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -93,3 +93,43 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 
     counts = [counted(kind) for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(listed("base").cast("binary"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    talks = table(spark, folder, "conversations")
+    return repair.digest(repair.damage(talks), talks)
+
+
+@query("op12_token_counts")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return transducer.count_tokens(table(spark, folder, "documents"))
+
+
+_PHRASES = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+i AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+g AS (SELECT lang, ws, i, unnest(range(1, least(5, len(ws) - i + 1) + 1)) AS k FROM i),
+f AS (SELECT lang, array_to_string(ws[i:i + k - 1], ' ') AS phrase, k, count(*) AS a FROM g GROUP BY ALL),
+t AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1),
+c AS (SELECT lang, phrase, k, a, string_split(phrase, ' ') AS ws FROM f WHERE a >= 100),
+inner_ AS (SELECT lang, a, unnest([array_to_string(ws[1:k - 1], ' '), array_to_string(ws[2:k], ' ')]) AS phrase FROM c WHERE k > 2),
+kept AS (SELECT * FROM c WHERE k > 1 AND NOT EXISTS (
+           SELECT 1 FROM inner_ WHERE inner_.lang = c.lang AND inner_.phrase = c.phrase AND inner_.a = c.a)),
+j AS (SELECT *, unnest(range(1, k)) AS cut FROM kept),
+s AS (SELECT j.lang, j.phrase, j.a, j.cut, x.a AS l, y.a AS r, t.n,
+             CAST((CAST(1000 AS HUGEINT) * j.a * t.n) // (CAST(x.a AS HUGEINT) * y.a) AS BIGINT) AS score
+      FROM j JOIN t ON t.lang = j.lang
+      JOIN f x ON x.lang = j.lang AND x.phrase = array_to_string(j.ws[1:cut], ' ')
+      JOIN f y ON y.lang = j.lang AND y.phrase = array_to_string(j.ws[cut + 1:j.k], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM b QUALIFY rank <= 2000"""
+
+
+@query("op13_phrase_mining", _PHRASES)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
