@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 
 from helpers import assert_columns, frame, local, plan
-from tillwatch.operators.clusters import kmeans_anomaly
+from tillwatch.operators.clusters import first_centers, kmeans_anomaly
 from tillwatch.operators.features import standardize
 from tillwatch.operators.forest import average_path, grow_tree, isolation_forest, pack_forest, path_lengths
 from tillwatch.operators.outliers import (
@@ -123,7 +123,7 @@ def test_forest_ranks_planted_points_lowest(spark):
 def test_forest_large_table_path(spark):
     """More rows than the trees draw: every drawn row belongs to one tree."""
     df = spark.createDataFrame(planted(4000, 40)).repartition(6)
-    out = local(isolation_forest(df, ["x", "y"], ["id"], trees=20, sample=64, contamination=0.05), "id")
+    out = local(isolation_forest(df, ["x", "y"], ["id"], trees=50, sample=64, contamination=0.05), "id")
     assert set(out.nsmallest(40, "anomaly_score")["id"]) == set(range(40))
 
 
@@ -138,29 +138,50 @@ def test_forest_incomplete_rows(spark):
 def test_tree_walk_equals_node_walk():
     rng = np.random.default_rng(0)
     points = rng.normal(size=(64, 3))
-    nodes = [grow_tree(points, np.random.default_rng(t), 6) for t in range(4)]
-    table = pd.DataFrame([(t, *n) for t, tree in enumerate(nodes) for n in tree],
-                         columns=["tree", "node", "feature", "cut", "left", "right", "length"])
+    nodes = [{n[0]: n for n in grow_tree(points, 5, t, 6)} for t in range(4)]
+    table = pd.DataFrame([(t, *n) for t, tree in enumerate(nodes) for n in tree.values()],
+                         columns=["tree", "node", "feature", "cut", "length"])
 
     def walk(tree, p):
-        at = 0
+        at = 1
         while tree[at][1] >= 0:
-            at = tree[at][3] if p[tree[at][1]] <= tree[at][2] else tree[at][4]
-        return tree[at][5]
+            at = 2 * at + (p[tree[at][1]] > tree[at][2])
+        return tree[at][3]
 
-    wanted = [np.mean([walk(tree, p) for tree in nodes]) for p in points]
-    assert np.allclose(path_lengths(pack_forest(table, 6), points, chunk=10), wanted)
+    wanted = [sum(walk(tree, p) for tree in nodes) for p in points]
+    assert path_lengths(pack_forest(table, 6), points, chunk=10).tolist() == wanted
     assert average_path(1) == 0 and average_path(2) == 1 and abs(average_path(256) - 10.2447) < 1e-3
+    assert grow_tree(points[::-1], 5, 1, 6) == grow_tree(points, 5, 1, 6)
 
 
 def test_tree_of_awkward_values():
     """Neighbouring floats and infinities still split into two non-empty sides."""
     column = [1.0, np.nextafter(1.0, 2.0), -np.inf, np.inf, 5.0]
     for seed in range(20):
-        nodes = grow_tree(np.array([[v] for v in column]), np.random.default_rng(seed), 8)
+        nodes = grow_tree(np.array([[v] for v in column]), seed, 0, 8)
         assert sum(n[1] < 0 for n in nodes) == 5
 
 
+def test_first_centers_are_drawn_by_distance(spark):
+    """The race picks a row in proportion to its squared distance, and never a centre again."""
+    rows = [("a", 0), ("b", 10), ("c", 30)]
+    points = spark.createDataFrame([(x, k) for k, x in rows], "x long, __key string")
+    seen = [tuple(c[0] for c in first_centers(points, ["x"], 2, seed)) for seed in range(40)]
+    assert all(a < b for a, b in seen)
+    firsts_and = {pair: seen.count(pair) for pair in set(seen)}
+    assert set(firsts_and) == {(0, 10), (0, 30), (10, 30)}
+    # (1/3)(100/1000) + (1/3)(100/500), and so on
+    for pair, share in {(0, 10): 0.1, (0, 30): 0.53, (10, 30): 0.37}.items():
+        assert abs(firsts_and[pair] / len(seen) - share) < 0.25
+    assert first_centers(points, ["x"], 9, 1) == [(0,), (10,), (30,)]
+
+
+def test_kmeans_of_equal_and_few_rows(spark):
+    same = frame(spark, {"id": range(6), "x": [2.0] * 6}, "id int, x double")
+    out = kmeans_anomaly(same, ["x"], k=3, id_columns=["id"])
+    assert out.filter("cluster = 0 and centroid_distance = 0 and not kmeans_anomaly").count() == 6
+
+
 def test_kmeans_flags_far_points(spark):
     rng = np.random.default_rng(2)
     table = pd.DataFrame({"id": np.arange(600), "x": np.repeat([0.0, 50.0, 100.0], 200) + rng.normal(0, 1, 600)})

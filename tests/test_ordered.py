@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from helpers import assert_columns, frame, local, plan
-from tillwatch.operators.ordered import (
-    interpolate, range_blocks, rolling_mean, rolling_std, row_index, sort_by_date, temporal_anomaly)
+from tillwatch.operators.blocks import Blocks
+from tillwatch.operators.ordered import interpolate, rolling_mean, rolling_std, row_index, sort_by_date, temporal_anomaly
 
 
 def series(n=500, seed=5, hot=0.34):
@@ -28,7 +28,7 @@ def to_spark(spark, table):
 
 
 @pytest.mark.parametrize("blocks", [None, 1, 7, 60])
-@pytest.mark.parametrize("window", [1, 7, 30])
+@pytest.mark.parametrize("window", [1, 7, 30, 33, 90])
 def test_rolling_equals_pandas(spark, blocks, window):
     """Also with blocks shorter than the window."""
     table = series(200)
@@ -85,11 +85,96 @@ def test_row_index_is_the_global_order(spark):
     assert list(ours["row_index"]) == list(theirs)
 
 
-def test_blocks_cover_all_rows_and_keep_the_minimum(spark):
-    indexed, found = range_blocks(to_spark(spark, series(300)), ["day", "id"], min_rows=40, blocks=50)
-    assert all(b.end - b.start >= 40 for b in found[:-1])
-    assert [b.start for b in found[1:]] == [b.end for b in found[:-1]] and found[-1].end == 300
-    assert indexed.select("__idx").distinct().count() == 300
+def test_blocks_cover_all_rows_and_see_those_before(spark):
+    df = to_spark(spark, series(300))
+    for halo in (0, 6, 100):
+        cut = Blocks(df, ["day", "id"], 50, halo=halo)
+        assert [b.start for b in cut.found] == [0, *[b.end for b in cut.found[:-1]]] and cut.found[-1].end == 300
+        assert len(cut.found) > 20 and sum(cut.sizes) == 300
+        rows = cut.dealt()
+        own = rows.filter("not __halo")
+        assert own.count() == own.select("id").distinct().count() == 300
+        seen = {r["__block"]: r["n"] for r in rows.filter("__halo").groupBy("__block").agg(F.count("*").alias("n")).collect()}
+        assert all(seen.get(b.number, 0) >= min(halo, b.start) for b in cut.found)
+
+
+def wide_exchanges(df) -> list[str]:
+    """Shuffles of the final plan that carry the rows' payload."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in text.splitlines() if "Exchange" in line]
+
+
+@pytest.mark.parametrize("window", [7, 200])
+def test_one_exchange_and_no_written_table(spark, monkeypatch, window):
+    from tillwatch import session
+    monkeypatch.setattr(session, "materialize", None)  # nothing is written
+    df = to_spark(spark, series()).withColumn("payload", F.lit("x"))
+    for out in (rolling_mean(df, "v", window, ["day", "id"], blocks=5), rolling_std(df, "v", window, ["day", "id"], blocks=5),
+                temporal_anomaly(df, "day", "v", ["id"], window, blocks=5, sort=False), row_index(df, ["day", "id"], blocks=5),
+                interpolate(df, ["v"], ["day", "id"], blocks=5)):
+        exchanges = [e for e in wide_exchanges(out) if "REPARTITION_BY_NUM" not in e]  # that is to_spark's own
+        assert len(exchanges) == 1 and "hashpartitioning(__block" in exchanges[0], exchanges
+
+
+def test_long_frames_of_far_and_constant_values(spark):
+    """A far value leaves no trace in later frames, a constant frame is exact, gaps and infinities stay where they are."""
+    values = [0.1] * 150 + [1e16] + [0.1] * 150 + [None] + [0.1 + i * 1e-3 for i in range(150)] + [float("inf")] + [0.3] * 60
+    table = pd.DataFrame({"id": range(len(values)), "v": values})
+    df = frame(spark, {"id": range(len(values)), "v": values}, "id int, v double").repartition(3)
+    for window in (33, 50):
+        ours = local(rolling_mean(df, "v", window, ["id"], blocks=6), "id")["rolling_mean"]
+        stds = local(rolling_std(df, "v", window, ["id"], blocks=6), "id")["rolling_std"]
+        for i in range(len(values)):
+            frame_ = values[max(0, i - window + 1):i + 1]
+            if len(frame_) < window or None in frame_:
+                assert np.isnan(ours[i])
+            elif len(set(frame_)) == 1:
+                assert ours[i] == frame_[0] and stds[i] == 0
+            elif max(frame_) < 1e10:
+                assert abs(ours[i] - np.mean(frame_)) < 1e-14 and abs(stds[i] - np.std(frame_, ddof=1)) < 1e-14
+        assert table.shape[0] == len(ours)
+    assert temporal_anomaly(df.filter("id < 150"), "id", "v", [], 50).filter("temporal_anomaly").count() == 0
+
+
+def test_long_windows_cost_little_more(spark):
+    """A hundred times the rows in a frame, not a hundred times the work."""
+    import time
+    df = spark.range(150_000).select("id", ((F.col("id") * 7919) % 10_007).cast("double").alias("v")).cache()
+    df.count()
+
+    def seconds(window):
+        best = []
+        for _ in range(3):
+            start = time.perf_counter()
+            rolling_std(df, "v", window, ["id"], blocks=8).write.format("noop").mode("overwrite").save()
+            best.append(time.perf_counter() - start)
+        return min(best)
+
+    short, long = seconds(7), seconds(1000)
+    df.unpersist()
+    assert long < 2 * short + 0.5, (short, long)
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "decimal(12,3)", "string", "double", "boolean", "binary", "smallint"])
+def test_order_keys_of_any_plain_type(spark, kind):
+    """Blocks follow Spark's own order, missing keys last."""
+    rng = np.random.default_rng(4)
+    n = 160
+    number = rng.integers(-50, 50, n)
+    text = {"date": lambda x: f"20{60 + x // 2:02d}-03-04", "timestamp": lambda x: f"2024-03-31 0{abs(x) % 9}:0{abs(x) % 7}:01.{abs(x):06d}",
+            "timestamp_ntz": lambda x: f"2024-03-31 0{abs(x) % 9}:0{abs(x) % 7}:01.{abs(x):06d}", "string": lambda x: f"é'\\{x}\n",
+            "boolean": lambda x: str(x > 0).lower(), "binary": lambda x: f"b{x}"}.get(kind, lambda x: f"{x / 4}" if kind == "double" else str(x))
+    rows = [(i, None if i % 11 == 0 else text(int(x)), float(i % 13)) for i, x in enumerate(number)]
+    df = spark.createDataFrame(rows, "id int, t string, v double").withColumn("k", F.col("t").cast(kind)).drop("t").repartition(5)
+    ours = local(row_index(df, ["k", "id"], blocks=12), "id")["row_index"]
+    plain = local(df.withColumn("r", F.row_number().over(Window.orderBy(F.col("k").asc_nulls_last(), "id")) - 1), "id")["r"]
+    assert list(ours) == list(plain)
+
+
+def test_nested_order_keys_are_refused(spark):
+    df = spark.range(3).withColumn("a", F.array("id"))
+    with pytest.raises(ValueError):
+        row_index(df, ["a"])
 
 
 def test_empty_table(spark):

@@ -14,6 +14,7 @@ from ..plans.detect import DetectionPlan, detect_anomalies
 from ..session import materialize
 from ..sources.views import ORDER_LINE_KEY
 from . import GAPPY, LINES, SALES, gappy, lines, query, rounded, sales
+from .model_sql import chain_sql, forest_sql, kmeans_sql
 
 _IQR = """b AS (SELECT quantile_cont(money, 0.25) AS m1, quantile_cont(money, 0.75) AS m3,
              quantile_cont(hour_of_day, 0.25) AS h1, quantile_cont(hour_of_day, 0.75) AS h3 FROM g),
@@ -131,17 +132,22 @@ def q_combined(spark, folder):
     return combined_anomalies(_flagged(spark, folder))
 
 
-@query("isolation_forest")
+_FOREST = ["money", "hour_of_day", "Weekdaysort", "Monthsort"]
+
+
+_QUOTED = ["money", "hour_of_day", '"Weekdaysort"', '"Monthsort"']
+
+
+@query("isolation_forest", f"WITH {GAPPY},\n" + "".join(forest_sql("g", ["id", *_QUOTED], _QUOTED)))
 def q_forest(spark, folder):
-    table = gappy(spark, folder).select("id", "money", "hour_of_day", "Weekdaysort", "Monthsort")
-    result = isolation_forest(table, ["money", "hour_of_day", "Weekdaysort", "Monthsort"], ["id"])
+    result = isolation_forest(gappy(spark, folder).select("id", *_FOREST), _FOREST, ["id"])
     return rounded(result, 9, "anomaly_score")
 
 
-@query("kmeans_anomaly")
+@query("kmeans_anomaly", f"WITH {GAPPY},\n" + "".join(kmeans_sql("g", ["id", "money", "hour_of_day"], ["money", "hour_of_day"])))
 def q_kmeans(spark, folder):
     table = gappy(spark, folder).select("id", "money", "hour_of_day")
-    return kmeans_anomaly(table, ["money", "hour_of_day"])
+    return rounded(kmeans_anomaly(table, ["money", "hour_of_day"], id_columns=["id"]), 6, "centroid_distance")
 
 
 @query("outliers_zscore_infinite", f"""WITH {SALES}
@@ -199,7 +205,9 @@ def q_forest_properties(spark, folder):
         F.count_if(~whole & (F.col("anomaly_score") == 0)).alias("incomplete_zero"))
 
 
-@query("detection_chain")
+@query("detection_chain", f"""WITH {SALES},
+{chain_sql("s")}
+SELECT flag, "count", round_even("count" * 100.0 / total, 2) AS percentage FROM tally""")
 def q_chain(spark, folder):
     """Statistical, forest, temporal and pattern flags with their combined report."""
     flagged = detect_anomalies(sales(spark, folder), DetectionPlan(id_columns=("id",)))

@@ -8,8 +8,11 @@ from ..operators.aggregate import (
     Mergeable, aggregate, aggregate_categories, count_distinct_rows, group_stats, join_group_stats)
 from ..functions.bins import SALES_LABELS
 from ..operators.features import sales_category
-from ..operators.quantiles import grouped_quantile, median_abs_dev, quantile_bounds
-from ..operators.tables import describe, histogram, pivot_sum, product_month_long
+from ..operators.quantiles import exact_quantiles, grouped_quantile, median_abs_dev, quantile_bounds
+from ..operators.sketches import (
+    DISTINCT_ERROR, RANK_ERROR, merged_bounds, merged_distinct, merged_quantiles, merged_summary, sketch_days)
+from ..operators.tables import describe, histogram, pivot_map, pivot_rows, pivot_sum, product_month_long
+from ..session import materialize
 from . import CATEGORY, GAPPY, LINES, gappy, lines, query, rounded
 
 
@@ -221,3 +224,66 @@ def q_grouped_quantile_ties(spark, folder):
     table = spark.read.parquet(f"{folder}/lineitem.parquet").select(
         "l_returnflag", "l_linestatus", (F.col("l_quantity") > 25).cast("int").alias("whole"))
     return grouped_quantile(table, ["l_returnflag", "l_linestatus"], "whole", 0.5, "middle", direct_rows=1)
+
+
+@query("pivot_map", """SELECT l_returnflag, l_partkey AS label, round(sum(l_extendedprice), 2) AS value FROM lineitem GROUP BY 1, 2""")
+def q_pivot_map(spark, folder):
+    """Every part as a label: far more than columns allow."""
+    table = spark.read.parquet(f"{folder}/lineitem.parquet").select("l_returnflag", "l_partkey", "l_extendedprice")
+    return rounded(pivot_rows(pivot_map(table, "l_returnflag", "l_partkey", "l_extendedprice"), "l_returnflag"), 2, "value")
+
+
+def _stored_days(table, date, numeric, distinct):
+    return materialize(sketch_days(table, date, numeric, distinct), "sketches")
+
+
+_PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+
+
+@query("sketched_quantiles", f"""WITH {LINES}, w AS (SELECT year("Date") AS year, quarter("Date") AS quarter, money FROM l)
+SELECT CAST(year AS INTEGER) AS year, CAST(quarter AS INTEGER) AS quarter, prob, count(*) AS n, min(money) AS min, max(money) AS max, true AS near
+FROM w, (SELECT unnest({_PROBS}::DOUBLE[]) AS prob) GROUP BY ALL""")
+def q_sketched_quantiles(spark, folder):
+    """Quantiles of every quarter from stored days; ``near``: the exact rank is within the stated error."""
+    table = lines(spark, folder).select("Date", "money")
+    by = [F.year("day").alias("year"), F.quarter("day").alias("quarter")]
+    found = merged_quantiles(_stored_days(table, "Date", ["money"], []), "money", _PROBS, by)
+    rows = table.select(F.year("Date").alias("year"), F.quarter("Date").alias("quarter"), "money").join(found, ["year", "quarter"])
+    keys = ["year", "quarter", "prob", "n", "min", "max"]
+    ranks = rows.groupBy(*keys).agg(F.count_if(F.col("money") < F.col("value")).alias("below"), F.count_if(F.col("money") <= F.col("value")).alias("upto"))
+    # one rank more on either side, as a small quarter has no rank closer
+    slack, goal = F.col("n") * RANK_ERROR + 1, F.col("prob") * F.col("n")
+    return ranks.select(*keys, ((F.col("below") <= goal + slack) & (F.col("upto") >= goal - slack)).alias("near"))
+
+
+@query("sketched_bounds", "SELECT count(*) AS n, true AS near FROM lineitem")
+def q_sketched_bounds(spark, folder):
+    """Quartile bounds of all days against the exact ones: each lies between exact quantiles a hundredth of the rows away."""
+    table = lines(spark, folder).select("Date", "money")
+    found = merged_bounds(_stored_days(table, "Date", ["money"], []), "money")
+    low1, high1, low3, high3 = (quantile_at(table, "money", p) for p in (0.25 - RANK_ERROR, 0.25 + RANK_ERROR, 0.75 - RANK_ERROR, 0.75 + RANK_ERROR))
+    return found.select("n", (F.col("q1").between(low1, high1) & F.col("q3").between(low3, high3) & (F.col("upper") > F.col("q3"))).alias("near"))
+
+
+def quantile_at(table, column, prob):
+    return exact_quantiles(table, [column], [prob])[column][0]
+
+
+@query("sketched_distinct", f"""WITH {LINES}
+SELECT CAST(year("Date") AS INTEGER) AS year, count(DISTINCT l_partkey) AS exact, true AS near FROM l GROUP BY 1""")
+def q_sketched_distinct(spark, folder):
+    """Distinct parts of every year from stored days; ``near``: within four standard errors."""
+    table = lines(spark, folder).select("Date", "l_partkey")
+    found = merged_distinct(_stored_days(table, "Date", [], ["l_partkey"]), "l_partkey", [F.year("day").alias("year")])
+    exact = table.groupBy(F.year("Date").alias("year")).agg(F.count_distinct("l_partkey").alias("exact"))
+    return exact.join(found, "year").select("year", "exact", (F.abs(F.col("estimate") - F.col("exact")) <= DISTINCT_ERROR * F.col("exact") + 1).alias("near"))
+
+
+@query("sketched_summary", f"""WITH {GAPPY}
+SELECT CAST(isodow("Date") AS INTEGER) AS weekday, round(coalesce(sum(money), 0), 2) AS total_sales, count(*) AS total_transactions,
+       round(avg(money), 6) AS average_transaction, count(DISTINCT coffee_name) AS unique_products FROM g GROUP BY 1""")
+def q_sketched_summary(spark, folder):
+    """The sales summary of every weekday from stored days; so few products are counted exactly."""
+    days = _stored_days(gappy(spark, folder).select("Date", "money", "coffee_name"), "Date", ["money"], ["coffee_name"])
+    table = merged_summary(days, by=[(F.weekday("day") + 1).alias("weekday")])
+    return rounded(rounded(table, 2, "total_sales"), 6, "average_transaction")

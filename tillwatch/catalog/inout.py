@@ -12,11 +12,13 @@ from ..plans.report import SHEET_MONTHLY, SHEET_SOURCE, SHEET_SUMMARY, SHEET_TOP
 from ..schema import SALES_SCHEMA
 from ..session import scratch_path
 from ..sources.csv import bad_dates, read_csv, read_sales
-from ..sources.sample import sales_of_index
+from ..sources import sample
+from ..sources.sample import sales_of_index, seasonal_of_index
 from ..sources.sinks import (
     drop_expired, read_anomaly_reports, write_anomaly_report, write_csv, write_parquet)
 from ..sources.tables import read_parquet
 from ..streaming.daily import read_daily, run_incremental
+from ..streaming.rebuild import read_rebuilt, run_rebuilding
 from ..sources.views import sales_view
 from . import COPIES, GAPPY, LINES, SALES, copies, gappy, lines, query, rounded, sales
 
@@ -61,7 +63,10 @@ def q_read_parquet(spark, folder):
     return read_parquet(spark, f"{folder}/orders.parquet")
 
 
-_PROFILE_COLUMNS = {"id": "bigint", "coffee_name": "string", "money": "double", "Date": "date"}
+_PROFILE_COLUMNS = {
+    "id": "bigint", "ts": "timestamp_ntz", "hour_of_day": "bigint", "cash_type": "string", "money": "double", "coffee_name": "string",
+    "Time_of_Day": "string", "Weekday": "string", "Month_name": "string", "Weekdaysort": "bigint", "Monthsort": "bigint",
+    "Date": "date", "Time": "string"}
 
 
 @query("profile", f"WITH {GAPPY} " + " UNION ALL ".join(
@@ -69,7 +74,7 @@ _PROFILE_COLUMNS = {"id": "bigint", "coffee_name": "string", "money": "double",
         count(*) - count("{c}") AS null_count, count(*) AS row_count FROM g"""
     for i, (c, t) in enumerate(_PROFILE_COLUMNS.items())))
 def q_profile(spark, folder):
-    return profile(gappy(spark, folder).select(*_PROFILE_COLUMNS))
+    return profile(gappy(spark, folder))
 
 
 @query("synth_sales", """
@@ -90,6 +95,48 @@ def q_synth_sales(spark, folder):
     return sales_of_index(spark.read.parquet(f"{folder}/orders.parquet"), "o_orderkey")
 
 
+def _drawn(name: str) -> str:
+    return f"CAST('0x' || substr(md5('7:{name}:' || event_id), 1, 8) AS BIGINT) / CAST(4294967296 AS DOUBLE)"
+
+
+def _placed(name: str, shares: list[int]) -> str:
+    upto = [sum(shares[:n + 1]) for n in range(len(shares) - 1)]
+    return " + ".join(f"CAST(({_drawn(name)}) * {sum(shares)} >= {u} AS INTEGER)" for u in upto)
+
+
+_SEASONAL = f"""q AS (
+  SELECT event_id AS id, {_placed("month", sample.SEASON)} AS m, {_drawn("day")} AS d, {_placed("hour", sample.HOURS)} + {sample.FIRST_HOUR} AS h,
+    CAST(floor(({_drawn("minute")}) * 60) AS INTEGER) AS minute, {_placed("product", sample.PRODUCTS)} AS p,
+    CAST(floor(({_drawn("price")}) * {sample.SPREAD}) AS BIGINT) + 950 AS price,
+    CAST(floor(({_drawn("factor")}) * {sample.FACTORS}) AS BIGINT) + 40 AS factor,
+    ({_drawn("planted")}) * 1000 < {sample.PLANTED} AS planted, CASE WHEN ({_drawn("payment")}) * 10 < 7 THEN 'card' ELSE 'cash' END AS cash_type
+  FROM events),
+y AS (SELECT *, make_date({sample.YEAR}, m + 1, CAST(floor(d * {sample.DAYS}[m + 1]) AS INTEGER) + 1) AS "Date",
+        {[round(p * 100) for p in sample.SAMPLE_PRICES]}[p + 1] * price * CASE WHEN planted THEN factor ELSE 10 END // 10000 AS cents FROM q)"""
+
+
+@query("synth_seasonal", f"""WITH {_SEASONAL}
+SELECT id, CAST(h AS BIGINT) AS hour_of_day, cash_type, CAST(cents AS DOUBLE) / 100 AS money, {sample.SAMPLE_PRODUCTS}[p + 1] AS coffee_name,
+       CASE WHEN h < 12 THEN 'Morning' WHEN h < 18 THEN 'Afternoon' ELSE 'Evening' END AS "Time_of_Day",
+       strftime("Date", '%a') AS "Weekday", strftime("Date", '%b') AS "Month_name", CAST(isodow("Date") AS BIGINT) AS "Weekdaysort",
+       CAST(m + 1 AS BIGINT) AS "Monthsort", "Date", printf('%02d:%02d:00', h, minute) AS "Time", planted
+FROM y""")
+def q_synth_seasonal(spark, folder):
+    """A drawn sale for every event: season, peak hours, prices that vary, planted anomalies."""
+    return seasonal_of_index(spark.read.parquet(f"{folder}/events.parquet"), "event_id")
+
+
+@query("synth_recall", f"""WITH {_SEASONAL},
+b AS (SELECT quantile_cont(CAST(cents AS DOUBLE) / 100, 0.25) AS q1, quantile_cont(CAST(cents AS DOUBLE) / 100, 0.75) AS q3 FROM y),
+f AS (SELECT planted, cents / 100.0 > q3 + 1.5 * (q3 - q1) OR cents / 100.0 < q1 - 1.5 * (q3 - q1) AS flagged FROM y, b)
+SELECT planted, count(*) AS n, count(*) FILTER (flagged) AS flagged FROM f GROUP BY 1""")
+def q_synth_recall(spark, folder):
+    """What the quartile rule finds of the planted anomalies, and what else it flags."""
+    made = seasonal_of_index(spark.read.parquet(f"{folder}/events.parquet"), "event_id")
+    flagged = statistical_outliers(made.select("planted", "money"), ["money"])
+    return flagged.groupBy("planted").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_outlier").alias("flagged"))
+
+
 @query("write_csv", f"WITH {LINES} SELECT l_orderkey, l_linenumber, money, quantity, coffee_name, \"Date\" FROM l")
 def q_write_csv(spark, folder):
     path = scratch_path(spark, "lines-csv")
@@ -176,6 +223,54 @@ def q_incremental_late(spark, folder):
     return spark.createDataFrame([(seen["rows"], seen["late"])], "rows long, late long")
 
 
+_LAST = "(SELECT max(CAST(ts AS DATE)) FROM events)"
+_TOTALS = """SELECT CAST(ts AS DATE) AS day, event_type AS coffee_name, round(sum(value), 2) AS sales, count(value) AS transactions
+FROM events GROUP BY 1, 2"""
+
+
+def _deliver(spark, folder, again: int):
+    """The events in three drops of ten days, a run after each; every 97th row comes with the last drop,
+    ten days late or more, and ``again`` earlier drops are delivered once more with it."""
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    last = events.agg(F.max(F.to_date("ts"))).first()[0]
+    third = F.when(F.datediff(F.lit(last), F.to_date("ts")) >= 20, 0).when(F.datediff(F.lit(last), F.to_date("ts")) >= 10, 1).otherwise(2)
+    drop = F.when(F.pmod("event_id", F.lit(97)) == 0, 2).otherwise(third)
+    source, store, seen = scratch_path(spark, "drops"), scratch_path(spark, "rebuilt"), []
+    for number in range(3):
+        brought = events.filter(drop == number)
+        brought.write.mode("append").parquet(source)
+        if number == 2:
+            for early in range(again):
+                events.filter(drop == early).write.mode("append").parquet(source)
+        seen.append(run_rebuilding(spark, source, events.schema, store, ["id"], transform=sales_view))
+    return store, seen
+
+
+@query("incremental_rebuilt", _TOTALS)
+def q_incremental_rebuilt(spark, folder):
+    """Totals of all days, although some of their rows come ten days late or more."""
+    store, _ = _deliver(spark, folder, 0)
+    return rounded(read_rebuilt(spark, store), 2, "sales")
+
+
+@query("incremental_repeated", _TOTALS)
+def q_incremental_repeated(spark, folder):
+    """The same totals although the first two drops are delivered twice."""
+    store, _ = _deliver(spark, folder, 2)
+    return rounded(read_rebuilt(spark, store), 2, "sales")
+
+
+@query("incremental_runs", f"""WITH d AS (
+  SELECT event_id, CASE WHEN event_id % 97 = 0 THEN 2 WHEN {_LAST} - CAST(ts AS DATE) >= 20 THEN 0
+                        WHEN {_LAST} - CAST(ts AS DATE) >= 10 THEN 1 ELSE 2 END AS run, CAST(ts AS DATE) AS day FROM events)
+SELECT CAST(run AS BIGINT) AS run, count(*) + CASE WHEN run = 2 THEN (SELECT count(*) FROM d WHERE run < 1) ELSE 0 END AS "rows",
+       count(*) AS stored, count(DISTINCT day) AS days FROM d GROUP BY run""")
+def q_incremental_runs(spark, folder):
+    """What each run read, stored and rebuilt when the first drop is delivered again with the last."""
+    _, seen = _deliver(spark, folder, 1)
+    return spark.createDataFrame([(n, s["rows"], s["stored"], s["days"]) for n, s in enumerate(seen)], "run long, rows long, stored long, days long")
+
+
 @query("drop_duplicates", f"WITH {COPIES} SELECT DISTINCT * FROM d")
 def q_drop_duplicates(spark, folder):
     return drop_duplicates(copies(spark, folder))

@@ -14,6 +14,7 @@ from ..plans.report import (
 from ..schema import q
 from ..session import scratch_path
 from . import CATEGORY, COPIES, GAPPY, LINES, copies, gappy, lines, query, rounded, sales
+from .model_sql import chain_sql
 
 _KPI = """k AS (SELECT round(coalesce(sum(money), 0), 2) AS a, CAST(count(*) AS DOUBLE) AS b, round(avg(money), 6) AS c,
              CAST(count(DISTINCT coffee_name) AS DOUBLE) AS d FROM {t}),
@@ -129,23 +130,16 @@ def q_job(spark, folder):
 @query("job_metrics", f"""WITH {COPIES},
 u AS (SELECT DISTINCT * FROM d), c AS (SELECT * FROM u WHERE money IS NOT NULL AND coffee_name IS NOT NULL),
 b AS (SELECT quantile_cont(money, 0.25) AS q1, quantile_cont(money, 0.75) AS q3 FROM c),
-k AS (SELECT c.* FROM c, b WHERE money BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)),
-f AS (SELECT quantile_cont(money, 0.25) AS q1, quantile_cont(money, 0.75) AS q3 FROM k),
+k AS MATERIALIZED (SELECT c.* FROM c, b WHERE money BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)),
+{chain_sql("k")},
 n AS (SELECT (SELECT count(*) FROM d) AS read, (SELECT count(*) FROM u) AS uniq, (SELECT count(*) FROM c) AS whole,
-             (SELECT count(*) FROM k) AS kept,
-             (SELECT count(*) FROM k, f WHERE money < q1 - 1.5 * (q3 - q1) OR money > q3 + 1.5 * (q3 - q1)) AS o,
-             (SELECT count(*) FROM k JOIN (SELECT coffee_name, avg(money) AS a, stddev_samp(money) AS sd FROM k GROUP BY 1)
-                USING (coffee_name) WHERE abs(money - a) > 2 * sd) AS p)
+             (SELECT count(*) FROM k) AS kept)
 SELECT 'rows_read' AS metric, read AS "value" FROM n UNION ALL SELECT 'duplicates_removed', read - uniq FROM n UNION ALL
 SELECT 'incomplete_removed', uniq - whole FROM n UNION ALL SELECT 'outliers_removed', whole - kept FROM n UNION ALL
-SELECT 'money_outlier', o FROM n UNION ALL SELECT 'pattern_anomaly', p FROM n UNION ALL
-SELECT 'ungrouped_removed', 0""")
+SELECT flag, "count" FROM tally UNION ALL SELECT 'ungrouped_removed', 0""")
 def q_job_metrics(spark, folder):
-    """Rows each cleaning step removed and the flags that SQL can count too."""
-    table = _run(spark, folder).metrics(spark)
-    shown = ["rows_read", "duplicates_removed", "incomplete_removed", "outliers_removed", "money_outlier",
-             "pattern_anomaly", "ungrouped_removed"]
-    return table.filter(F.col("metric").isin(shown))
+    """Rows each cleaning step removed and each detector flagged."""
+    return _run(spark, folder).metrics(spark)
 
 
 _CLEAN = f"""WITH {COPIES},
@@ -155,22 +149,23 @@ n AS (SELECT count(*) AS kept FROM u, b WHERE money BETWEEN q1 - 1.5 * (q3 - q1)
 
 
 @query("stage_switches", _CLEAN + """
-SELECT 'extraction' AS stage, true AS success, (SELECT count(*) FROM d) AS "rows" UNION ALL
-SELECT 'transformation', true, kept FROM n UNION ALL SELECT 'cleanup', true, 0""")
+SELECT 'extraction' AS stage, true AS success, (SELECT count(*) FROM d) AS "rows", 13 AS "columns", NULL::VARCHAR AS error UNION ALL
+SELECT 'transformation', true, kept, 19, NULL FROM n UNION ALL SELECT 'cleanup', true, 0, NULL, NULL""")
 def q_switches(spark, folder):
     """Detection and reporting switched off: their stages are not there."""
     result = _run(spark, folder, enable_anomaly_detection=False, enable_reporting=False)
-    return result.stage_metrics(spark).select("stage", "success", "rows")
+    return result.stage_metrics(spark)
 
 
 @query("fail_soft", _CLEAN + """
-SELECT 'extraction' AS stage, true AS success, (SELECT count(*) FROM d) AS "rows" UNION ALL
-SELECT 'transformation', true, kept FROM n UNION ALL SELECT 'anomaly_detection', false, NULL UNION ALL
-SELECT 'reporting', true, 10 UNION ALL SELECT 'cleanup', true, 0""")
+SELECT 'extraction' AS stage, true AS success, (SELECT count(*) FROM d) AS "rows", 13 AS "columns", NULL::VARCHAR AS error UNION ALL
+SELECT 'transformation', true, kept, 19, NULL FROM n UNION ALL
+SELECT 'anomaly_detection', false, NULL, NULL, 'columns not in table: [''no_such_column'']' UNION ALL
+SELECT 'reporting', true, 10, NULL, NULL UNION ALL SELECT 'cleanup', true, 0, NULL, NULL""")
 def q_fail_soft(spark, folder):
     """A detector's column does not exist: its stage fails, the later ones run."""
     result = _run(spark, folder, detection={"forest_columns": ["no_such_column"]})
-    return result.stage_metrics(spark).select("stage", "success", "rows")
+    return result.stage_metrics(spark)
 
 
 @query("config_merge", """SELECT * FROM (VALUES
@@ -190,7 +185,8 @@ def q_config(spark, folder):
 def _run(spark, folder, **changes):
     root = scratch_path(spark, "job")
     config = JobConfig.merged({
-        "processed_path": f"{root}/processed", "reports_path": f"{root}/reports", "output_file": "flagged.parquet", **changes})
+        "processed_path": f"{root}/processed", "reports_path": f"{root}/reports", "output_file": "flagged.parquet",
+        "detection": {"id_columns": ["id"]}, **changes})
     result = run_job(spark, config, dt.datetime(2024, 2, 1, 9), source=copies(spark, folder))
     if result.error:
         raise RuntimeError(result.error)

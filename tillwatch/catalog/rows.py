@@ -178,8 +178,8 @@ def q_clean_interpolate(spark, folder):
 @query("transform_sales", f"""WITH {COPIES},
 u AS (SELECT DISTINCT * FROM d WHERE money IS NOT NULL AND coffee_name IS NOT NULL),
 b AS (SELECT quantile_cont(money, 0.25) AS q1, quantile_cont(money, 0.75) AS q3 FROM u)
-SELECT id, money, coffee_name, {_CALENDAR}, {CATEGORY} AS sales_category
+SELECT u.*, {_CALENDAR}, {CATEGORY} AS sales_category,
+       {_ORDINAL} AS sales_category_ord
 FROM u, b WHERE money BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)""")
 def q_transform(spark, folder):
-    return transform_sales(copies(spark, folder)).select(
-        "id", "money", "coffee_name", "year", "month", "day_of_week", "quarter", "sales_category")
+    return transform_sales(copies(spark, folder))

@@ -4,10 +4,15 @@ A deterministic hash picks each tree's sample, so the same rows are drawn at any
 partition count and the sample does not grow with the table.  Trees are grown
 one group per tree; the finished forest (at most 511 nodes a tree) is broadcast
 and rows are scored in Arrow batches without any shuffle.
+
+Every draw is the beginning of an md5 of a short text (``unit``) and path lengths are
+whole multiples of ``1 / UNIT``, so any engine with md5 grows the same trees and adds up
+the same lengths.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import sys
 from collections.abc import Iterator
@@ -18,6 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from ..functions.draws import unit
 from ..schema import q, require_columns, require_list
 from ..session import materialize
 from .quantiles import as_number, exact_quantiles
@@ -25,9 +31,10 @@ from .quantiles import as_number, exact_quantiles
 # Executors get this module's functions with the task, so they need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, length double"
+_NODE_SCHEMA = "tree int, node int, feature int, cut double, length long"
 _OVERSAMPLE = 1.5  # draws beyond the sample size, cut back to it exactly per tree
 _EULER = 0.5772156649015329
+UNIT = 1 << 20
 
 
 def average_path(n):
@@ -48,59 +55,61 @@ def tree_samples(df: DataFrame, features: list[str], id_columns: list[str], rows
     leave the scan.
     """
     ids = [F.col(q(c)) for c in id_columns]
-    unit = lambda *salt: F.pmod(F.xxhash64(*ids, *[F.lit(s) for s in salt]), F.lit(1 << 40)) / F.lit(float(1 << 40))
     points = df.select(*ids, *[as_number(df, c).alias(f"x{i}") for i, c in enumerate(features)])
     share = min(1.0, _OVERSAMPLE * sample / rows)  # of all rows, in each tree
     strides = F.array(*[F.lit(i) for i in range(1, trees + 1) if math.gcd(i, trees) == 1])
-    number = (F.floor(F.lit(trees * share)) + (unit(seed) < F.lit(trees * share % 1)).cast("int")).cast("int")
-    first = F.pmod(F.xxhash64(*ids, F.lit(seed + 1)), F.lit(trees)).cast("int")
-    stride = F.element_at(strides, (F.pmod(F.xxhash64(*ids, F.lit(seed + 3)), F.size(strides)) + 1).cast("int"))
+    number = (F.floor(F.lit(trees * share)) + (unit(F.lit(seed), *ids) < F.lit(trees * share % 1)).cast("int")).cast("int")
+    first = F.floor(unit(F.lit(seed + 1), *ids) * trees).cast("int")
+    stride = F.element_at(strides, (F.floor(unit(F.lit(seed + 3), *ids) * F.size(strides)) + 1).cast("int"))
     drawn = (points.withColumn("__number", number).filter(F.col("__number") > 0)
              .withColumn("__turn", F.explode(F.sequence(F.lit(0), F.col("__number") - 1)))
              .withColumn("tree", F.pmod(first + F.col("__turn") * stride, F.lit(trees)).cast("int")))
-    place = Window.partitionBy("tree").orderBy(F.xxhash64(*ids, F.col("tree"), F.lit(seed + 2)), *ids)
+    lot = F.md5(F.concat_ws(":", F.lit(str(seed + 2)), F.col("tree").cast("string"), *[i.cast("string") for i in ids]).cast("binary"))
+    place = Window.partitionBy("tree").orderBy(lot, *ids)
     return (drawn.withColumn("__place", F.row_number().over(place)).filter(F.col("__place") <= sample)
             .select("tree", *[f"x{i}" for i in range(len(features))]))
 
 
-def grow_tree(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
-    """Random axis splits down to single points; rows ``node, feature, cut, left, right, length``."""
-    extra = average_path(np.arange(len(points) + 1)).tolist()
-    draws = rng.random((2 << max_depth, 2)).tolist()  # a feature and a place in its range per node
-    nodes: list[tuple | None] = [None]
-    todo = [(0, points, 0)]
+def grow_tree(points: np.ndarray, seed: int, tree: int, max_depth: int) -> list[tuple]:
+    """Random axis splits down to single points; rows ``node, feature, cut, length``.
+
+    The root is node 1, the children of node n are 2n and 2n + 1.  The node's md5 gives
+    its feature, among those that vary, and the cut's place in its range.
+    """
+    extra = np.rint(average_path(np.arange(len(points) + 1)) * UNIT).astype(np.int64).tolist()
+    nodes, todo = [], [(1, points, 0)]
     while todo:
         number, part, depth = todo.pop()
         low, high = part.min(axis=0).tolist(), part.max(axis=0).tolist()
         able = [f for f, (a, b) in enumerate(zip(low, high)) if a < b]
         if depth >= max_depth or not able:
-            nodes[number] = (number, -1, 0.0, -1, -1, depth + extra[len(part)])
+            nodes.append((number, -1, 0.0, depth * UNIT + extra[len(part)]))
             continue
-        pick, place = draws[number]
+        text = hashlib.md5(f"{seed}:{tree}:{number}".encode()).hexdigest()
+        pick, place = int(text[:8], 16) / 2 ** 32, int(text[8:16], 16) / 2 ** 32
         feature = able[int(pick * len(able))]
         cut = low[feature] + (high[feature] - low[feature]) * place
         if not low[feature] <= cut < high[feature]:  # rounding, or an infinite range
             cut = low[feature]
         goes_left = part[:, feature] <= cut
-        left, right = len(nodes), len(nodes) + 1
-        nodes += [None, None]
-        nodes[number] = (number, feature, cut, left, right, 0.0)
-        todo += [(left, part[goes_left], depth + 1), (right, part[~goes_left], depth + 1)]
+        nodes.append((number, feature, cut, 0))
+        todo += [(2 * number, part[goes_left], depth + 1), (2 * number + 1, part[~goes_left], depth + 1)]
     return nodes
 
 
+def depth_of(sample: int) -> int:
+    return max(1, math.ceil(math.log2(max(sample, 2))))
+
+
 def fit_forest(samples: DataFrame, features: int, sample: int, seed: int) -> pd.DataFrame:
     """All trees' nodes; bounded by trees times twice the sample size."""
     names = [f"x{i}" for i in range(features)]
-    max_depth = max(1, math.ceil(math.log2(max(sample, 2))))
+    max_depth = depth_of(sample)
 
     def grow(key, frame):
         tree = int(key[0])
-        points = frame[names].to_numpy(dtype=float)
-        points = points[np.lexsort(points.T)]  # same tree whatever order rows arrive in
-        nodes = grow_tree(points, np.random.default_rng([seed, tree]), max_depth)
-        return pd.DataFrame([(tree, *n) for n in nodes],
-                            columns=["tree", "node", "feature", "cut", "left", "right", "length"])
+        nodes = grow_tree(frame[names].to_numpy(dtype=float), seed, tree, max_depth)
+        return pd.DataFrame([(tree, *n) for n in nodes], columns=["tree", "node", "feature", "cut", "length"])
 
     # An explicit count keeps AQE from coalescing the few sampled rows into one task.
     tasks = max(1, samples.sparkSession.sparkContext.defaultParallelism)
@@ -110,38 +119,34 @@ def fit_forest(samples: DataFrame, features: int, sample: int, seed: int) -> pd.
 def pack_forest(nodes: pd.DataFrame, max_depth: int) -> tuple:
     """All trees as complete binary trees side by side: ``feature, cut, length, depth``.
 
-    One row per tree; ``length`` belongs to the places of the last level.  A leaf
-    above it is repeated down its left side with an infinite cut, so every point
-    takes the same number of steps without branching.
+    One row per tree, node n at place n - 1; ``length`` belongs to the places of the last
+    level.  A leaf above it is repeated down its left side with an infinite cut, so every
+    point takes the same number of steps without branching.
     """
     trees = int(nodes["tree"].nunique())
     inner, width = (1 << max_depth) - 1, 1 << max_depth
     feature = np.zeros((trees, inner), dtype=np.int32)
     cut = np.full((trees, inner), np.inf)
-    length = np.zeros((trees, width))
+    length = np.zeros((trees, width), dtype=np.int64)
     for t, (_, tree) in enumerate(nodes.sort_values(["tree", "node"]).groupby("tree")):
-        rows = list(tree[["feature", "cut", "left", "right", "length"]].itertuples(index=False))
-        todo = [(0, 0)]
-        while todo:
-            node, place = todo.pop()
-            f, c, left, right, depth_value = rows[node]
+        for node, f, c, whole in tree[["node", "feature", "cut", "length"]].itertuples(index=False):
+            place = int(node) - 1
             if f >= 0:
                 feature[t, place], cut[t, place] = f, c
-                todo += [(int(left), 2 * place + 1), (int(right), 2 * place + 2)]
                 continue
             while place < inner:
                 place = 2 * place + 1
-            length[t, place - inner] = depth_value
+            length[t, place - inner] = whole
     return feature, cut, length, max_depth
 
 
 def path_lengths(forest: tuple, points: np.ndarray, chunk: int = 2048) -> np.ndarray:
-    """Mean path length of each point over all trees: all trees step down together."""
+    """Path length of each point in units, summed over all trees: all trees step down together."""
     feature, cut, length, depth = forest
     trees, inner = feature.shape
     feature, cut, length = feature.ravel(), cut.ravel(), length.ravel()
     base = np.arange(trees, dtype=np.int32) * np.int32(inner)
-    out = np.empty(len(points))
+    out = np.empty(len(points), dtype=np.int64)
     for start in range(0, len(points), chunk):
         part = points[start:start + chunk]
         row = (np.arange(len(part), dtype=np.int32) * np.int32(part.shape[1]))[:, None]
@@ -152,7 +157,7 @@ def path_lengths(forest: tuple, points: np.ndarray, chunk: int = 2048) -> np.nda
             right = flat[row + feature[place]] > cut[place]
             at = 2 * at + 1 + right
         leaf = at - inner + np.arange(trees, dtype=np.int32) * np.int32(inner + 1)
-        out[start:start + chunk] = length[leaf].mean(axis=1)
+        out[start:start + chunk] = length[leaf].sum(axis=1)
     return out
 
 
@@ -185,7 +190,8 @@ def isolation_forest(
     sample = min(sample, rows)
     nodes = fit_forest(tree_samples(whole, features, ids, rows, trees, sample, seed), len(features), sample, seed)
     forest = df.sparkSession.sparkContext.broadcast(
-        pack_forest(nodes, max(1, math.ceil(math.log2(max(sample, 2))))))
+        pack_forest(nodes, depth_of(sample)))
+    grown = int(nodes["tree"].nunique())
     scale = max(float(average_path(sample)), 1e-12)
 
     @F.pandas_udf("double")
@@ -195,7 +201,7 @@ def isolation_forest(
             known = ~np.isnan(points).any(axis=1)
             out = np.full(len(points), np.nan)
             if known.any():
-                out[known] = -np.exp2(-path_lengths(forest.value, points[known]) / scale)
+                out[known] = -np.exp2(-(path_lengths(forest.value, points[known]) / (UNIT * grown)) / scale)
             yield pd.Series(out)  # NaN becomes null on the way back
 
     point = F.struct(*[as_number(df, c).alias(f"x{i}") for i, c in enumerate(features)])

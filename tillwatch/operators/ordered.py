@@ -1,131 +1,97 @@
 """Operators over the row order of the whole table.
 
-A window without PARTITION BY sends every row to one task.  Here the table is
-range-partitioned once by the full order key (the unique tie-breaker splits a
-hot date like any other range), numbered inside each sorted partition and
-written; the written numbers are final, whatever is recomputed later.  Windows
-then run per block, and what crosses a block border travels as a small table:
-the last ``window - 1`` rows of the block before, or one carried value each way.
+Windows run per block of consecutive rows (``blocks``): the rows are shuffled once, each
+block with the rows before it that its first frames reach into.  What must be carried
+further, the nearest known point on either side, is found in narrow passes and travels as
+literals, one for each block and column.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
 from ..functions.flags import beyond
 from ..schema import column_type, is_numeric, q, require_columns, require_list
-from ..session import materialize
-
-_POSITION_BITS = (1 << 33) - 1  # monotonically_increasing_id: row number within its partition
-_HELPERS = ["__part", "__pos", "__block", "__idx", "__end"]
+from .blocks import BLOCK, HALO, KEY, Blocks, sort_columns
 
-
-def sort_columns(order_by: list[str] | None) -> list[Column]:
-    """Ascending, missing last.  Order-dependent operators refuse to run without it."""
-    if not order_by:
-        raise ValueError("order_by is required: a list of columns ending in a unique tie-breaker")
-    return [F.col(q(c)).asc_nulls_last() for c in require_list(order_by, "order_by")]
+LONG = 32  # frames of more rows are put together from running sums instead of being read row by row
 
 
 def sort_by_date(df: DataFrame, date_column: str, ties: list[str]) -> DataFrame:
     return df.orderBy(*sort_columns([date_column, *require_list(ties, "ties")]))
 
 
-@dataclass
-class Block:
-    number: int
-    start: int
-    end: int
-    parts: list  # (first index, summary row) of the ranges it is made of
-
-
-def range_blocks(
-    df: DataFrame,
-    order_by: list[str],
-    min_rows: int = 1,
-    blocks: int | None = None,
-    summary: dict[str, Column] | None = None,
-) -> tuple[DataFrame, list[Block]]:
-    """Number all rows by ``order_by`` and group them into blocks of consecutive rows.
-
-    Adds ``__idx`` (0-based global position), ``__block`` and ``__end`` (index
-    behind the block's last row).  Every block but the last has at least
-    ``min_rows`` rows.  Without ``blocks`` AQE sizes the ranges from the data.
-    ``summary`` aggregates (over ``__pos``, the position within a range) are
-    computed in the pass that counts the ranges and kept in ``Block.parts``.
-    """
-    order = sort_columns(order_by)
-    require_columns(df, order_by)
-    ranged = df.repartitionByRange(blocks, *order) if blocks else df.repartitionByRange(*order)
-    stored = materialize(
-        ranged.sortWithinPartitions(*order).withColumns({
-            "__part": F.spark_partition_id(),
-            "__pos": F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS)),
-        }),
-        "ranged",
-    )
-    # One row per range partition, never per data row.
-    seen = stored.groupBy("__part").agg(
-        F.count(F.lit(1)).alias("__rows"), *[c.alias(n) for n, c in (summary or {}).items()])
-    found: list[Block] = []
-    layout, offset = [], 0
-    for row in sorted(seen.collect(), key=lambda r: r["__part"]):
-        if not found or found[-1].end - found[-1].start >= min_rows:
-            found.append(Block(len(found), offset, offset, []))
-        found[-1].parts.append((offset, row))
-        layout.append((row["__part"], found[-1].number, offset))
-        offset += row["__rows"]
-        found[-1].end = offset
-    rows = [(part, number, start, found[number].end) for part, number, start in layout]
-    table = df.sparkSession.createDataFrame(rows, "__part int, __block int, __start long, __end long")
-    indexed = stored.join(F.broadcast(table), "__part").withColumn("__idx", F.col("__start") + F.col("__pos"))
-    return indexed.drop("__start"), found
-
-
 def row_index(df: DataFrame, order_by: list[str], output: str = "row_index", blocks: int | None = None) -> DataFrame:
     """Global 0-based position of each row, without a single-task window."""
-    indexed, _ = range_blocks(df, order_by, blocks=blocks)
-    return indexed.withColumn(output, F.col("__idx")).drop(*_HELPERS)
+    cut = Blocks(df, order_by, blocks)
+    within = F.row_number().over(Window.partitionBy(BLOCK).orderBy(*cut.order.sort))
+    return cut.dealt(halo=False).withColumn(output, cut.start_of() + within - 1).drop(BLOCK, HALO)
 
 
 def _with_frames(
     df: DataFrame, value_column: str, window: int, order_by: list[str], blocks: int | None, added: dict
 ) -> DataFrame:
     """Evaluate frame expressions over the trailing ``window`` rows of the whole table."""
-    indexed, found = range_blocks(df, order_by, min_rows=max(window - 1, 1), blocks=blocks)
-    rows = indexed.withColumn("__halo", F.lit(False))
-    if len(found) > 1 and window > 1:
-        # Border rows only feed frames, so their other columns are not even read.
-        needed = {value_column, "__idx"}
-        tails = (
-            indexed.filter(F.col("__idx") >= F.col("__end") - F.lit(window - 1))
-            .filter(F.col("__block") < F.lit(found[-1].number))
-            .select(*[
-                F.col(q(f.name)) if f.name in needed
-                else (F.col("__block") + 1).alias("__block") if f.name == "__block"
-                else F.lit(None).cast(f.dataType).alias(f.name)
-                for f in indexed.schema.fields
-            ], F.lit(True).alias("__halo"))
-        )
-        rows = rows.unionByName(tails)
-    frame = Window.partitionBy("__block").orderBy("__idx").rowsBetween(1 - window, 0)
+    cut = Blocks(df, order_by, blocks, halo=window - 1)
+    rows = cut.dealt()
     value = F.col(q(value_column)).cast("double")
-    stats = {
-        "__n": F.count(value).over(frame), "__avg": F.avg(value).over(frame),
-        "__std": F.stddev_samp(value).over(frame),
-        "__min": F.min(value).over(frame), "__max": F.max(value).over(frame),
-    }
+    stats = ["__n", "__avg", "__std", "__min", "__max"]
+    framed = (_read_frames if window <= LONG else _put_together)(rows, value, window, cut.order.sort)
     complete = F.col("__n") == F.lit(window)
     return (
-        rows.withColumns(stats).filter(~F.col("__halo"))
+        framed.filter(~F.col(HALO))
         .withColumns({name: make(complete) for name, make in added.items()})
-        .drop(*_HELPERS, "__halo", *stats)
+        .drop(BLOCK, HALO, *stats)
     )
 
 
+def _read_frames(rows: DataFrame, value: Column, window: int, order: list[Column]) -> DataFrame:
+    frame = Window.partitionBy(BLOCK).orderBy(*order).rowsBetween(1 - window, 0)
+    return rows.withColumns({
+        "__n": F.count(value).over(frame), "__avg": F.avg(value).over(frame),
+        "__std": F.stddev_samp(value).over(frame),
+        "__min": F.min(value).over(frame), "__max": F.max(value).over(frame),
+    })
+
+
+def _put_together(rows: DataFrame, value: Column, window: int, order: list[Column]) -> DataFrame:
+    """Frames of any length at the cost of a few running aggregates.
+
+    A block is cut into stretches of ``window`` rows.  A frame is the end of one stretch
+    and the beginning of the next: both are running aggregates, one in each direction, and
+    their counts, means and squared deviations are merged.  Nothing is subtracted, so far
+    values leave no trace in later frames, and a constant frame has exactly its value as
+    mean and 0 as deviation.
+    """
+    place, stretch = F.col("__place"), F.col("__stretch")
+    numbered = rows.withColumn("__place", F.row_number().over(Window.partitionBy(BLOCK).orderBy(*order)) - 1)
+    numbered = numbered.withColumn("__stretch", F.floor(place / window))
+
+    def running(side: str, by: Column) -> dict[str, Column]:
+        frame = Window.partitionBy(BLOCK, "__stretch").orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+        return {f"__{side}": F.struct(
+            F.count(value).over(frame).alias("n"), F.avg(value).over(frame).alias("avg"),
+            (F.var_pop(value).over(frame) * F.count(value).over(frame)).alias("dev"),
+            F.min(value).over(frame).alias("low"), F.max(value).over(frame).alias("high"))}
+
+    both = numbered.withColumns(running("ends", place.desc())).withColumns(running("begins", place.asc()))
+    before = F.lag("__ends", window - 1).over(Window.partitionBy(BLOCK).orderBy(stretch, place))
+    both = both.withColumn("__before", F.when(place % window != window - 1, before))
+    n, m = F.col("__begins.n"), F.coalesce(F.col("__before.n"), F.lit(0))
+    low, high = F.least("__before.low", "__begins.low"), F.greatest("__before.high", "__begins.high")
+    apart = F.coalesce(F.col("__before.avg") - F.col("__begins.avg"), F.lit(0.0))
+    mean = F.coalesce(F.col("__begins.avg"), F.col("__before.avg")) + F.when((n > 0) & (m > 0), apart * m / (n + m)).otherwise(0.0)
+    squares = (F.coalesce(F.col("__begins.dev"), F.lit(0.0)) + F.coalesce(F.col("__before.dev"), F.lit(0.0))
+               + F.when((n > 0) & (m > 0), apart * apart * n * m / (n + m)).otherwise(0.0))
+    flat = low == high
+    return both.withColumns({
+        "__n": n + m, "__avg": F.when(flat, low).otherwise(mean),
+        "__std": F.when(n + m > 1, F.when(flat, 0.0).otherwise(F.sqrt(squares / (n + m - 1)))),
+        "__min": low, "__max": high,
+    }).drop("__place", "__stretch", "__ends", "__begins", "__before")
+
+
 def _mean(complete: Column) -> Column:
     return F.when(complete, F.col("__avg"))
 
@@ -206,48 +172,59 @@ def interpolate(
     if not chosen:
         return df
 
-    def points(place: str) -> dict[str, Column]:
-        return {c: F.when(F.col(q(c)).isNotNull(), F.struct(F.col(place).alias("i"), _position(df, c).alias("v")))
-                for c in chosen}
-
-    ends = {}
-    for n, point in enumerate(points("__pos").values()):
-        ends |= {f"last{n}": F.max(point), f"first{n}": F.min(point)}
-    indexed, found = range_blocks(df, order_by, blocks=blocks, summary=ends)
-    carried = _carry(df.sparkSession, found, len(chosen))
-    known = points("__idx")
-    rows = indexed.join(F.broadcast(carried), "__block")
-    forward = Window.partitionBy("__block").orderBy("__idx").rowsBetween(Window.unboundedPreceding, 0)
-    backward = Window.partitionBy("__block").orderBy(F.col("__idx").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    cut = Blocks(df, order_by, blocks)
+    before, after = _carried(cut, df, chosen)
+    rows = cut.dealt(halo=False)
+    within = F.row_number().over(Window.partitionBy(BLOCK).orderBy(*cut.order.sort))
+    rows = rows.withColumn("__idx", cut.start_of() + within - 1)
+    forward = Window.partitionBy(BLOCK).orderBy("__idx").rowsBetween(Window.unboundedPreceding, 0)
+    backward = Window.partitionBy(BLOCK).orderBy(F.col("__idx").desc()).rowsBetween(Window.unboundedPreceding, 0)
     near = {}
     for n, c in enumerate(chosen):
-        near[f"__p{n}"] = F.coalesce(F.last(known[c], ignorenulls=True).over(forward), F.col(f"__before{n}"))
-        near[f"__n{n}"] = F.coalesce(F.last(known[c], ignorenulls=True).over(backward), F.col(f"__after{n}"))
+        known = F.when(F.col(q(c)).isNotNull(), F.struct(F.col("__idx").alias("i"), _position(df, c).alias("v")))
+        near[f"__p{n}"] = F.coalesce(F.last(known, ignorenulls=True).over(forward), before[n])
+        near[f"__n{n}"] = F.coalesce(F.last(known, ignorenulls=True).over(backward), after[n])
     rows = rows.withColumns(near)
     filled = {c: F.coalesce(F.col(q(c)), _restore(df, c, _between(F.col(f"__p{n}"), F.col(f"__n{n}"))))
               for n, c in enumerate(chosen)}
     return rows.withColumns(filled).select(*[q(c) for c in df.columns])
 
 
-def _carry(spark: SparkSession, found: list[Block], width: int) -> DataFrame:
-    """For every block: nearest known point before it and after it, per column."""
-    def walk(blocks, name):
-        nearest, result = [None] * width, {}
-        for block in blocks:
-            result[block.number] = list(nearest)
-            parts = block.parts if name == "last" else reversed(block.parts)
-            for start, row in parts:
-                for n in range(width):
-                    point = row[f"{name}{n}"]
-                    nearest[n] = (start + point["i"], point["v"]) if point else nearest[n]
-        return result
-
-    before, after = walk(found, "last"), walk(reversed(found), "first")
-    rows = [(b.number, *before[b.number], *after[b.number]) for b in found]
-    point_type = T.StructType([T.StructField("i", T.LongType()), T.StructField("v", T.DoubleType())])
-    schema = T.StructType([T.StructField("__block", T.IntegerType())] + [
-        T.StructField(f"__{side}{n}", point_type) for side in ("before", "after") for n in range(width)])
-    return spark.createDataFrame(rows, schema)
+def _carried(cut: Blocks, df: DataFrame, chosen: list[str]) -> tuple[list[Column], list[Column]]:
+    """For every column the nearest known point before a row's block and after it, as literals.
+
+    Two narrow passes with one row a block: the first and last known keys of a block, then
+    how many of its rows come before them.
+    """
+    width = range(len(chosen))
+    keyed = cut.keyed(df.select(*df.columns)).select(BLOCK, KEY, *[_position(df, c).alias(f"v{n}") for n, c in enumerate(chosen)])
+    known = [F.when(F.col(f"v{n}").isNotNull(), F.struct(F.col(KEY).alias("k"), F.col(f"v{n}").alias("v"))) for n in width]
+    ends = {r[BLOCK]: r for r in keyed.groupBy(BLOCK).agg(
+        *[F.min(known[n]).alias(f"first{n}") for n in width], *[F.max(known[n]).alias(f"last{n}") for n in width]).collect()}
+
+    def border(name: str) -> Column:
+        # a block without a known point has null, which no row compares with
+        keys = [cut.order.written(ends[b.number][name]["k"]) if b.number in ends and ends[b.number][name] else "NULL" for b in cut.found]
+        return F.element_at(F.expr(f"array({', '.join(keys)})"), F.col(BLOCK) + 1)
+
+    known_somewhere = {f"{side}{n}" for n in width for side in ("first", "last")
+                       if any(r[f"{side}{n}"] for r in ends.values())}
+    counts = {r[BLOCK]: r for r in keyed.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(F.col(KEY) < border(name)).alias(name) for name in sorted(known_somewhere)]).collect()}
+    before, after = [], []
+    for n in width:
+        for name, walk, out in ((f"last{n}", cut.found, before), (f"first{n}", list(reversed(cut.found)), after)):
+            nearest, carried = "NULL", {}
+            for block in walk:
+                carried[block.number] = nearest
+                point = ends[block.number][name] if block.number in ends else None
+                if point:
+                    place = block.start + counts[block.number][name]
+                    nearest = f"struct(CAST({place} AS BIGINT) AS i, CAST('{point['v']!r}' AS DOUBLE) AS v)"
+            listed = ", ".join(carried[b.number] for b in cut.found)
+            table = F.expr(f"array({listed})").cast("array<struct<i:bigint,v:double>>")
+            out.append(F.element_at(table, F.col(BLOCK) + 1))
+    return before, after
 
 
 def _between(before: Column, after: Column) -> Column:

@@ -229,16 +229,6 @@ def median_abs_dev(df: DataFrame, columns: list[str], method: str = "exact") ->
         [(c, m, d) for c, (m, d) in found.items()], "column string, median double, mad double")
 
 
-def small_quantile(value: Column, prob: float) -> Column:
-    """Aggregate for groups of bounded size, by the same arithmetic as large ones."""
-    ordered = F.sort_array(F.collect_list(value))
-    position = F.lit(float(prob)) * (F.size(ordered) - 1)
-    at = lambda place: F.element_at(ordered, (place + 1).cast("int"))
-    low, high = at(F.floor(position)), at(F.ceil(position))
-    inner = F.when(low == high, low).otherwise(low + (high - low) * (position - F.floor(position)))
-    return F.when(F.size(ordered) > 0, inner)
-
-
 def grouped_quantile(
     df: DataFrame,
     keys: list[str],
@@ -250,9 +240,9 @@ def grouped_quantile(
 ) -> DataFrame:
     """One exact quantile per group; groups of any size, rows with a missing key dropped.
 
-    Groups of at most ``direct_rows`` values use the built-in aggregate, whose
-    buffer is then bounded.  Larger groups are bracketed with per-group sketches
-    until the bracket is that small, so no group is ever gathered in one task.
+    Every group is a bracket that holds its ranks, at first all its values, and is read off
+    from (value, count) pairs summed map-side.  A bracket of more than ``direct_rows`` rows
+    is narrowed by sketches first, so no group is ever gathered in one task.
     """
     keys = require_list(keys, "keys")
     present = as_number(df, column).isNotNull()
@@ -260,23 +250,15 @@ def grouped_quantile(
         present = present & F.col(q(k)).isNotNull()
     names = [q(k) for k in keys]
     data = df.filter(present).select(*names, as_number(df, column).alias("__x"))
-    sizes = materialize(data.groupBy(*names).agg(F.count("__x").alias("__n")), "group-sizes")
-    largest = sizes.agg(F.max("__n")).first()[0]
-    if largest is None or largest <= direct_rows:
-        return data.groupBy(*names).agg(small_quantile(F.col("__x"), prob).alias(output))
-
-    small = data.join(sizes.filter(F.col("__n") <= direct_rows).select(*names), keys, "left_semi")
-    done = small.groupBy(*names).agg(small_quantile(F.col("__x"), prob).alias(output))
     position = F.lit(float(prob)) * (F.col("__n") - 1)
-    state = sizes.filter(F.col("__n") > direct_rows).select(
+    state = materialize(data.groupBy(*names).agg(F.count("__x").alias("__n")).select(
         *names,
         F.floor(position).alias("__r0"), F.ceil(position).alias("__r1"),
         (position - F.floor(position)).alias("__part"),
         F.lit(float("-inf")).alias("__lo"), F.lit(float("inf")).alias("__hi"),
         F.lit(0).cast("long").alias("__below"), F.col("__n").alias("__inside"), F.lit(False).alias("__tied"),
-    )
+    ), "group-brackets")
     for _ in range(MAX_ROUNDS):
-        state = materialize(_narrow_groups(data, state, keys, accuracy, direct_rows), "group-brackets")
         check = state.agg(
             F.max(F.when((F.col("__lo") < F.col("__hi")) & ~F.col("__tied"), F.col("__inside"))),
             F.count_if((F.col("__r0") < F.col("__below"))
@@ -286,7 +268,8 @@ def grouped_quantile(
             raise RuntimeError("quantile bracket missed its rank")
         if check[0] is None or check[0] <= direct_rows:
             break
-    return done.unionByName(_read_off_groups(data, state, keys, output))
+        state = materialize(_narrow_groups(data, state, keys, accuracy, direct_rows), "group-brackets")
+    return _read_off_groups(data, state, keys, output)
 
 
 def _narrow_groups(data, state, keys, accuracy, direct_rows):

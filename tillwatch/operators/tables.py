@@ -49,6 +49,30 @@ def pivot_sum(
     return result.orderBy(q(index)) if sort else result
 
 
+def pivot_map(df: DataFrame, index: str, columns: str, values: str, output: str = "cells") -> DataFrame:
+    """``pivot_sum`` for any number of column labels: one map from label to sum for each index value.
+
+    Labels are cells of a map instead of columns, so none has to be known before and no limit
+    holds; ``cell`` reads one with its fill value, ``map_entries`` lists them.  Sums are taken
+    per (index, label) map-side first, so a row of the result gathers its labels, never rows.
+    """
+    require_columns(df, [index, columns, values])
+    total = F.coalesce(F.sum(q(values)), F.lit(0).cast(column_type(df, values)))
+    sums = drop_null_keys(df, [index, columns]).groupBy(q(index), q(columns)).agg(total.alias("__sum"))
+    cells = F.sort_array(F.collect_list(F.struct(F.col(q(columns)).alias("label"), F.col("__sum").alias("value"))))
+    return sums.groupBy(q(index)).agg(F.map_from_entries(cells).alias(output))
+
+
+def cell(cells: str, label, fill_value: float = 0) -> Column:
+    """One cell of a ``pivot_map``, empty ones filled."""
+    return F.coalesce(F.try_element_at(F.col(q(cells)), F.lit(label)), F.lit(fill_value))
+
+
+def pivot_rows(df: DataFrame, index: str, cells: str = "cells", label: str = "label", value: str = "value") -> DataFrame:
+    """Long form of a ``pivot_map``."""
+    return df.select(q(index), F.explode(F.col(q(cells))).alias(label, value))
+
+
 def unpivot(df: DataFrame, index: str, label: str = "column", value: str = "value") -> DataFrame:
     """Long form of a pivot table, for charts."""
     cells = [c for c in df.columns if c != index]

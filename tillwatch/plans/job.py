@@ -137,7 +137,8 @@ def _run(spark, config, stamp, source, result) -> None:
 
     if config.enable_anomaly_detection:
         table = _detect(spark, config, stamp, table, result)
-    result.table = _save(spark, table, _at(config.processed_path, config.output_file))
+    else:
+        result.table = _save(spark, table, _at(config.processed_path, config.output_file))
 
     if config.enable_reporting:
         _report(spark, config, stamp, table, result)
@@ -161,8 +162,10 @@ def _save(spark, table, path) -> DataFrame:
 
 
 def _detect(spark, config, stamp, table, result) -> DataFrame:
+    """The flagged table, written once as the run's output; report and counts are read from it."""
+    output = _at(config.processed_path, config.output_file)
     try:
-        flagged = materialize(detect_anomalies(table, config.detection_plan()), "flagged")
+        flagged = _save(spark, detect_anomalies(table, config.detection_plan()), output)
         run = stamp.strftime("%Y-%m-%dT%H-%M-%S")
         report = materialize(anomaly_report(flagged), "flags")
         write_anomaly_report(report, _at(config.reports_path, "anomaly_report"), run)
@@ -170,9 +173,11 @@ def _detect(spark, config, stamp, table, result) -> DataFrame:
         result.counts |= {r["flag"]: r["count"] for r in report.collect()}  # one row per flag
         result.counts["ungrouped_removed"] = table.count() - kept
         result.stages.append(Stage("anomaly_detection", True, kept, len(flagged.columns)))
+        result.table = flagged
         return flagged
     except Exception as failure:
         result.stages.append(Stage("anomaly_detection", False, error=str(failure)))
+        result.table = _save(spark, table, output)
         return table
 
 
