@@ -3,7 +3,8 @@
 Distance is 1 - Jaccard similarity, a metric; two documents link within
 ``radius = 1 - similarity``.
 
-1. Documents with equal n-gram sets are one point, held by their smallest doc_id.
+1. Documents with equal n-gram sets are one point.  A point has a number of its own, a
+   hash of its set, which all tables carry: a doc_id may hold several points.
 2. First pivots are single n-grams.  A point's nearest of them are the n-grams it
    holds (all others are at distance 1), ties broken by one global order, rare
    n-grams first.  A neighbour within the radius lacks at most ``n - ceil(s n)`` of a
@@ -27,7 +28,8 @@ there is, not what is found.
 Defined cases: words are lower-cased (A-Z only); fewer words than ``k`` count as one
 n-gram; a null, empty or blank text has an empty set and links with nothing; a
 null doc_id has a set but takes no part in links (null component); rows that
-repeat a doc_id are one document with several texts, linked by the doc_id.
+repeat a doc_id are one document with several texts, linked by the doc_id.  Links inside
+a component that others imply are not measured: the result is components, not links.
 Other columns are not read.
 """
 
@@ -141,7 +143,7 @@ def _set_rows(k: int, shared):
                 yield pa.RecordBatch.from_arrays(
                     [some.column("doc_id").slice(at, to - at), pa.array(signed(one[ends[1:]] - one[ends[:-1]])),
                      pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(signed(keys)))],
-                    ["doc", "d1", "keys"])
+                    ["id", "d1", "keys"])
     return make
 
 
@@ -181,17 +183,18 @@ def _measure(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, per
     n-grams; pairs whose sketches are too far apart need no text.
     """
     spark = pairs.sparkSession
-    own = classes.select("doc", "sketch", "d1")
-    other = classes.select(F.col("doc").alias("pivot"), F.col("sketch").alias("pivot_sketch"), F.col("d1").alias("pivot_d1"))
+    own = classes.select("doc", "sketch", "d1", "id")
+    other = classes.select(F.col("doc").alias("pivot"), F.col("sketch").alias("pivot_sketch"), F.col("d1").alias("pivot_d1"), F.col("id").alias("pivot_id"))
     apart = F.aggregate(F.zip_with("sketch", "pivot_sketch", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda x, y: x + y)
     asked = (pairs.join(own, "doc").join(other, "pivot")
              .filter(apart * (100 + percent) <= (F.col("n") + F.col("pivot_n")) * (100 - percent)))
-    asked = materialize(asked.select("doc", "n", "d1", "pivot", "pivot_n", "pivot_d1"), "asked")
-    ids = asked.select(F.explode(F.array("doc", "pivot")).alias("key"))
+    asked = materialize(asked.select("doc", "n", "d1", "id", "pivot", "pivot_n", "pivot_d1", "pivot_id"), "asked")
+    ids = asked.select(F.explode(F.array("id", "pivot_id")).alias("key"))
     shared = spark.sparkContext.broadcast(bitmap(ids))  # 4 MB
-    sets = texts.filter("doc_id IS NOT NULL").mapInArrow(_set_rows(k, shared), "doc bigint, d1 bigint, keys array<bigint>")
-    wanted = asked.select("doc", "d1").unionByName(asked.select(F.col("pivot").alias("doc"), F.col("pivot_d1").alias("d1"))).distinct()
-    sets = materialize(sets.join(wanted, ["doc", "d1"], "left_semi").dropDuplicates(["doc"]), "sets")
+    sets = texts.filter("doc_id IS NOT NULL").mapInArrow(_set_rows(k, shared), "id bigint, d1 bigint, keys array<bigint>")
+    wanted = asked.select("doc", "id", "d1").unionByName(
+        asked.select(F.col("pivot").alias("doc"), F.col("pivot_id").alias("id"), F.col("pivot_d1").alias("d1"))).distinct()
+    sets = materialize(sets.join(wanted, ["id", "d1"]).select("doc", "keys").dropDuplicates(["doc"]), "sets")
     right = sets.select(F.col("doc").alias("pivot"), F.col("keys").alias("pivot_keys"))
     return asked.join(sets.select("doc", "keys"), "doc").join(right, "pivot").select(
         "doc", "pivot", "n", "pivot_n", F.size(F.array_intersect("keys", "pivot_keys")).cast("bigint").alias("both"))
@@ -211,14 +214,12 @@ def jaccard_join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
         _points(k, percent, shared), "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, pivots array<bigint>, sketch array<bigint>"), "points")
     full = points.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = full.groupBy("n_shingles", "d1", "d2").agg(F.min(F.struct("doc_id", "pivots", "sketch")).alias("least"))
-    classes = materialize(classes.select(F.col("least.doc_id").alias("doc"), F.col("n_shingles").alias("n"), "d1", "d2",
-                                         F.col("least.pivots").alias("pivots"), F.col("least.sketch").alias("sketch")), "classes")
-    held = materialize(full.select("doc_id", "n_shingles", "d1", "d2").join(
-        classes.select("doc", F.col("n").alias("n_shingles"), "d1", "d2"), ["n_shingles", "d1", "d2"]).select("doc_id", "doc"), "held")
-    # a doc_id with several texts ties their classes
-    tied = (held.groupBy("doc_id").agg(F.min("doc").alias("u"), F.max("doc").alias("v")).filter("u <> v").select("u", "v")
-            .unionByName(held.filter("doc_id <> doc").groupBy("doc_id").agg(F.min("doc").alias("doc"), F.count_distinct("doc").alias("c"))
-                         .filter("c > 1").select(F.col("doc_id").alias("u"), F.col("doc").alias("v"))))
+    classes = materialize(classes.select(F.xxhash64("n_shingles", "d1", "d2").alias("doc"), F.col("least.doc_id").alias("id"), F.col("n_shingles").alias("n"),
+                                         "d1", "d2", F.col("least.pivots").alias("pivots"), F.col("least.sketch").alias("sketch")), "classes")
+    held = materialize(full.select("doc_id", F.xxhash64("n_shingles", "d1", "d2").alias("doc")), "held")
+    # a doc_id with several texts ties their points
+    several = held.groupBy("doc_id").agg(F.min("doc").alias("u"), F.max("doc").alias("v")).filter("u <> v").select("doc_id", "u")
+    tied = held.join(several, "doc_id").filter("u <> doc").select("u", F.col("doc").alias("v")).distinct()
     # of the regions only those of several points go on
     crowded = classes.select(F.explode("pivots").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
     bits = spark.sparkContext.broadcast(bitmap(crowded))  # 4 MB
@@ -227,7 +228,7 @@ def jaccard_join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     regions = materialize(replicas.join(firsts, "region").select(
         "region", "doc", "n", "pos", F.col("p.doc").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.pos").alias("pivot_pos")), "regions")
 
-    # first round: the smallest document of each region is its pivot
+    # first round: one point of each region is its pivot
     near = _near(percent)
     asked = regions.filter("doc <> pivot").filter(near).select("doc", "n", "pivot", "pivot_n").distinct()
     first = materialize(_measure(asked, classes, texts, k, percent), "measured")
@@ -273,8 +274,11 @@ def jaccard_join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
             label = components(links)
         turn *= 16
 
-    leader = label.select(F.col("node").alias("doc"), "component")
-    class_of = held.join(leader, "doc", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "doc")).alias("component_id"))
+    # a component's number is its smallest doc_id
+    joined = label.join(classes.select(F.col("doc").alias("node"), "id"), "node")
+    leader = label.select(F.col("node").alias("doc"), "component").join(joined.groupBy("component").agg(F.min("id").alias("least")), "component")
+    alone = classes.select("doc", "id").join(leader.select("doc", "least"), "doc", "left").select("doc", F.coalesce("least", "id").alias("least"))
+    class_of = held.join(alone, "doc").groupBy("doc_id").agg(F.min("least").alias("component_id"))
     rest = points.select("doc_id", "n_shingles")
     return rest.join(class_of, "doc_id", "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
@@ -283,8 +287,9 @@ def jaccard_join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
 def keep_one(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """The rows of ``docs`` without those that have a smaller document in their component.
 
-    Of rows that repeat a doc_id one stays; rows with a null id all stay.  Only rows
-    that may have to go are shuffled.
+    Rows that repeat a doc_id are one document and stay or go together; of those that
+    repeat its text as well one stays, the one whose other columns written as JSON have the
+    smallest md5.  Rows with a null id all stay.  Only rows that may have to go are shuffled.
     """
     spark = docs.sparkSession
     ids = F.col("doc_id").cast("bigint").alias("key")
@@ -302,5 +307,8 @@ def keep_one(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
         return part
 
     some = docs.mapInArrow(parted(True), docs.schema)
-    kept = some.join(gone, some["doc_id"] == gone["doc_id"], "left_anti").dropDuplicates(["doc_id"])
-    return docs.mapInArrow(parted(False), docs.schema).unionByName(kept)
+    kept = some.join(gone, some["doc_id"] == gone["doc_id"], "left_anti")
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    first = Window.partitionBy("doc_id", "text").orderBy(F.md5(F.to_json(F.struct(F.lit(0).alias("0"), *others)).cast("binary")))  # limited map-side
+    one = kept.withColumn("__turn", F.row_number().over(first)).filter(F.col("__turn") == 1).drop("__turn")
+    return docs.mapInArrow(parted(False), docs.schema).unionByName(one)
