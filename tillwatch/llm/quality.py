@@ -2,9 +2,11 @@
 
 Text that says the same again compresses far below prose of its length, random
 or encoded text far above.  Prose compresses better the longer it is, so a text
-is held against the band of its own length class; each full chunk is held against
-one band, so that a bad passage in a long text shows.  A text is rejected if its
-whole ratio leaves its band, or if more than ``BAD_SHARE`` of its chunks do.
+is held against the band of its own length class; each full chunk, and the chunk that ends
+where a longer text ends, is held against one band, so that a bad passage in a long text
+shows.  A text is rejected if its whole ratio leaves its band, or if more than
+``BAD_SHARE`` of its chunks do.  Below 64 bytes prose and random letters compress alike:
+there is no limit.
 
 A null or empty text has no words, fails the base rule and has null ratios.
 Rows are judged one by one: repeated rows get equal verdicts, a null doc_id and
@@ -28,10 +30,15 @@ BAD_SHARE = 0.2
 # (from this many bytes on, lowest, highest ratio): wider than prose in English, German, French and Spanish needs
 BANDS = (
     (0, 0.00, 9.00),
-    (128, 0.40, 1.05),
-    (256, 0.42, 0.90),
-    (512, 0.44, 0.80),
-    (1024, 0.43, 0.70),
+    (64, 0.00, 1.15),
+    (96, 0.00, 1.00),
+    (128, 0.40, 0.92),
+    (192, 0.40, 0.86),
+    (256, 0.42, 0.81),
+    (384, 0.42, 0.77),
+    (512, 0.44, 0.73),
+    (768, 0.44, 0.70),
+    (1024, 0.43, 0.68),
     (2048, 0.41, 0.66),
     (4096, 0.39, 0.64),
     (8192, 0.38, 0.62),
@@ -104,12 +111,13 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             repeats = repeat_words(text)
             failed = (text.count < 10) | (100 * repeats > 20 * text.count)
             ratio = np.full(text.texts, np.nan)
-            chunks, bad = sizes // CHUNK, np.zeros(text.texts, np.int64)
+            chunks, bad = sizes // CHUNK + ((sizes > CHUNK) & (sizes % CHUNK > 0)), np.zeros(text.texts, np.int64)
             for i in range(text.texts):
                 raw = text.data[text.offsets[i]:text.offsets[i + 1]].tobytes()
                 if raw:
                     ratio[i] = len(squeeze(raw)) / len(raw)
-                for at in range(0, chunks[i] * CHUNK, CHUNK):
+                for at in range(chunks[i]):
+                    at = min(at * CHUNK, len(raw) - CHUNK)
                     part = len(squeeze(raw[at:at + CHUNK])) / CHUNK
                     bad[i] += not CHUNK_BAND[0] <= part <= CHUNK_BAND[1]
             band = np.searchsorted(floors, sizes, "right") - 1
