@@ -20,8 +20,8 @@ unit sphere, queries get a zero there.
 Recall at the defaults is measured in the tests (at least 0.9 on random clustered
 vectors).  Fewer points than a leaf holds make a single leaf, which is exact.
 
-Defined cases: vectors that are null, all zero, of another length than the longest, or
-hold a null or non-finite number take no part, nor do rows with a null id; rows
+Defined cases: vectors that are null, all zero, of another length than most (the longer
+of equally common lengths counts), or hold a null or non-finite number take no part, nor do rows with a null id; rows
 that repeat id and vector are one; fewer than ``k`` candidates give all of them; an
 empty table gives no rows; other columns are not read.
 """
@@ -253,9 +253,9 @@ def nearest(embeddings: DataFrame, queries, k: int = K, trees: int = TREES, leaf
     kind = "<f4" if "float" in dict(embeddings.dtypes)["embedding"] else "<f8"
     own = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
     clean = materialize(own.mapInArrow(_valid(kind), "vec_id bigint, vector binary, norm double, size int"), "vectors")
-    bounds = clean.agg(F.max("size").alias("size")).first()
+    bounds = clean.groupBy("size").count().orderBy(F.col("count").desc(), F.col("size").desc()).first()
     empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    if bounds["size"] is None:
+    if bounds is None:
         return empty
     clean = clean.filter(F.col("size") == bounds["size"])
     largest = clean.agg(F.max("norm")).first()[0]
