@@ -65,6 +65,43 @@ def test_one_of_each_group_stays(docs, rows):
     assert kept.count(None) == sum(r[0] is None for r in rows)
 
 
+@pytest.fixture(scope="module")
+def several(spark):
+    """Forty ids with two or three texts each, the smallest of most groups among them."""
+    rng = random.Random(8)
+    made = []
+    for n in range(120):
+        text = [f"a{n}x{i}" for i in range(rng.randrange(3, 60))]
+        for copy in range(rng.randrange(1, 4)):
+            near = list(text)
+            if len(near) > 30 and copy:
+                near[-1] = f"other{copy}"
+            made.append((rng.randrange(40) if copy == 0 or n % 3 else 100 + 10 * n + copy, " ".join(near), f"s{n % 5}", copy))
+    made += [(3, made[0][1], "s9", 9), (3, made[0][1], "s8", 9), (3, made[0][1], "s8", 9), (77, None, None, None), (77, "", None, None)]
+    return made
+
+
+def test_repeated_smallest_ids(spark, several):
+    table = spark.createDataFrame(several, "doc_id long, text string, source string, n int").repartition(6)
+    want = brute.components([r[:2] for r in several], 4, 85)
+    for _ in range(2):
+        out = jaccard.jaccard_join(table).collect()
+        assert len(out) == len(several) and {r["doc_id"]: r["component_id"] for r in out} == want
+        assert Counter((r["doc_id"], r["n_shingles"]) for r in out) == Counter((r[0], len(brute.shingles(r[1], 4))) for r in several)
+
+
+def test_kept_documents_keep_all_their_texts(spark, several):
+    want = brute.components([r[:2] for r in several], 4, 85)
+    expected = Counter({(i, t) for i, t, *_ in several if want[i] == i})
+    for pieces in (2, 9):
+        table = spark.createDataFrame(several, "doc_id long, text string, source string, n int").repartition(pieces)
+        kept = jaccard.keep_one(table).collect()
+        assert Counter((r["doc_id"], r["text"]) for r in kept) == expected
+        seen = sorted(map(str, kept))
+        assert pieces == 2 or seen == first
+        first = seen
+
+
 @pytest.mark.parametrize("shard", [48, 1])
 def test_repeated_runs_go(docs, rows, shard, monkeypatch):
     monkeypatch.setattr(substrings, "SHARD", shard)  # 1: every shard is split by runs
@@ -92,6 +129,47 @@ def test_quality_bands(spark):
     assert kept[1] and not kept[2] and not kept[3]
 
 
+def kept_plainly(text):
+    """The verdict by compressing the text and every stretch of 2048 bytes, the last one ending at its end."""
+    import zstandard
+    raw = (text or "").encode()
+    if not raw or brute.quality(text)[-1]:
+        return False
+    ratio = lambda part: len(zstandard.ZstdCompressor(level=3).compress(part)) / len(part)
+    _, low, high = [b for b in quality.BANDS if b[0] <= len(raw)][-1]
+    chunks = [raw[i:i + 2048] for i in range(0, len(raw) - 2047, 2048)]
+    if len(raw) > 2048 and len(raw) % 2048:
+        chunks.append(raw[-2048:])
+    bad = sum(not 0.42 <= ratio(c) <= 0.66 for c in chunks)
+    return low <= ratio(raw) <= high and 5 * bad <= len(chunks)
+
+
+def test_quality_verdicts_equal_the_plain_version(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = {r["doc_id"]: r["kept"] for r in quality.judge(docs).collect()}
+    assert got == {i: kept_plainly(t) for i, t in texts.items()}
+    assert sum(got.values()) > 0.8 * len(got)
+
+
+def test_noise_in_short_texts_and_at_the_end(spark, folder):
+    """Random letters are rejected from 96 bytes on, and as the second half of a text that is prose before."""
+    rng = random.Random(3)
+
+    def noise(size):
+        words = []
+        while sum(map(len, words)) + len(words) < size:
+            words.append("".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(10)))
+        return " ".join(words)
+
+    prose = [r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect() if len(r["text"] or "") > 2200]
+    halves = [t.encode()[:2048].decode("utf-8", "ignore") + " " + noise(1935) for t in prose]
+    short = [noise(rng.randrange(115, 1900)) for _ in range(100)]
+    table = spark.createDataFrame(list(enumerate(halves + short)), "doc_id long, text string")
+    assert len(halves) > 10 and table.count() == len(halves) + 100
+    assert quality.judge(table).filter("kept").count() == 0
+
+
 PERSONAL = [
     "mail a.b+c@x-y.example.com, or a@b@c.de now", "10.0.0.1 999.1.1.1 1.2.3.4.5", "card 4111 1111 1111 1111 and 4111111111111112",
     "+1 (269) 555-3296 call +49.30.1234567 or +1", "@@ a@b a@.c " + "x" * 3000 + "@y", "1" * 5000, "é 日 b@c.de 5500-0000-0000-0004", None, "",
@@ -247,8 +325,11 @@ def test_toxicity_on_held_out_rows(spark, toxic):
     caught = sum(p for y, p in known if y) / sum(y for y, _ in known)
     false = sum(p for y, p in known if not y) / sum(not y for y, _ in known)
     assert caught >= 0.9 and false <= 0.02 and 0 <= scores[900] < 0.5
-    left = toxicity.drop_toxic(docs, model)
-    assert left.columns == docs.columns and 900 in {r["doc_id"] for r in left.collect()}
+    table = docs.withColumn("toxicity_score", F.lit("mine")).withColumn("doc", F.lit(1))  # clashing names
+    left = toxicity.drop_toxic(table, model)
+    assert left.columns == table.columns
+    stays = Counter(i for i, x in scores.items() if x < toxicity.THRESHOLD)
+    assert Counter(r["doc_id"] for r in left.collect()) == stays and 900 in stays
 
 
 def test_toxicity_without_labels(spark, docs):
