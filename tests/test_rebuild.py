@@ -20,7 +20,7 @@ class Shop:
 
     def bring(self, *rows):
         """Rows (event_id, day, value, kind) in one file."""
-        data = [(i, None if day is None else START + dt.timedelta(days=day, minutes=i % 600), 1, kind, value, "") for i, day, value, kind in rows]
+        data = [(i, None if day is None else START + dt.timedelta(days=day, minutes=(i or 0) % 600), 1, kind, value, "") for i, day, value, kind in rows]
         self.spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("append").parquet(self.source)
 
     def run(self, **options):
@@ -113,3 +113,10 @@ def test_several_batches_of_one_run(shop):
     seen = shop.run(max_files=1)
     assert seen["stored"] == 30 and seen["days"] == 6
     assert shop.totals() == {(0, "view"): (15.0, 15), (1, "view"): (15.0, 15)}
+
+
+def test_rows_without_a_key_are_told_apart_by_all_they_hold(shop):
+    shop.bring((None, 0, 1.0, "view"), (None, 0, 2.0, "view"), (None, 0, 2.0, "view"), (7, 0, 4.0, "view"))
+    assert shop.run()["stored"] == 3 and shop.totals() == {(0, "view"): (7.0, 3)}
+    shop.bring((None, 0, 2.0, "view"), (None, 0, 8.0, "view"), (7, 0, 4.0, "view"))
+    assert shop.run()["stored"] == 1 and shop.totals() == {(0, "view"): (15.0, 4)}

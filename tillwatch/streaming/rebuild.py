@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..schema import q, require_columns
 from ..session import path_exists
@@ -51,7 +51,8 @@ def run_rebuilding(
 ) -> dict[str, int]:
     """Take in the files that came since the last run and rebuild the days they touch.
 
-    ``key`` names the columns that identify a row.  A row that comes again within
+    ``key`` names the columns that identify a row; where one of them is missing, the whole
+    row does.  A row that comes again within
     ``remember`` of its first arrival is dropped before it is stored: the state holds the
     keys of that time only, by arrival and not by the rows' own dates, so no row is ever
     too late for it.  A copy that comes still later is stored, and left out when its day
@@ -74,7 +75,7 @@ def run_rebuilding(
 
     def take_in(batch: DataFrame, number: int) -> None:
         day = F.to_date(F.col(q(time_column)))
-        dated = batch.drop("__arrived").withColumns({"day": day, "batch": F.lit(number).cast("long")})
+        dated = batch.drop("__arrived", "__row").withColumns({"day": day, "batch": F.lit(number).cast("long")})
         # AQE splits a day that holds much of the batch over several tasks
         (dated.hint("rebalance", F.col("day")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("day", "batch").parquet(place.rows))
@@ -84,13 +85,14 @@ def run_rebuilding(
         seen["stored"] += sum(r["count"] for r in touched)
         seen["days"] += len(days)
         if days:
-            kept = one_of_each(read_rows(spark, place, dated.schema).filter(F.col("day").isin(days)), key, product, value)
+            rows = read_rows(spark, place, dated.schema).filter(F.col("day").isin(days))
+            kept = one_of_each(rows.withColumn("__row", _whole_row(sales, key)), [*key, "__row"], product, value)
             (add_up(kept, product, value).hint("rebalance", F.col("day")).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(place.daily))
 
     run = (
-        sales.withColumn("__arrived", F.current_timestamp()).withWatermark("__arrived", remember)
-        .dropDuplicatesWithinWatermark(key)
+        sales.withColumns({"__arrived": F.current_timestamp(), "__row": _whole_row(sales, key)}).withWatermark("__arrived", remember)
+        .dropDuplicatesWithinWatermark([*key, "__row"])
         .writeStream.foreachBatch(take_in).option("checkpointLocation", place.checkpoint)
         .trigger(availableNow=True).start()
     )
@@ -100,6 +102,14 @@ def run_rebuilding(
     return {"rows": sum(p["numInputRows"] for p in progress), **seen, "remembered": states[-1] if states else 0}
 
 
+def _whole_row(sales: DataFrame, key: list[str]) -> Column:
+    """What tells rows without a complete key apart; null for all others."""
+    missing = F.lit(False)
+    for k in key:
+        missing = missing | F.col(q(k)).isNull()
+    return F.when(missing, F.md5(F.to_json(F.struct(*[F.col(q(c)) for c in sales.columns])).cast("binary")))
+
+
 def read_rows(spark: SparkSession, store: Store, schema: T.StructType) -> DataFrame:
     """All stored rows with their ``day`` and ``batch``."""
     return spark.read.schema(schema).parquet(store.rows)
