@@ -103,7 +103,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     plan = quotas.groupBy("source", "block").agg(
         F.collect_list(F.when(~F.col("part"), F.struct("pass", "shard"))).alias("draws"),
         F.max(F.when(F.col("part"), F.struct("pass", "shard", "left"))).alias("cut"))
-    plan = small(plan)  # at most BLOCKS rows for each source
+    plan = materialize(plan, "plan")  # its written size lets Spark choose: broadcast under the session's threshold, else a shuffle
     planned = placed.join(plan, placed["source"].eqNullSafe(plan["source"]) & (placed["block"] == plan["block"]), "left")
     planned = planned.drop(plan["source"]).drop(plan["block"]).withColumn("draws", F.coalesce("draws", F.array().cast("array<struct<pass:int,shard:int>>")))
     whole = planned.filter(F.col("cut").isNull())
