@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..schema import column_type, q, require_columns, require_list
 
-SAMPLE = 20_000       # expected keys of the sample that come to the driver
+SAMPLE = 20_000       # expected keys of the sample that come to the driver, at most
+PER_CELL = 32         # keys of the sample for each cell
 CELLS = 2_048         # cells, at most
 BLOCK_ROWS = 250_000  # rows a block is meant to have, if there are cells enough
 TASK_ROWS = 20_000    # below the number of cores, a block for each so many rows
@@ -116,7 +117,7 @@ class Blocks:
     def _borders(self, keys: DataFrame, rows: int, cells: int) -> list:
         if rows < 2 or cells < 2:
             return []
-        share = min(1.0, SAMPLE / rows)
+        share = min(1.0, min(SAMPLE, PER_CELL * cells) / rows)
         drawn = keys if share == 1.0 else keys.filter(
             F.pmod(F.xxhash64(KEY), F.lit(1 << 30)) < int(share * (1 << 30)))
         sample = [r[0] for r in drawn.orderBy(KEY).collect()]
