@@ -277,12 +277,14 @@ def mined(rows, least, top):
             for k in range(1, 6):
                 for i in range(len(words) - k + 1):
                     counts[lang, tuple(words[i:i + k])] += 1
-    out = defaultdict(list)
+    out, around = defaultdict(list), Counter()  # the most frequent longer candidate that holds a phrase
+    for (lang, q), n in counts.items():
+        if n >= least:
+            for k in range(1, len(q)):
+                for i in range(len(q) - k + 1):
+                    around[lang, q[i:i + k]] = max(around[lang, q[i:i + k]], n)
     for (lang, phrase), a in counts.items():
-        if len(phrase) < 2 or a < least:
-            continue
-        if any(len(q) > len(phrase) and n >= a and any(q[i:i + len(phrase)] == phrase for i in range(len(q)))
-               for (other, q), n in counts.items() if other == lang and n >= least):
+        if len(phrase) < 2 or a < least or around[lang, phrase] >= a:
             continue
         cuts = [(1000 * a * total[lang] // (counts[lang, phrase[:k]] * counts[lang, phrase[k:]]), k) for k in range(1, len(phrase))]
         score, k = min(cuts)
@@ -339,10 +341,37 @@ def test_trie_counts_and_sorted_runs(width):
 
 
 def test_filters_let_all_their_keys_through(spark):
-    keys = [i * 7919 for i in range(5000)]
-    table = spark.createDataFrame([(k,) for k in keys], "key long")
+    keys = np.stack((np.arange(5000) * 7919, np.arange(5000) % 13), axis=1)
+    table = spark.createDataFrame([(k,) for k in keys.tolist()], "ids array<long>")
     for most in (1 << 10, 1 << 20):  # also one that is far too small
         made = phrases.bloom(table, len(keys), most)
-        assert phrases.lets_through(made, np.array(keys, np.uint64)).all()
-    others = np.arange(10 ** 9, 10 ** 9 + 10_000, dtype=np.uint64)
+        assert phrases.lets_through(made, phrases._joint(keys.astype(np.uint64))).all()
+    others = phrases._joint(np.stack((np.arange(10 ** 9, 10 ** 9 + 10_000), np.zeros(10_000)), axis=1).astype(np.uint64))
     assert phrases.lets_through(phrases.bloom(table, len(keys)), others).mean() < 0.02
+
+
+@pytest.mark.parametrize("merged", [1, 150, 10 ** 9])
+def test_runs_merge_block_by_block(monkeypatch, merged):
+    """Overlapping sorted runs of several parts, cut into blocks that come by part and first row."""
+    monkeypatch.setattr(phrases, "MERGED", merged)
+    rng = np.random.default_rng(1)
+    want, blocks = Counter(), []
+    for part in range(3):
+        for _ in range(8):
+            rows = rng.integers(0, 3, (300, 5)).astype(np.uint64)
+            rows[:, 0] += np.uint64(10 * part + 2 ** 63 * (part == 2))  # ids use all 64 bits
+            rows[:, 1:3] += np.uint64(1)
+            rows[rows[:, 3] == 0, 4] = 0
+            rows = rows[np.lexsort(rows.T[::-1])]
+            n = rng.integers(1, 5, 300)
+            for r, c in zip(rows.tolist(), n.tolist()):
+                for k in (4, 5):
+                    if r[k - 1]:
+                        want[tuple(r[:k])] += c
+            blocks += [(part, rows[i].astype(">u8").tobytes(), phrases._written(rows[i:i + 37], n[i:i + 37])) for i in range(0, 300, 37)]
+    blocks.sort(key=lambda b: b[:2])
+    for size in (1, 7, 4000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*blocks[i:i + size])], ["part", "first", "block"]) for i in range(0, len(blocks), size)]
+        got = [(tuple(x % 2 ** 64 for x in p), c) for b in phrases._merge(4, 5, 60)(iter(batches))
+               for p, c in zip(b.column("ids").to_pylist(), b.column("n").to_pylist())]
+        assert len(dict(got)) == len(got) and dict(got) == {p: c for p, c in want.items() if c >= 60}

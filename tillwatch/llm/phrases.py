@@ -3,17 +3,19 @@
 A task counts phrases in a HAT-trie: the top is a trie over word ids, below it hang hash
 containers of the phrases' remaining ids; a container that grows beyond ``BURST`` entries
 bursts into a trie node with a container for each next word.  When the trie holds more
-than ``HELD`` entries, whole subtrees leave as sorted runs, the largest first.  Spark's
-shuffle brings the runs of a prefix partition together and adds them up; what a task has
-counted before is one row, so a common word, pair or passage is no hot key.
-
-A phrase is at least as rare as its parts, so counting goes up in three rounds, and each
-leaves out what the one before proves rare: words; pairs of words that are frequent
-themselves; windows of three to five words of which all neighbours are frequent pairs.
-What a task may leave out it reads from a Bloom filter of the frequent words or pairs,
-sized by their number up to ``FILTER_BITS``; a filter lets all frequent ones through, so
-beyond that size more rows travel and the counts stay what they are.  Windows go to the
-partition of their first three words, so all their prefixes are summed there.
+than ``HELD`` entries, whole subtrees leave as sorted runs, the largest first, in blocks of
+a prefix partition.  Spark's shuffle brings the blocks of a partition together in order,
+and a sweep merges them; what a task has counted before is one entry, so a common word,
+pair or passage is no hot key.
+
+A phrase is at least as rare as its parts, so counting goes up in four rounds, and each
+leaves out what the one before proves rare: words; pairs of frequent words; triples of
+two frequent pairs; windows of four or five words that hold frequent triples only.
+What a task may leave out it reads from a Bloom filter of the frequent words, pairs or
+triples, sized by their number up to ``FILTER_BITS``; a filter lets all frequent ones
+through, so beyond that size more rows travel and the counts stay what they are.  Windows
+go to the partition of their first four words, so all that begin with a phrase pass there
+one after another.
 
 A word's id is a 64-bit hash of its language and its bytes; if two words of the
 vocabulary share an id and one of them is frequent, ids are made anew with another salt.
@@ -43,6 +45,8 @@ TOP = 2000              # phrases of a language
 BURST = 4096            # entries of a container
 HELD = 400_000          # entries of a task's trie
 PIECE = 1 << 20         # bytes of texts read at once; a longer text is a piece of its own
+ROWS = 4096             # rows of a block of a run
+MERGED = 500_000        # rows that are merged at once
 FILTER_BITS = 1 << 28   # 32 MB
 PER_KEY = 16            # bits of a filter for each key
 HASHES = 4
@@ -142,21 +146,22 @@ def _places(keys: np.ndarray, bits: int) -> np.ndarray:
     return ((h[:, None] + step[:, None] * np.arange(HASHES, dtype=np.uint64)) & np.uint64(bits - 1)).astype(np.int64)
 
 
-def bloom(keys: DataFrame, count: int, most: int = FILTER_BITS) -> np.ndarray:
-    """Filter of the bigint column ``key``: its words are or-ed by Spark, and at most ``most`` bits come to the driver."""
+def bloom(phrases: DataFrame, count: int, most: int = FILTER_BITS) -> np.ndarray:
+    """Filter of equally long ``ids``: its words are or-ed by Spark, and at most ``most`` bits come to the driver."""
     bits = 64
     while bits < min(most, max(1, count) * PER_KEY):
         bits *= 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.unique(_places(batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64), bits))
-            if len(at):
+            if batch.num_rows:
+                ids = batch.column("ids").flatten().to_numpy().view(np.uint64).reshape(batch.num_rows, -1)
+                at = np.unique(_places(_joint(ids), bits))
                 word, first = np.unique(at >> 6, return_index=True)
                 value = np.bitwise_or.reduceat(np.uint64(1) << (at & 63).astype(np.uint64), first)
                 yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(value.view(np.int64))], ["word", "value"])
 
-    words = keys.select("key").mapInArrow(run, "word bigint, value bigint").groupBy("word").agg(F.bit_or("value").alias("value")).toArrow()
+    words = phrases.select("ids").mapInArrow(run, "word bigint, value bigint").groupBy("word").agg(F.bit_or("value").alias("value")).toArrow()
     out = np.zeros(bits >> 6, np.int64)
     out[words["word"].to_numpy()] = words["value"].to_numpy()
     return out.view(np.uint64)
@@ -198,16 +203,27 @@ def _read(batch: pa.RecordBatch, salt: int) -> Iterator[tuple[list[str], _Texts]
     pa.default_memory_pool().release_unused()
 
 
-def _runs(texts: DataFrame, salt: int, width: int, rows_of) -> DataFrame:
-    """(w1 ... , n): the sorted runs of every task's trie over ``rows_of`` its texts."""
-    names = [f"w{i + 1}" for i in range(width)]
+def _runs(texts: DataFrame, salt: int, width: int, prefix: int, rows_of) -> DataFrame:
+    """The sorted runs of every task's trie over ``rows_of`` its texts, cut by prefix partition into blocks.
+
+    A block (part, first, block) is some consecutive rows of a run, column after column, and
+    its first row as bytes that sort like it.  Rows that agree in ``prefix`` ids are of one part.
+    """
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = HatTrie(width)
 
         def left(share):
             rows, counts = trie.spill(share)
-            return pa.RecordBatch.from_arrays([*(pa.array(rows[:, i].view(np.int64)) for i in range(width)), pa.array(counts)], [*names, "n"])
+            part = (_joint(rows[:, :prefix]) % np.uint64(parts)).astype(np.int32)
+            by = np.argsort(part, kind="stable")
+            rows, counts, part = rows[by], counts[by], part[by]
+            edges = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]))
+            cuts = [c for a, b in zip(edges.tolist(), edges[1:].tolist()) for c in range(a, b, ROWS)]
+            blocks = [_written(rows[a:b], counts[a:b]) for a, b in zip(cuts, [*cuts[1:], len(part)])]
+            first = [r.astype(">u8").tobytes() for r in rows[cuts]]
+            return pa.RecordBatch.from_arrays([pa.array(part[cuts]), pa.array(first, pa.binary()), pa.array(blocks, pa.binary())], ["part", "first", "block"])
 
         for batch in batches:
             for _, text in _read(batch, salt):
@@ -217,7 +233,57 @@ def _runs(texts: DataFrame, salt: int, width: int, rows_of) -> DataFrame:
         if trie.size:
             yield left(1.0)
 
-    return texts.mapInArrow(run, ", ".join(f"{c} bigint" for c in [*names, "n"]))
+    return texts.mapInArrow(run, "part int, first binary, block binary")
+
+
+def _written(rows: np.ndarray, counts: np.ndarray) -> bytes:
+    return np.concatenate((rows.T.reshape(-1), counts.view(np.uint64))).astype("<u8").tobytes()
+
+
+def _blocks_read(blocks: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    columns = [np.frombuffer(b, "<u8").reshape(width + 1, -1) for b in blocks]
+    whole = np.concatenate(columns, axis=1)
+    return whole[:-1].T, whole[-1].view(np.int64)
+
+
+def _in_order(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows and counts of blocks that come by part and first row, merged: every part's rows in order.
+
+    What lies before the first row of the next block is final, so no more is held than the
+    blocks that overlap and about ``MERGED`` rows.
+    """
+    held, size, now = [], 0, None
+    rows, counts = np.zeros((0, width), np.uint64), np.zeros(0, np.int64)
+
+    def merged():
+        more, times = _blocks_read(held, width)
+        all_rows, all_counts = np.concatenate((rows, more)), np.concatenate((counts, times))
+        by = np.lexsort(all_rows.T[::-1])
+        return all_rows[by], all_counts[by]
+
+    for batch in batches:
+        for part, first, block in zip(*(batch.column(c).to_pylist() for c in ("part", "first", "block"))):
+            if held and (part != now or size >= MERGED):
+                rows, counts = merged()
+                held, size = [], 0
+                if part == now:
+                    border = np.frombuffer(first, ">u8").astype(np.uint64)
+                    below = np.zeros(len(rows), bool)
+                    same = np.ones(len(rows), bool)
+                    for k in range(width):
+                        below |= same & (rows[:, k] < border[k])
+                        same &= rows[:, k] == border[k]
+                    final = int(below.sum())
+                else:
+                    final = len(rows)
+                if final:
+                    yield rows[:final], counts[:final]
+                rows, counts = rows[final:], counts[final:]
+            now = part
+            held.append(block)
+            size += len(block) // (8 * (width + 1))
+    if held:
+        yield merged()
 
 
 def vocabulary(texts: DataFrame, salt: int) -> DataFrame:
@@ -265,56 +331,88 @@ def count_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
             break
     else:
         raise RuntimeError("words share ids under every salt")
-    frequent = words.filter(F.col("n") >= least).select(F.col("id").alias("key"), "n")
-    common = context.broadcast(bloom(frequent, frequent.count()))
-
-    def pairs_of(text: _Texts) -> np.ndarray:
-        good = lets_through(common.value, text.ids)
-        at = np.flatnonzero(text.joined[:-1] & good[:-1] & good[1:]) if len(good) else np.zeros(0, np.int64)
-        return np.stack((text.ids[at], text.ids[at + 1]), axis=1)
-
-    pairs = _runs(texts, salt, 2, pairs_of).groupBy("w1", "w2").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    pairs = materialize(pairs, "pairs")
-
-    def joint(batches):
-        for batch in batches:
-            a, b = (batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("w1", "w2"))
-            yield pa.RecordBatch.from_arrays([pa.array(_joint(a, b).view(np.int64))], ["key"])
-
-    together = context.broadcast(bloom(pairs.select("w1", "w2").mapInArrow(joint, "key bigint"), pairs.count()))
-
-    def windows_of(text: _Texts) -> np.ndarray:
+    phrases = words.filter(F.col("n") >= least).select(F.array("id").alias("ids"), "n")
+    known = context.broadcast(bloom(phrases, phrases.count()))
+    for shortest, longest in ((2, 2), (3, 3), (4, LONGEST)):
+        runs = _runs(texts, salt, longest, shortest, _chains(known, shortest, longest))
+        ordered = runs.repartition("part").sortWithinPartitions("part", "first")
+        found = materialize(ordered.mapInArrow(_merge(shortest, longest, least), "ids array<bigint>, n bigint"), f"phrases-{shortest}")
+        phrases = phrases.unionByName(found)
+        if longest < LONGEST:
+            known = context.broadcast(bloom(found, found.count()))
+    return words, materialize(phrases, "phrases")
+
+
+def _joint(ids: np.ndarray) -> np.ndarray:
+    """One key for each row of ids."""
+    out = mix(ids[:, 0])
+    for column in ids.T[1:]:
+        out = mix(out * np.uint64(3) + column)
+    return out
+
+
+def _chains(known, shortest: int, longest: int):
+    """The windows of ``shortest`` to ``longest`` words whose runs of ``shortest - 1`` words are all let through by ``known``."""
+    part = shortest - 1
+
+    def windows(text: _Texts) -> np.ndarray:
         n = len(text.ids)
-        if n < 3:
-            return np.zeros((0, LONGEST), np.uint64)
-        link = np.zeros(n + LONGEST, bool)  # a frequent pair begins here
-        at = np.flatnonzero(text.joined)
-        link[at] = lets_through(together.value, _joint(text.ids[at], text.ids[at + 1]))
-        ids = np.concatenate((text.ids, np.zeros(LONGEST, np.uint64)))
-        begin = np.flatnonzero(link[:n] & link[1:n + 1])
-        out = np.zeros((len(begin), LONGEST), np.uint64)
+        ids = np.concatenate((text.ids, np.zeros(longest, np.uint64)))
+        near = np.concatenate((text.joined, np.zeros(longest, bool)))  # the next word stands directly behind
+        whole = np.ones(n, bool)
+        for k in range(part - 1):
+            whole &= near[k:k + n]
+        at = np.flatnonzero(whole)
+        good = np.zeros(n + longest, bool)  # a frequent run begins here
+        if len(at):
+            good[at] = lets_through(known.value, _joint(np.stack([ids[at + k] for k in range(part)], axis=1)))
+        begin = np.flatnonzero(good[:n] & good[1:n + 1] & near[:n])
+        out = np.zeros((len(begin), longest), np.uint64)
         whole = np.ones(len(begin), bool)
-        for k in range(LONGEST):
-            if k:
-                whole &= link[begin + k - 1]
+        for k in range(longest):
+            if k >= shortest:
+                whole &= good[begin + k - part + 1] & near[begin + k - 1]
             out[whole, k] = ids[begin[whole] + k]
         return out
 
-    names = [f"w{i + 1}" for i in range(LONGEST)]
-    # one shuffle by prefix: the sums below are made where the runs are, from the same exchange
-    runs = _runs(texts, salt, LONGEST, windows_of).repartition("w1", "w2", "w3").groupBy(*names).agg(F.sum("n").alias("n"))
-    longer = []
-    for k in range(3, LONGEST + 1):
-        some = runs.filter(F.col(names[k - 1]) != 0).groupBy(*names[:k]).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-        longer.append(some.select(F.array(*names[:k]).alias("ids"), "n"))
-    out = frequent.select(F.array("key").alias("ids"), "n").unionByName(pairs.select(F.array("w1", "w2").alias("ids"), "n"))
-    for some in longer:
-        out = out.unionByName(some)
-    return words, materialize(out, "phrases")
-
-
-def _joint(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return mix(a * np.uint64(3) + mix(b))
+    return windows
+
+
+def _merge(shortest: int, longest: int, least: int):
+    """Sums of the runs' rows in order for every prefix of ``shortest`` words or more, as each ends."""
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: dict[int, tuple[np.ndarray, int]] = {}  # by length: the prefix that the last row has, and its sum so far
+
+        def closed(phrases: list, counts: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(phrases, pa.list_(pa.int64())), pa.array(counts, pa.int64())], ["ids", "n"])
+
+        for rows, n in _in_order(batches, longest):
+            rows, phrases, counts = rows.view(np.int64) if rows.flags.c_contiguous else np.ascontiguousarray(rows).view(np.int64), [], []
+            changed = np.zeros(len(rows) - 1, bool)
+            for k in range(longest):
+                changed |= rows[1:, k] != rows[:-1, k]
+                if k + 1 < shortest:
+                    continue
+                starts = np.concatenate(([0], np.flatnonzero(changed) + 1))
+                sums, keys = np.add.reduceat(n, starts), rows[starts, :k + 1]
+                if k in open_:
+                    key, before = open_[k]
+                    if (key == keys[0]).all():
+                        sums[0] += before
+                    elif before >= least and key[-1]:
+                        phrases.append(key)
+                        counts.append(before)
+                open_[k] = (keys[-1], int(sums[-1]))
+                done = np.flatnonzero((sums[:-1] >= least) & (keys[:-1, -1] != 0))
+                phrases += list(keys[done])
+                counts += sums[done].tolist()
+            if counts:
+                yield closed(phrases, counts)
+        last = [(key, n) for key, n in open_.values() if n >= least and key[-1]]
+        if last:
+            yield closed([key for key, _ in last], [n for _, n in last])
+
+    return merge
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, scale: int = 1000) -> DataFrame:
