@@ -160,8 +160,8 @@ def _in_regions(shared):
             place = (np.arange(len(row)) - first[row])[keep]
             row = pa.array(row[keep])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[keep]), batch.column("doc").take(row), batch.column("n").take(row), pa.array(place.astype(np.int32))],
-                ["region", "doc", "n", "pos"])
+                [pa.array(keys[keep]), batch.column("doc").take(row), batch.column("id").take(row), batch.column("n").take(row), pa.array(place.astype(np.int32))],
+                ["region", "doc", "id", "n", "pos"])
     return make
 
 
@@ -223,12 +223,13 @@ def jaccard_join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     # of the regions only those of several points go on
     crowded = classes.select(F.explode("pivots").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
     bits = spark.sparkContext.broadcast(bitmap(crowded))  # 4 MB
-    replicas = materialize(classes.select("doc", "n", "pivots").mapInArrow(_in_regions(bits), "region bigint, doc bigint, n bigint, pos int"), "replicas")
-    firsts = replicas.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc", "n", "pos")).alias("p")).filter("c > 1")
+    replicas = materialize(classes.select("doc", "id", "n", "pivots").mapInArrow(_in_regions(bits), "region bigint, doc bigint, id bigint, n bigint, pos int"), "replicas")
+    # the smallest doc_id is the pivot: near copies lie closer to what they were made from than to each other
+    firsts = replicas.groupBy("region").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("id", "doc", "n", "pos")).alias("p")).filter("c > 1")
     regions = materialize(replicas.join(firsts, "region").select(
-        "region", "doc", "n", "pos", F.col("p.doc").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.pos").alias("pivot_pos")), "regions")
+        "region", "c", "doc", "n", "pos", F.col("p.doc").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.pos").alias("pivot_pos")), "regions")
 
-    # first round: one point of each region is its pivot
+    # first round: the point of the smallest doc_id is its region's pivot
     near = _near(percent)
     asked = regions.filter("doc <> pivot").filter(near).select("doc", "n", "pivot", "pivot_n").distinct()
     first = materialize(_measure(asked, classes, texts, k, percent), "measured")
@@ -244,7 +245,8 @@ def jaccard_join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     # distance to the region's first pivot; unknown where sizes alone keep them apart
     similar = F.col("both") / (F.col("n") + F.col("pivot_n") - F.col("both"))
     known = first.select("doc", "pivot", (1 - similar).alias("far"))
-    rows = labelled(labelled(regions, "doc", "comp"), "pivot", "pivot_comp")
+    # a region of two points is done: its one pair has been looked at
+    rows = labelled(regions.filter("c > 2"), "doc", "comp")
     mixed = rows.groupBy("region").agg((F.min("comp") != F.max("comp")).alias("open")).filter("open").select("region")
     rows = materialize(rows.join(mixed, "region", "left_semi").join(known, ["doc", "pivot"], "left")
                        .withColumn("far", F.when(F.col("doc") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("far")))
