@@ -45,7 +45,7 @@ TREES = 8
 LEAF = 200        # points of a leaf, about, in small tables; in larger ones 4 x the root of their number
 BLOCK = 512       # points of a block, on average
 CHUNK = 256       # queries that meet a block together, on average
-VISITED = 0.14    # share of all leaves that a query visits
+VISITED = 0.17    # share of all leaves that a query visits; recall on tables of 500 to 51,000 vectors without structure is above 0.9
 HELD = 20_000     # best lists that a task merges before it passes them on
 
 
