@@ -1,9 +1,16 @@
+import os
+import sys
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+
+import compare  # noqa: E402
 from helpers import assert_columns, frame, local, plan
+from tillwatch.catalog import ORACLE, QUERIES
 from tillwatch.functions.bins import SALES_LABELS
 from tillwatch.operators.aggregate import (
     Mergeable, aggregate, aggregate_categories, count_distinct_rows, group_stats, join_group_stats)
@@ -235,3 +242,17 @@ def test_count_distinct(pair):
     df, theirs = pair
     row = count_distinct_rows(df, ["k", "v"]).first()
     assert (row["k"], row["v"]) == (theirs.k.nunique(), theirs.v.nunique())
+
+
+def test_callable_query_with_a_smallest_value_of_zero(spark, tmp_path):
+    """A group that begins at zero and one of zeros alone, as the SQL divides them."""
+    rows = [(1, "view", 0.0), (2, "view", 4.0), (3, "click", 2.0), (4, "click", 5.0), (5, "error", 0.0), (6, "signup", -1.0), (8, "signup", 0.0)]
+    stamp = F.timestamp_seconds(F.col("event_id") * 3600)
+    table = spark.createDataFrame(rows, "event_id long, event_type string, value double")
+    table.select("event_id", stamp.cast("timestamp_ntz").alias("ts"), F.lit(2).cast("bigint").alias("user_id"), "event_type", "value",
+                 ).coalesce(1).toPandas().to_parquet(tmp_path / "events.parquet", coerce_timestamps="us")
+    line, good = compare.compare(spark, compare.connect(str(tmp_path)), str(tmp_path), "aggregate_callable",
+                                 QUERIES["aggregate_callable"], ORACLE["aggregate_callable"])
+    assert good, line
+    ratios = {r["coffee_name"]: r["money_ratio"] for r in QUERIES["aggregate_callable"](spark, str(tmp_path)).collect()}
+    assert ratios["view"] == float("inf") and np.isnan(ratios["error"]) and ratios["click"] == 2.5

@@ -66,12 +66,12 @@ SELECT coffee_name, max(money) - min(money) AS money_spread, max(money) + min(mo
        max(money) / min(money) AS money_ratio
 FROM g WHERE coffee_name IS NOT NULL GROUP BY 1""")
 def q_callable(spark, folder):
-    """A mergeable pandas aggregate and two Column functions."""
+    """A mergeable pandas aggregate and two Column functions; a ratio to zero is infinite, that of zeros NaN, as in the SQL."""
     def ends(x):
         return F.max(x) + F.min(x)
 
     def ratio(x):
-        return F.max(x) / F.min(x)
+        return F.when(F.min(x) == 0, F.max(x) * F.lit(float("inf"))).otherwise(F.max(x) / F.min(x))
 
     return aggregate(gappy(spark, folder), ["coffee_name"], {"money": [_SPREAD, ends, ratio]})
 
