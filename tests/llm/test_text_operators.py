@@ -335,3 +335,19 @@ def test_toxicity_on_held_out_rows(spark, toxic):
 def test_toxicity_without_labels(spark, docs):
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
     assert {r["score"] for r in toxicity.score(docs, model).collect()} == {0.5}
+
+
+def test_toxicity_counts_all_labelled_rows(spark):
+    """More rows than any sample held; a doc_id with several texts is one document, copies are one context."""
+    rows, labels = [], []
+    for i in range(13_000):
+        toxic = i % 100 == 0
+        rows.append((i, f"w{'abcdefgh'[i % 8]}{'klmnopqr'[i // 8 % 8]} {'zorkling' if toxic else 'plain'} text" if i % 200 else "same zorkling copied brabble"))
+        labels.append((i, int(toxic)))
+    rows += [(100, "other zorkling words"), (100, "other zorkling words")]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert model.prior == math.log(130 / 12_870)
+    contexts = {t.split()[0] for i, t in rows if i % 100 == 0}
+    # the whole word and its beginnings of 4, 5, 6 letters; the copied text's other words have one context
+    assert len(model.keys) == 4 and 4 <= len(contexts) < 130
+    assert np.allclose(model.weights, math.log((len(contexts) + 0.5) / 131) - math.log(1 / 12_871) - toxicity.DISCOUNT)

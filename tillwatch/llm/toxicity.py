@@ -6,11 +6,12 @@ Each is a lattice of characters; the Viterbi path under a character language
 model plus the channel's costs is the restored word, and takes its place in the
 text.  The restored text is scored by the words and word beginnings it holds.
 
-Learning.  From a sample of at most about ``SAMPLE`` labelled rows (documented
-bound, drawn by hash): the character model from the words of both classes, the
-evidence from how many documents and how many different contexts of each class
-a word or word beginning occurs in.  Contexts count so that copies of one text
+Learning.  From all labelled rows: the character model from the words of both
+classes, the evidence from how many documents and how many different contexts of each
+class a word or word beginning occurs in.  Contexts count so that copies of one text
 count once.  The score is the posterior of the label under independent evidence.
+Counting is done by Spark; what comes to the driver is the model, evidence that passes
+all tests and character n-grams.
 
 Nulls: a null or empty text has the score of no evidence; a null label or doc_id
 is not learnt from; with several labels for a document the larger one holds; with
@@ -31,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
+from .bitmap import bitmap, let_through
 from .job import narrow, ship
 from .words import LOWER, Words, mix, utf8
 
-SAMPLE = 12_000       # labelled rows learnt from, at most (about, as the draw is by hash)
 CONTEXTS = 4          # different contexts in toxic texts that evidence needs
 WEIGHT = 2.5          # least log ratio of evidence
 DISCOUNT = 2.0        # taken off each evidence's log ratio: a word and its beginnings are not independent
@@ -42,6 +43,8 @@ PREFIXES = (4, 5, 6)  # bytes of a word's beginning that are evidence besides th
 ORDER = 4             # characters of the character model
 THRESHOLD = 0.7
 PIECE = 1 << 20
+PENDING = 1 << 20     # counted keys that a task holds before it passes them on
+SCALE = 1 << 30       # log counts are added up as whole multiples of this one's inverse, in any order alike
 
 # Which letters a sign may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
@@ -68,18 +71,37 @@ _sign[list("".join(LEET).encode())] = True  # of the signs of several bytes, eac
 _filler[list(b".-_*")] = True
 
 
+def _ngrams(word: str) -> Iterator[tuple[str, str]]:
+    """Each character of a word, its end included, with its contexts of up to ``ORDER - 1`` characters."""
+    text = "^" * (ORDER - 1) + word + "$"
+    for i in range(ORDER - 1, len(text)):
+        for k in range(ORDER):
+            yield text[i - k:i], text[i]
+
+
 class CharModel:
     """Smoothed n-gram model of the characters of words, ends included."""
 
     def __init__(self, words: dict[str, int]):
-        self.counts: dict[str, dict[str, float]] = defaultdict(lambda: defaultdict(float))
+        counts: dict[str, dict[str, float]] = defaultdict(lambda: defaultdict(float))
         for word, n in words.items():
-            text = "^" * (ORDER - 1) + word + "$"
-            for i in range(ORDER - 1, len(text)):
-                for k in range(ORDER):
-                    self.counts[text[i - k:i]][text[i]] += math.log1p(n)
-        self.counts = {c: dict(v) for c, v in self.counts.items()}
-        self.totals = {c: sum(v.values()) for c, v in self.counts.items()}
+            for context, char in _ngrams(word):
+                counts[context][char] += math.log1p(n)
+        self._set({c: dict(v) for c, v in counts.items()})
+
+    @classmethod
+    def counted(cls, ngrams: Iterator[tuple[str, str, float]]) -> "CharModel":
+        """From the summed log counts of (context, character)."""
+        counts: dict[str, dict[str, float]] = defaultdict(dict)
+        for context, char, total in ngrams:
+            counts[context][char] = total
+        model = cls.__new__(cls)
+        model._set(dict(counts))
+        return model
+
+    def _set(self, counts: dict[str, dict[str, float]]) -> None:
+        self.counts = counts
+        self.totals = {c: sum(v.values()) for c, v in counts.items()}
 
     def log(self, context: str, char: str) -> float:
         p = 1e-4
@@ -256,35 +278,81 @@ def _cuts(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         at = to
 
 
-def _learn(candidates: np.ndarray | None):
-    """Rows (key, toxic, doc, context) of evidence in sampled texts; of all toxic texts' or of the candidates' only."""
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _evidence(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(key, row, word before) of the evidence in a batch of texts, a piece at a time."""
+    data, offsets = utf8(batch.column("text"))
+    for at, to in _cuts(offsets):
+        part = offsets[at:to + 1]
+        text = Letters(data[part[0]:part[-1]], part - part[0])
+        keys, rows, word = text.evidence()
+        before = np.concatenate((np.zeros(1, np.uint64), text.hashes()[:-1])) if len(text.start) else np.zeros(0, np.uint64)
+        yield keys, at + rows, before[word]
+
+
+def _marked(shared):
+    """Texts whose doc_id the bitmap lets through."""
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(let_through(shared.value, batch.column("doc_id").to_numpy())))
+    return keep
+
+
+def _documents(repeated, candidates):
+    """Rows (key, doc, n): how many texts of a task hold a key; those of a doc_id that may occur again one by one, with it."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        again = repeated.value
+        wanted = candidates.value if candidates is not None else None
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            keys, n = (np.concatenate(x) for x in zip(*held))
+            keys, at = np.unique(keys, return_inverse=True)
+            return keys, np.bincount(at, weights=n, minlength=len(keys)).astype(np.int64)
+
+        def rows(keys: np.ndarray, docs: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), docs, pa.array(n)], ["key", "doc", "n"])
+
         for batch in batches:
-            data, offsets = utf8(batch.column("text"))
-            toxic = batch.column("toxic").to_numpy()
             ids = batch.column("doc_id").to_numpy()
-            for at, to in _cuts(offsets):
-                part = offsets[at:to + 1]
-                text = Letters(data[part[0]:part[-1]], part - part[0])
-                keys, rows, word = text.evidence()
-                before = np.concatenate((np.zeros(1, np.uint64), text.hashes()[:-1])) if len(text.start) else np.zeros(0, np.uint64)
-                context = before[word]
-                keep = toxic[at:to][rows] == 1 if candidates is None else np.isin(keys, candidates)
-                keys, rows, context = keys[keep], rows[keep], context[keep]
-                if candidates is not None:
-                    context = np.zeros_like(context)
-                tag = mix(keys + mix(context + rows.astype(np.uint64)))
-                _, first = np.unique(tag, return_index=True)
-                rows = rows[first]
+            single = ~let_through(again, ids)
+            for keys, at, _ in _evidence(batch):
+                if wanted is not None:
+                    keep = let_through(wanted, keys.view(np.int64))
+                    keys, at = keys[keep], at[keep]
+                _, first = np.unique(mix(keys + mix(at.astype(np.uint64))), return_index=True)
+                keys, at = keys[first], at[first]
+                own = single[at]
+                if not own.all():
+                    yield rows(keys[~own], pa.array(ids[at[~own]]), np.ones((~own).sum(), np.int64))
+                found, n = np.unique(keys[own], return_counts=True)
+                held.append((found, n))
+            if sum(len(k) for k, _ in held) > 2 * PENDING:
+                held = [merged()]
+                if len(held[0][0]) > PENDING:
+                    keys, n = held.pop()
+                    yield rows(keys, pa.nulls(len(keys), pa.int64()), n)
+        if held:
+            keys, n = merged()
+            yield rows(keys, pa.nulls(len(keys), pa.int64()), n)
+    return count
+
+
+def _contexts(candidates):
+    """Rows (key, context) of the candidates, the different ones of each piece."""
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = candidates.value
+        for batch in batches:
+            for keys, _, context in _evidence(batch):
+                keep = let_through(wanted, keys.view(np.int64))
+                keys, context = keys[keep], context[keep]
+                _, first = np.unique(mix(keys + mix(context)), return_index=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[first].view(np.int64)), pa.array(toxic[at:to][rows].astype(np.int32)),
-                     pa.array(ids[at:to][rows]), pa.array(context[first].view(np.int64))],
-                    ["key", "toxic", "doc", "context"])
-    return learn
+                    [pa.array(keys[first].view(np.int64)), pa.array(context[first].view(np.int64))], ["key", "context"])
+    return find
 
 
 def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Plain words of sampled texts with counts, for the character model."""
+    """Plain words of texts with counts, for the character model."""
     plain = re.compile(rf"{LETTERS}{{2,24}}")
     for batch in batches:
         counts: dict[str, int] = defaultdict(int)
@@ -294,13 +362,26 @@ def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
 
+def _characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Character n-grams of words with their whole-number log counts."""
+    for batch in batches:
+        sums: dict[tuple[str, str], int] = defaultdict(int)
+        for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+            weight = round(math.log1p(n) * SCALE)
+            for pair in _ngrams(word):
+                sums[pair] += weight
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([c for c, _ in sums], pa.string()), pa.array([c for _, c in sums], pa.string()), pa.array(list(sums.values()), pa.int64())],
+            ["context", "char", "total"])
+
+
 class ToxicityModel:
-    """What scoring needs; its size is bounded by the sample."""
+    """What scoring needs: the evidence that passes all tests, and the character n-grams."""
 
-    def __init__(self, keys: np.ndarray, weights: np.ndarray, prior: float, words: dict[str, int]):
+    def __init__(self, keys: np.ndarray, weights: np.ndarray, prior: float, chars: CharModel | None):
         by = np.argsort(keys)
         self.keys, self.weights, self.prior = keys[by], weights[by], prior
-        self.words = words
+        self.chars = chars
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         total = np.full(len(offsets) - 1, self.prior)
@@ -316,43 +397,58 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityModel:
-    """Learn from at most about ``sample`` rows of ``labels`` (doc_id, toxic) and their texts."""
-    ship(docs.sparkSession)
+def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
+    """Learn from all rows of ``labels`` (doc_id, toxic) and their texts."""
+    spark = docs.sparkSession
+    ship(spark)
     marks = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .filter("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    known = marks.count()
-    share = min(1.0, sample / max(known, 1))
-    drawn = marks.filter(F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     texts = narrow(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    # about ``sample`` marks, so small enough to be broadcast
-    rows = materialize(texts.join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "toxic"), "labelled")
-    counts = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count_distinct("doc_id").alias("n")).collect()}
+    marks = materialize(marks, "marks")
+    marked = spark.sparkContext.broadcast(bitmap(marks.select(F.col("doc_id").alias("key"))))  # 4 MB
+    # marks grow with the corpus, so they are not broadcast; the bitmap keeps most other texts out of the shuffle
+    known = texts.filter("doc_id IS NOT NULL").mapInArrow(_marked(marked), "doc_id bigint, text string")
+    rows = materialize(known.join(marks.hint("merge"), "doc_id").select("doc_id", "text", "toxic"), "labelled")
+    own = rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.count(F.lit(1)).alias("n"))
+    own = materialize(own, "counted")
+    counts = {r["toxic"]: r["n"] for r in own.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
-        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), 0.0, {})
-    schema = "key bigint, toxic int, doc bigint, context bigint"
-    seen = (rows.filter("toxic = 1").mapInArrow(_learn(None), schema).groupBy("key")
-            .agg(F.count_distinct("context").alias("contexts"), F.count_distinct("doc").alias("docs"))
-            .filter(F.least("contexts", "docs") >= CONTEXTS).select("key", F.least("contexts", "docs").alias("toxic_docs")))
-    found = seen.toArrow()  # words of the bounded sample
+        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), 0.0, None)
+    again = spark.sparkContext.broadcast(bitmap(own.filter("n > 1").select(F.col("doc_id").alias("key"))))  # 4 MB
+
+    def documents(toxic: int, candidates=None) -> DataFrame:
+        """Number of documents that hold a key: texts, but those of one doc_id once."""
+        held = rows.filter(F.col("toxic") == toxic).mapInArrow(_documents(again, candidates), "key bigint, doc bigint, n bigint")
+        once = held.groupBy("key", "doc").agg(F.sum("n").alias("n"))
+        return once.groupBy("key").agg(F.sum(F.when(F.col("doc").isNull(), F.col("n")).otherwise(1)).alias("n"))
+
+    toxic = materialize(documents(1).filter(F.col("n") >= CONTEXTS).withColumnRenamed("n", "docs"), "toxic-keys")
+    some = spark.sparkContext.broadcast(bitmap(toxic))  # 4 MB
+    # contexts can only lower a key's count, so what is too weak without them is out
+    weight = F.log((F.col("docs") + 0.5) / (counts[1] + 1)) - F.log((F.col("clean") + 1) / (counts[0] + 1))
+    clean = documents(0, some).withColumnRenamed("n", "clean")
+    strong = toxic.join(clean, "key", "left").na.fill(0, ["clean"]).filter(weight >= WEIGHT - 1e-9)
+    strong = materialize(strong, "candidates")
+    some = spark.sparkContext.broadcast(bitmap(strong))
+    contexts = (rows.filter("toxic = 1").mapInArrow(_contexts(some), "key bigint, context bigint")
+                .groupBy("key").agg(F.count_distinct("context").alias("contexts")))
+    found = (strong.join(contexts, "key").withColumn("docs", F.least("docs", "contexts"))
+             .filter((F.col("docs") >= CONTEXTS) & (weight >= WEIGHT - 1e-9)).select("key", "docs", "clean").toArrow())
     keys = found["key"].to_numpy().astype(np.int64).view(np.uint64)
-    other = (rows.filter("toxic = 0").mapInArrow(_learn(keys), schema).groupBy("key")
-             .agg(F.count_distinct("doc").alias("n")).toArrow().to_pydict())
-    other = dict(zip(other["key"], other["n"]))
-    clean = np.array([other.get(k, 0) for k in keys.view(np.int64).tolist()], float)
-    weights = (np.log((found["toxic_docs"].to_numpy() + 0.5) / (counts[1] + 1)) - np.log((clean + 1) / (counts[0] + 1)))
+    weights = np.log((found["docs"].to_numpy() + 0.5) / (counts[1] + 1)) - np.log((found["clean"].to_numpy() + 1.0) / (counts[0] + 1))
     keep = weights >= WEIGHT
-    vocabulary = (rows.mapInArrow(_vocabulary, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-                  .filter("n >= 3").toArrow().to_pydict())
-    words = dict(zip(vocabulary["word"], vocabulary["n"]))
-    return ToxicityModel(keys[keep], weights[keep] - DISCOUNT, math.log(counts[1] / counts[0]), words)
+    words = rows.mapInArrow(_vocabulary, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter("n >= 3")
+    ngrams = (words.mapInArrow(_characters, "context string, char string, total bigint")
+              .groupBy("context", "char").agg(F.sum("total").alias("total")).orderBy("context", "char").toArrow().to_pydict())
+    chars = CharModel.counted(zip(ngrams["context"], ngrams["char"], (t / SCALE for t in ngrams["total"])))
+    return ToxicityModel(keys[keep], weights[keep] - DISCOUNT, math.log(counts[1] / counts[0]), chars if chars.counts else None)
 
 
 def _scorer(shared, column: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: ToxicityModel = shared.value
-        # built anew by each task, so that a worker that goes on to other work does not keep it
-        restorer = Restorer(CharModel(model.words)) if model.words else None
+        # what it remembers is built anew by each task, so that a worker that goes on to other work does not keep it
+        restorer = Restorer(model.chars) if model.chars else None
         for batch in batches:
             data, offsets = _restored(*utf8(batch.column(column)), restorer)
             scores = pa.array(model.score(data, offsets))
@@ -364,7 +460,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id and score (0 to 1) of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(model)  # bounded by the sample
+    shared = spark.sparkContext.broadcast(model)  # strong evidence and character n-grams
     texts = narrow(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     return texts.mapInArrow(_scorer(shared, "text"), "doc_id bigint, score double")
 
