@@ -351,3 +351,15 @@ def test_toxicity_counts_all_labelled_rows(spark):
     # the whole word and its beginnings of 4, 5, 6 letters; the copied text's other words have one context
     assert len(model.keys) == 4 and 4 <= len(contexts) < 130
     assert np.allclose(model.weights, math.log((len(contexts) + 0.5) / 131) - math.log(1 / 12_871) - toxicity.DISCOUNT)
+
+
+def test_random_field_learns_from_all_rows(spark):
+    """Finds that come after thousands of stretches without any, and in shards of their own."""
+    names = "anna ben carl dora emil fred gina hans ida jon".split()
+    rows = [(i, f"there were {i} of them") for i in range(5_000)]
+    rows += [(10_000 + i, f"please write to {names[i % 10]}.{names[i // 10 % 10]}@{names[i // 3 % 10]}{'.example' * (i % 2)}.com today") for i in range(300)]
+    docs = spark.createDataFrame(rows + [(None, None), (None, "call 12")], "doc_id long, text string")
+    for shard in (pii.SHARD, 2_000):
+        model = pii.fit(docs.repartition(5), shard)
+        assert pii.all_spans("please write to john.doe(at)mail.host.com today", model)[1] == [(16, 41, "email")]
+        assert model.weights == pii.fit(docs.repartition(3), shard).weights

@@ -8,10 +8,12 @@ programming over all segmentations finds the best boundaries and kinds together,
 and a segment is added if its probability under the model is ``SURE`` or more and
 it overlaps nothing that the patterns found.
 
-Training data are the patterns' own finds in a sample of at most about ``SAMPLE`` rows
-(documented bound, drawn by hash), together with rewritten forms of them that the
-patterns miss (no plus sign, other separators, spelled-out at-signs) and broken forms
-that are no finds (wrong check digit, a part above 255).
+Training data are the patterns' own finds in all rows, together with rewritten forms of
+them that the patterns miss (no plus sign, other separators, spelled-out at-signs) and
+broken forms that are no finds (wrong check digit, a part above 255).  A table of more
+than about ``SHARD`` rows is dealt by hash to shards of that size; each trains a model on
+all of its examples, and the field's weights are the means over the shards (mixture
+weights, Mann et al. 2009).  The deal depends on ids and texts only.
 
 Places are code points, ends exclusive.  A null or empty text has no spans; rows are
 read one by one, so repeated rows get equal spans and a null doc_id changes
@@ -27,6 +29,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -36,11 +39,11 @@ from .words import LOWER, SPACE, utf8
 KINDS = ("email", "ip", "card", "phone")  # also the order of spans with one start
 LONGEST = 6       # words of a segment, at most
 SURE = 0.9
-SAMPLE = 4000     # rows whose finds train the model, about
-ROUNDS = 20
+SHARD = 16_000    # rows whose examples one task trains on, about; all rows are in a shard
+UPDATES = 24_000  # examples that training visits, at least: small shards are gone through more often
 STEP = 0.5
 SHRINK = 1e-3
-TRAINED = 1200    # stretches of text trained on, at most
+SCALE = 1 << 30   # weights are added up as whole multiples of this one's inverse, in any order alike
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -208,8 +211,9 @@ class SemiMarkov:
         model = cls(weights)
         rng = random.Random(3)
         order = list(range(len(stretches)))
-        segments = [cls.segments(words) for words, _ in stretches]
-        for _ in range(ROUNDS):
+        names: dict[str, str] = {}  # one string for each feature
+        segments = [{place: [names.setdefault(x, x) for x in f] for place, f in cls.segments(words).items()} for words, _ in stretches]
+        for _ in range(-(-UPDATES // max(len(stretches), 1))):
             rng.shuffle(order)
             for index in order:
                 words, marked = stretches[index]
@@ -304,25 +308,33 @@ def _examples(texts: list[str]) -> list[tuple[list[str], list[tuple[int, int, st
                     at = e
                 if all(j - i <= LONGEST for i, j, _ in marked):
                     out.append((words, marked))
-            if len(out) >= 2 * TRAINED:
-                break
     rng.shuffle(out)
-    return out[:TRAINED]
+    return out
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> SemiMarkov:
-    """Train on the patterns' finds in about ``sample`` rows of ``docs`` (doc_id, text)."""
-    rows = docs.count()
-    share = min(1.0, sample / max(rows, 1))
-    drawn = narrow(docs, "doc_id", "text").filter(F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    # only the words around digits, at-signs and the word at come back, from about ``sample`` rows
+def _train(frame: pd.DataFrame) -> pd.DataFrame:
+    """Weights of a shard's model."""
+    rows = sorted((id_ if id_ == id_ else -math.inf, list(parts)) for id_, parts in zip(frame["doc_id"], frame["parts"]))
+    examples = _examples([p for _, parts in rows for p in parts])
+    weights = SemiMarkov.train(examples).weights if any(m for _, m in examples) else {}
+    return pd.DataFrame([(f, k, round(w * SCALE)) for (f, k), w in weights.items()], columns=["feature", "kind", "weight"])
+
+
+def fit(docs: DataFrame, shard: int = SHARD) -> SemiMarkov:
+    """Train on the patterns' finds in all rows of ``docs`` (doc_id, text), about ``shard`` rows a task."""
+    ship(docs.sparkSession)
+    shards = max(1, -(-docs.count() // shard))
+    texts = narrow(docs, "doc_id", "text").withColumn("shard", F.pmod(F.xxhash64(F.lit(11), "doc_id", "text"), F.lit(shards)).cast("int"))
+    # only the words around digits, at-signs and the word at are shuffled
     edge = r"[()\[\]{}<>\"'.,;:!?]"
     trigger = rf"(?:[^ \t-\r]*(?:[0-9@]|{BRACKETED})[^ \t-\r]*|(?<![^ \t-\r]){edge}*at{edge}*(?![^ \t-\r]))"
     part = rf"(?i)(?:[^ \t-\r]+[ \t-\r]+){{0,3}}(?:{trigger}[ \t-\r]*)+(?:[^ \t-\r]+[ \t-\r]*){{0,3}}"
-    short = drawn.filter(F.col("text").rlike(f"(?i){trigger}")).select("doc_id", F.regexp_extract_all("text", F.lit(part), F.lit(0)).alias("parts"))
-    texts = [p for r in short.orderBy("doc_id").collect() for p in r["parts"]]
-    examples = _examples(texts)
-    return SemiMarkov.train(examples) if any(m for _, m in examples) else SemiMarkov()
+    short = texts.filter(F.col("text").rlike(f"(?i){trigger}")).select(
+        "shard", F.col("doc_id").cast("bigint").alias("doc_id"), F.regexp_extract_all("text", F.lit(part), F.lit(0)).alias("parts"))
+    trained = short.repartition(shards, "shard").groupBy("shard").applyInPandas(_train, "feature string, kind string, weight bigint")
+    summed = trained.groupBy("feature", "kind").agg(F.sum("weight").alias("weight"))
+    found = summed.filter(F.abs("weight") > 1e-3 * SCALE * shards).orderBy("feature", "kind").toArrow().to_pydict()
+    return SemiMarkov({(f, k): w / SCALE / shards for f, k, w in zip(found["feature"], found["kind"], found["weight"])})
 
 
 def all_spans(text: str, model: SemiMarkov) -> tuple[list[Span], list[Span]]:
@@ -377,7 +389,7 @@ def find(docs: DataFrame, model: SemiMarkov) -> DataFrame:
     """doc_id, base and spans (arrays of kind, start, end) of every row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     ship(spark)
-    shared = spark.sparkContext.broadcast(model.weights)  # bounded by the sample
+    shared = spark.sparkContext.broadcast(model.weights)  # features of more than a trace of weight
     texts = narrow(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("bigint"))
     span = "array<struct<kind:string,start:bigint,end:bigint>>"
     return texts.mapInArrow(_find(shared), f"doc_id bigint, base {span}, spans {span}")
