@@ -363,3 +363,9 @@ def test_random_field_learns_from_all_rows(spark):
         model = pii.fit(docs.repartition(5), shard)
         assert pii.all_spans("please write to john.doe(at)mail.host.com today", model)[1] == [(16, 41, "email")]
         assert model.weights == pii.fit(docs.repartition(3), shard).weights
+
+
+def test_only_points_of_pairs_are_measured(spark):
+    classes = spark.range(20_000).select(F.col("id").alias("doc"), F.array(F.lit(1).cast("bigint")).alias("sketch"), F.lit(0).cast("bigint").alias("d1"), "id")
+    pairs = spark.createDataFrame([(5, 6), (5, 7)], "doc long, pivot long")
+    assert {5, 6, 7} <= (left := {r["doc"] for r in jaccard._paired(pairs, classes).collect()}) and len(left) < 10

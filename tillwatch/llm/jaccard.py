@@ -165,6 +165,14 @@ def _in_regions(shared):
     return make
 
 
+def _in_pairs(shared):
+    """Points that the bitmap lets through."""
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(let_through(shared.value, batch.column("doc").to_numpy())))
+    return keep
+
+
 def _near(percent: int):
     """Sizes of two sets, and what follows this n-gram in both, allow the similarity.
 
@@ -176,6 +184,12 @@ def _near(percent: int):
     return sizes & (after * (100 + percent) >= (F.col("n") + F.col("pivot_n")) * percent)
 
 
+def _paired(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The points that can be in pairs (doc, pivot); sketches do not compress, so the others are kept out of the shuffle."""
+    held = pairs.sparkSession.sparkContext.broadcast(bitmap(pairs.select(F.explode(F.array("doc", "pivot")).alias("key"))))  # 4 MB
+    return classes.select("doc", "sketch", "d1", "id").mapInArrow(_in_pairs(held), "doc bigint, sketch array<bigint>, d1 bigint, id bigint")
+
+
 def _measure(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Exact intersection sizes of those pairs (doc, n, pivot, pivot_n) that can be similar enough.
 
@@ -183,6 +197,8 @@ def _measure(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, per
     n-grams; pairs whose sketches are too far apart need no text.
     """
     spark = pairs.sparkSession
+    pairs = materialize(pairs, "pairs")
+    classes = _paired(pairs, classes)
     own = classes.select("doc", "sketch", "d1", "id")
     other = classes.select(F.col("doc").alias("pivot"), F.col("sketch").alias("pivot_sketch"), F.col("d1").alias("pivot_d1"), F.col("id").alias("pivot_id"))
     apart = F.aggregate(F.zip_with("sketch", "pivot_sketch", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda x, y: x + y)
