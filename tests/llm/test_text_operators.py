@@ -2,10 +2,12 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -369,3 +371,19 @@ def test_only_points_of_pairs_are_measured(spark):
     classes = spark.range(20_000).select(F.col("id").alias("doc"), F.array(F.lit(1).cast("bigint")).alias("sketch"), F.lit(0).cast("bigint").alias("d1"), "id")
     pairs = spark.createDataFrame([(5, 6), (5, 7)], "doc long, pivot long")
     assert {5, 6, 7} <= (left := {r["doc"] for r in jaccard._paired(pairs, classes).collect()}) and len(left) < 10
+
+
+def test_words_around_marks(spark):
+    """The parts that the field learns from are those of one pattern; very long texts and words are read as well."""
+    edge = r"[()\[\]{}<>\"'.,;:!?]"
+    mark = rf"(?:[^ \t-\r]*(?:[0-9@]|[\[({{<]at[\])}}>])[^ \t-\r]*|(?<![^ \t-\r]){edge}*at{edge}*(?![^ \t-\r]))"
+    part = re.compile(rf"(?i)(?:[^ \t-\r]+[ \t-\r]+){{0,3}}(?:{mark}[ \t-\r]*)+(?:[^ \t-\r]+[ \t-\r]*){{0,3}}")
+    rng = random.Random(6)
+    words = ["a", "at", "(AT)", "x(at)y", "[at", "at]", "9", "b@c", "at.", "cat", "é", "日", "dot", "at\x1c", *"uvwxyz" * 3]
+    texts = [None, "", "at", " a", "1"] + ["".join(rng.choice(words) + rng.choice([" ", "  ", "\n"]) for _ in range(rng.randrange(30))) + rng.choice(["", "at"]) for _ in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array([1] * len(texts), pa.int32()), pa.array(range(len(texts))), pa.array(texts)], ["shard", "doc_id", "text"])
+    found = {i: parts for b in pii._around(iter([batch, batch.slice(0, 0)])) for i, parts in zip(b.column("doc_id").to_pylist(), b.column("parts").to_pylist())}
+    want = {i: part.findall(t or "") for i, t in enumerate(texts)}
+    assert found == {i: p for i, p in want.items() if p}
+    long = spark.createDataFrame([(1, "12 " * 60_000), (2, "x" * 400_000 + " at")], "doc_id long, text string")
+    assert pii.fit(long).weights == {}  # a pattern over the whole text ran out of stack here

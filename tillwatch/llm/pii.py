@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .job import narrow, ship
-from .words import LOWER, SPACE, utf8
+from .words import LOWER, SPACE, Words, pieces, utf8
 
 KINDS = ("email", "ip", "card", "phone")  # also the order of spans with one start
 LONGEST = 6       # words of a segment, at most
@@ -312,6 +312,57 @@ def _examples(texts: list[str]) -> list[tuple[list[str], list[tuple[int, int, st
     return out
 
 
+def _parts(words: Words) -> Iterator[tuple[int, int, int]]:
+    """Text and byte range of each run of marked words with up to three words more on each side.
+
+    Runs take turns from the left: a word is in one range at most, and of the marked words
+    that three words can reach from a range's first word the last one begins its run.
+    """
+    data, start, end = words.data, words.start, words.end
+    if not len(start):
+        return
+    signs = np.concatenate(([0], np.cumsum(_marks[data], dtype=np.int64)))
+    marked = signs[end] > signs[start]
+    at = np.flatnonzero((LOWER[data[:-1]] == 97) & (LOWER[data[1:]] == 116))
+    word = np.searchsorted(start, at, "right") - 1
+    inside = at + 2 <= end[word]
+    at, word = at[inside], word[inside]
+    free = np.concatenate(([0], np.cumsum(~_edges[data], dtype=np.int64)))  # words hold no white space
+    alone = free[end[word]] - free[start[word]] == 2
+    framed = (at > start[word]) & (at + 2 < end[word])
+    framed &= _opening[data[at - 1]] & _closing[data[np.minimum(at + 2, len(data) - 1)]]
+    marked[word[alone | framed]] = True
+    bounds = words.bounds().tolist()
+    places = np.flatnonzero(marked)
+    texts, places = words.doc[places].tolist(), places.tolist()
+    k, free_from = 0, 0
+    while k < len(places):
+        text = texts[k]
+        first = max(places[k] - 3, free_from, bounds[text])
+        high = bounds[text + 1]
+        while k + 1 < len(places) and places[k + 1] < high and places[k + 1] <= first + 3:
+            k += 1
+        while k + 1 < len(places) and places[k + 1] < high and places[k + 1] == places[k] + 1:
+            k += 1
+        free_from = min(places[k] + 4, high)
+        yield text, int(start[first]), int(start[free_from] if free_from < high else words.offsets[text + 1])
+        while k < len(places) and places[k] < free_from:
+            k += 1
+
+
+def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with marked words, and the words around these."""
+    for batch in batches:
+        some = batch.filter(pa.array(_suspect(batch)))
+        for at, to, words in pieces(some, "text"):
+            parts: list[list[str]] = [[] for _ in range(at, to)]
+            for i, low, high in _parts(words):
+                parts[i].append(words.data[low:high].tobytes().decode())
+            rows = pa.array([i for i in range(at, to) if parts[i - at]], pa.int64())
+            yield pa.RecordBatch.from_arrays([some.column("shard").take(rows), some.column("doc_id").take(rows), pa.array([p for p in parts if p], pa.list_(pa.string()))],
+                                             ["shard", "doc_id", "parts"])
+
+
 def _train(frame: pd.DataFrame) -> pd.DataFrame:
     """Weights of a shard's model."""
     rows = sorted((id_ if id_ == id_ else -math.inf, list(parts)) for id_, parts in zip(frame["doc_id"], frame["parts"]))
@@ -326,11 +377,7 @@ def fit(docs: DataFrame, shard: int = SHARD) -> SemiMarkov:
     shards = max(1, -(-docs.count() // shard))
     texts = narrow(docs, "doc_id", "text").withColumn("shard", F.pmod(F.xxhash64(F.lit(11), "doc_id", "text"), F.lit(shards)).cast("int"))
     # only the words around digits, at-signs and the word at are shuffled
-    edge = r"[()\[\]{}<>\"'.,;:!?]"
-    trigger = rf"(?:[^ \t-\r]*(?:[0-9@]|{BRACKETED})[^ \t-\r]*|(?<![^ \t-\r]){edge}*at{edge}*(?![^ \t-\r]))"
-    part = rf"(?i)(?:[^ \t-\r]+[ \t-\r]+){{0,3}}(?:{trigger}[ \t-\r]*)+(?:[^ \t-\r]+[ \t-\r]*){{0,3}}"
-    short = texts.filter(F.col("text").rlike(f"(?i){trigger}")).select(
-        "shard", F.col("doc_id").cast("bigint").alias("doc_id"), F.regexp_extract_all("text", F.lit(part), F.lit(0)).alias("parts"))
+    short = texts.withColumn("doc_id", F.col("doc_id").cast("bigint")).mapInArrow(_around, "shard int, doc_id bigint, parts array<string>")
     trained = short.repartition(shards, "shard").groupBy("shard").applyInPandas(_train, "feature string, kind string, weight bigint")
     summed = trained.groupBy("feature", "kind").agg(F.sum("weight").alias("weight"))
     found = summed.filter(F.abs("weight") > 1e-3 * SCALE * shards).orderBy("feature", "kind").toArrow().to_pydict()
@@ -358,6 +405,8 @@ SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end"
 _marks, _edges = np.zeros(256, bool), SPACE.copy()
 _marks[list(b"0123456789@")] = True
 _edges[list(EDGES.encode())] = True
+_opening, _closing = np.zeros(256, bool), np.zeros(256, bool)
+_opening[list(b"[({<")], _closing[list(b"])}>")] = True, True
 
 
 def _suspect(batch: pa.RecordBatch) -> np.ndarray:
