@@ -387,3 +387,38 @@ def test_words_around_marks(spark):
     assert found == {i: p for i, p in want.items() if p}
     long = spark.createDataFrame([(1, "12 " * 60_000), (2, "x" * 400_000 + " at")], "doc_id long, text string")
     assert pii.fit(long).weights == {}  # a pattern over the whole text ran out of stack here
+
+
+def test_long_sets_are_moved_once(spark, monkeypatch):
+    """Texts of 8,000 words that share a third are told apart by their sketches; sets of linked ones go by point once."""
+    rng = random.Random(12)
+    shared = [f"s{i}" for i in range(2_700)]
+    rows = [(n, " ".join(shared + [f"w{n}x{i}" for i in range(5_400)])) for n in range(10)]
+    rows += [(19 + n, f"{text} {' '.join(f'more{n}x{i}' for i in range(150 * n))}") for n, text in rows[1:4]]  # sketches of two lengths
+    for n in range(4):
+        words = rows[n][1].split()
+        for _ in range(60):
+            words[rng.randrange(len(words))] = "other"
+        rows.append((30 + n, " ".join(words)))
+    asked, plans = [], []
+
+    def seen(df, label="stage"):
+        if label == "measured":
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        out = materialize(df, label)
+        if label == "asked":
+            asked.append(out.count())
+        assert label != "sets"
+        return out
+
+    materialize = jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = jaccard.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r["doc_id"]: r["component_id"] for r in out} == brute.components(rows, 4, 85)
+    assert asked[0] == 7 and "ReusedExchange" in plans[0].split("== Initial Plan ==")[0]

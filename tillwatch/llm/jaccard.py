@@ -39,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from ..session import materialize
@@ -51,7 +51,7 @@ from .words import Words, grams, mix, pieces, signed
 LEVEL_BITS = 22  # the table of n-gram frequencies has 2**22 places, whatever the data
 SAMPLED = 16     # one document in so many counts for the order
 HEAVY = 3        # times that a sampled n-gram must occur to be ordered after the rare ones
-SKETCH_BITS = 11 # a point's sketch has 2**11 parity bits
+SKETCH_BITS = 11 # a point's sketch has 2**11 parity bits; that of a larger set as many as n-grams, rounded up to a power of two
 
 
 def ngram_sets(text: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -100,15 +100,22 @@ def frequency_levels(docs: DataFrame, k: int) -> np.ndarray:
     return levels
 
 
+def _digests(keys: np.ndarray, docs: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes of the n-gram sets and two hashes of each, the same in any order."""
+    sizes = np.bincount(docs, minlength=texts).astype(np.int64)
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    one = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(keys), dtype=np.uint64)))
+    two = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(keys ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)))
+    return sizes, signed(one[ends[1:]] - one[ends[:-1]]), signed(two[ends[1:]] - two[ends[:-1]])
+
+
 def _points(k: int, percent: int, shared):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = shared.value
         for batch in batches:
             for at, to, text in pieces(batch, "text", lower=True):
                 keys, docs = ngram_sets(text, k)
-                sizes = np.bincount(docs, minlength=text.texts)
-                one = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(keys), dtype=np.uint64)))
-                two = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(keys ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)))
+                sizes, d1, d2 = _digests(keys, docs, text.texts)
                 ends = np.concatenate(([0], np.cumsum(sizes)))
                 level = levels[(keys >> np.uint64(64 - LEVEL_BITS)).astype(np.int64)]
                 # rare first, by hash within a level: a stable sort by level of what is in hash order
@@ -118,32 +125,33 @@ def _points(k: int, percent: int, shared):
                 turn = np.arange(len(keys)) - ends[docs]
                 pick = ranked[turn < short[docs]]
                 offsets = np.concatenate(([0], np.cumsum(short))).astype(np.int32)
-                bit = docs * (1 << SKETCH_BITS) + (keys & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
-                odd = np.bincount(bit, minlength=text.texts << SKETCH_BITS) & 1
+                width = np.int64(1) << np.maximum(SKETCH_BITS, np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
+                until = np.concatenate(([0], np.cumsum(width)))
+                bit = until[docs] + (keys & (width - 1).astype(np.uint64)[docs]).astype(np.int64)
+                odd = np.bincount(bit, minlength=until[-1]) & 1
                 sketch = np.packbits(odd.astype(np.uint8)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(at, to - at), pa.array(sizes.astype(np.int64)),
-                     pa.array(signed(one[ends[1:]] - one[ends[:-1]])), pa.array(signed(two[ends[1:]] - two[ends[:-1]])),
+                    [batch.column("doc_id").slice(at, to - at), pa.array(sizes), pa.array(d1), pa.array(d2),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(pick))),
-                     pa.ListArray.from_arrays(pa.array(np.arange(text.texts + 1, dtype=np.int32) << (SKETCH_BITS - 6)), pa.array(sketch))],
+                     pa.ListArray.from_arrays(pa.array((until >> 6).astype(np.int32)), pa.array(sketch))],
                     ["doc_id", "n_shingles", "d1", "d2", "pivots", "sketch"])
     return make
 
 
 def _set_rows(k: int, shared):
-    """n-gram sets of the texts whose doc_id the bitmap lets through."""
+    """n-gram sets of the texts whose doc_id and d1 the bitmap lets through."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
             some = batch.filter(pa.array(let_through(bits, batch.column("doc_id").to_numpy())))
             for at, to, text in pieces(some, "text", lower=True):
                 keys, docs = ngram_sets(text, k)
-                ends = np.concatenate(([0], np.cumsum(np.bincount(docs, minlength=text.texts))))
-                one = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(keys), dtype=np.uint64)))
-                yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id").slice(at, to - at), pa.array(signed(one[ends[1:]] - one[ends[:-1]])),
-                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(signed(keys)))],
-                    ["id", "d1", "keys"])
+                sizes, d1, d2 = _digests(keys, docs, text.texts)
+                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                rows = pa.RecordBatch.from_arrays(
+                    [pa.array(sizes), pa.array(d1), pa.array(d2), pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(keys)))],
+                    ["n", "d1", "d2", "keys"])
+                yield rows.filter(pa.array(let_through(bits, d1)))
     return make
 
 
@@ -190,6 +198,23 @@ def _paired(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return classes.select("doc", "sketch", "d1", "id").mapInArrow(_in_pairs(held), "doc bigint, sketch array<bigint>, d1 bigint, id bigint")
 
 
+def _apart(one: str, two: str) -> Column:
+    """Bits in which two sketches differ, at least; the longer one is folded to the other's length.
+
+    A longer sketch's halves, one laid on the other, are the sketch of half the length.
+    """
+    def differ(a, b):
+        return F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y))
+
+    def folded(a, size):
+        return differ(F.slice(a, 1, size), F.slice(a, size + 1, size))
+
+    n, m = F.size(one), F.size(two)
+    bits = F.when(n == m, differ(F.col(one), F.col(two))).when(n == 2 * m, differ(folded(F.col(one), m), F.col(two))).when(
+        m == 2 * n, differ(F.col(one), folded(F.col(two), n)))  # further apart in size: nothing is known
+    return F.coalesce(F.aggregate(bits, F.lit(0), lambda x, y: x + F.bit_count(y)), F.lit(0))
+
+
 def _measure(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Exact intersection sizes of those pairs (doc, n, pivot, pivot_n) that can be similar enough.
 
@@ -201,18 +226,17 @@ def _measure(pairs: DataFrame, classes: DataFrame, texts: DataFrame, k: int, per
     classes = _paired(pairs, classes)
     own = classes.select("doc", "sketch", "d1", "id")
     other = classes.select(F.col("doc").alias("pivot"), F.col("sketch").alias("pivot_sketch"), F.col("d1").alias("pivot_d1"), F.col("id").alias("pivot_id"))
-    apart = F.aggregate(F.zip_with("sketch", "pivot_sketch", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda x, y: x + y)
     asked = (pairs.join(own, "doc").join(other, "pivot")
-             .filter(apart * (100 + percent) <= (F.col("n") + F.col("pivot_n")) * (100 - percent)))
+             .filter(_apart("sketch", "pivot_sketch") * (100 + percent) <= (F.col("n") + F.col("pivot_n")) * (100 - percent)))
     asked = materialize(asked.select("doc", "n", "d1", "id", "pivot", "pivot_n", "pivot_d1", "pivot_id"), "asked")
-    ids = asked.select(F.explode(F.array("id", "pivot_id")).alias("key"))
-    shared = spark.sparkContext.broadcast(bitmap(ids))  # 4 MB
-    sets = texts.filter("doc_id IS NOT NULL").mapInArrow(_set_rows(k, shared), "id bigint, d1 bigint, keys array<bigint>")
-    wanted = asked.select("doc", "id", "d1").unionByName(
-        asked.select(F.col("pivot").alias("doc"), F.col("pivot_id").alias("id"), F.col("pivot_d1").alias("d1"))).distinct()
-    sets = materialize(sets.join(wanted, ["id", "d1"]).select("doc", "keys").dropDuplicates(["doc"]), "sets")
+    wanted = asked.select(F.explode(F.array("id", "d1", "pivot_id", "pivot_d1")).alias("key"))
+    shared = spark.sparkContext.broadcast(bitmap(wanted))  # 4 MB
+    sets = texts.filter("doc_id IS NOT NULL").mapInArrow(_set_rows(k, shared), "n bigint, d1 bigint, d2 bigint, keys array<bigint>")
+    # sets are long: they go by point once, for both joins, and one side of a pair a second time
+    sets = sets.select(F.xxhash64("n", "d1", "d2").alias("doc"), "keys").dropDuplicates(["doc"])
     right = sets.select(F.col("doc").alias("pivot"), F.col("keys").alias("pivot_keys"))
-    return asked.join(sets.select("doc", "keys"), "doc").join(right, "pivot").select(
+    asked = asked.select("doc", "n", "pivot", "pivot_n")
+    return asked.join(sets, "doc").join(right, "pivot").select(
         "doc", "pivot", "n", "pivot_n", F.size(F.array_intersect("keys", "pivot_keys")).cast("bigint").alias("both"))
 
 
