@@ -41,6 +41,55 @@ def test_token_ids_of_awkward_texts(ids):
     assert [o.tolist() for o in out] == [ids(t) for t in texts]
 
 
+def test_a_worker_keeps_only_units_that_come_again(ids, monkeypatch):
+    import pyarrow as pa
+
+    model, learnt = tokens.encoder(tokens.default_path()), []
+    model.forget()
+    learn = model._learn
+    monkeypatch.setattr(model, "_learn", lambda keys, *rest: (learnt.append(len(keys)), learn(keys, *rest)))
+    texts = [" ".join(["the", *(f"x{text * 1000 + i:x} the\n" for i in range(1000))]) for text in range(320)]
+    for at in range(0, len(texts), 40):
+        out = tokens.token_ids(pa.RecordBatch.from_arrays([pa.array(texts[at:at + 40])], ["text"]), "text", tokens.default_path())
+        assert out[-1].tolist() == ids(texts[at + 39])
+    assert len(model.keys) < 260_000  # 320,000 words that come once
+    assert 320_000 < sum(learnt) < 320_010  # and those that came again were never learnt anew
+    held = model.keys, model.place, model.starts, model.pool, model.uses
+    assert len({len(model.keys), len(model.place), len(model.uses), len(model.starts) - 1}) == 1 and sum(x.nbytes for x in held) < 16 << 20
+    monkeypatch.setattr(tokens, "KNOWN", 100)  # also when nearly all come again
+    for _ in range(3):
+        out = tokens.token_ids(pa.RecordBatch.from_arrays([pa.array(texts[:2] * 2)], ["text"]), "text", tokens.default_path())
+        assert [o.tolist() for o in out] == [ids(t) for t in texts[:2] * 2]
+    model.forget()
+
+
+def test_a_worker_gives_freed_memory_back():
+    import os
+    import subprocess
+    import sys
+
+    if not os.path.exists("/proc/self/smaps_rollup"):
+        pytest.skip("needs Linux's account of memory")
+    code = """
+import re
+import pyarrow as pa
+from tillwatch.llm import tokens
+def used():
+    return int(re.search(r"Pss_Anon:\\s+([0-9]+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+def encode(first, words):
+    texts = [" ".join(f"x{text * 1000 + i:x}" for i in range(1000)) for text in range(first, first + words // 1000)]
+    tokens.token_ids(pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]), "text", tokens.default_path())
+encode(0, 1000)
+before = used()
+for at in range(4):
+    encode(1 + 100 * at, 100_000)
+print(used() - before)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True, check=True)
+    assert float(out.stdout) < 30, out.stdout  # MB
+
+
 def test_files_give_every_document_back(spark, docs, ids):
     files = token_files.write(docs)
     out = files.read(token_files.keys_of(docs)).collect()

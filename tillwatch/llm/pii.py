@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .job import narrow, ship
-from .words import LOWER, SPACE, Words, pieces, utf8
+from .words import LOWER, SPACE, Words, pieces, release, utf8
 
 KINDS = ("email", "ip", "card", "phone")  # also the order of spans with one start
 LONGEST = 6       # words of a segment, at most
@@ -431,6 +431,7 @@ def _find(shared):
                 text = batch.column("text")[int(i)].as_py()
                 base[i], every[i] = ([{"kind": k, "start": s, "end": e} for s, e, k in x] for x in all_spans(text, model))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(base, SPANS), pa.array(every, SPANS)], ["doc_id", "base", "spans"])
+            release()
     return find
 
 
@@ -473,5 +474,6 @@ def redact(docs: DataFrame, model: SemiMarkov) -> DataFrame:
                 texts[i] = text
             columns = [pa.array(texts, batch.schema.field(place).type) if c == place else batch.column(c) for c in range(batch.num_columns)]
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+            release()
 
     return docs.mapInArrow(cover, docs.schema)

@@ -4,7 +4,7 @@ The vocabulary's split pattern never lets a token cross the place before a word
 (a blank directly before it goes with the word).  A text is therefore a row of
 units: words with or without their blank, and what other white space lies
 between.  Each distinct unit is encoded once by the ``tokenizers`` library and
-remembered by its hash; texts are put together from the units' ids with array
+remembered by its hash while it comes again; texts are put together from the units' ids with array
 operations.  Texts with rarer white space than ASCII's, or with an added token of
 the vocabulary such as ``<|endoftext|>``, go through the library whole: their ids
 are those of ``encode(text, add_special_tokens=False)`` with the library's defaults.
@@ -21,7 +21,8 @@ import pyarrow as pa
 from .words import SPACE, Words, mix, pieces
 
 END = 2            # the id that ends every document
-KNOWN = 2_000_000  # remembered units of one worker; beyond it the memory starts anew
+KNOWN = 200_000    # remembered units of one worker; beyond it those that came once are forgotten
+PART = 1 << 18     # bytes of texts encoded at once, about
 CHUNK = 4_000      # units encoded by one call
 
 _encoders: dict[str, "Encoder"] = {}
@@ -55,6 +56,18 @@ class Encoder:
         self.place = np.zeros(0, np.int64)
         self.starts = np.zeros(1, np.int64)
         self.pool = np.zeros(0, np.uint32)
+        self.uses = np.zeros(0, np.int32)  # by place: parts that held the unit since the last tidying
+
+    def _tidy(self) -> None:
+        """Keep the units that came again; all go if these are too many themselves."""
+        again = np.flatnonzero(self.uses[self.place] > 1)
+        if 2 * len(again) > KNOWN:
+            return self.forget()
+        place = self.place[again]
+        self.pool, counts = _gather(self.pool, self.starts[place], self.starts[place + 1])
+        self.keys, self.place = self.keys[again], np.arange(len(again))
+        self.starts = np.concatenate(([0], np.cumsum(counts)))
+        self.uses = np.zeros(len(again), np.int32)
 
     def _plain(self, text: str) -> np.ndarray:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -93,6 +106,7 @@ class Encoder:
         place = len(self.starts) - 1 + np.arange(len(made))
         self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(made)))
         self.pool = np.concatenate((self.pool, *ids))
+        self.uses = np.concatenate((self.uses, np.zeros(len(made), np.int32)))
         fresh = keys[np.concatenate(order)]
         keys, place = np.concatenate((self.keys, fresh)), np.concatenate((self.place, place))
         by = np.argsort(keys, kind="stable")
@@ -102,7 +116,7 @@ class Encoder:
         """Ids of all texts in a row, and where each text's begin."""
         n, texts = len(text.start), text.texts
         if len(self.keys) > KNOWN:
-            self.forget()
+            self._tidy()
         # one row for each word and one for each text's tail; up to three units a row
         rows = n + texts
         row = np.arange(n) + text.doc
@@ -139,7 +153,9 @@ class Encoder:
             new = first[~known]
             self._learn(unique[~known], kind[new], text, start[new], end[new])
             at = np.searchsorted(self.keys, unique)
-        place = self.place[at][inverse]
+        place = self.place[at]
+        self.uses[place] += 1
+        place = place[inverse]
         ids, counts = _gather(self.pool, self.starts[place], self.starts[place + 1])
         sizes = np.bincount(doc, counts, texts).astype(np.int64)
         return ids, np.concatenate(([0], np.cumsum(sizes)))
@@ -181,7 +197,7 @@ def token_ids(batch: pa.RecordBatch, column: str, path: str) -> list[np.ndarray]
     """The ids of every whole text of a batch, each with the end id after it."""
     out: list[np.ndarray] = []
     model = encoder(path)
-    for _, _, text in pieces(batch, column):
+    for _, _, text in pieces(batch, column, size=PART):
         ids, at = model.encode(text)
         odd = {*_odd(text).tolist(), *_with_added(text, model.added).tolist()}
         for i in range(text.texts):

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import materialize
 from .bitmap import bitmap, let_through
 from .job import narrow, ship
-from .words import LOWER, Words, mix, utf8
+from .words import LOWER, Words, mix, release, utf8
 
 CONTEXTS = 4          # different contexts in toxic texts that evidence needs
 WEIGHT = 2.5          # least log ratio of evidence
@@ -287,6 +287,7 @@ def _evidence(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, n
         keys, rows, word = text.evidence()
         before = np.concatenate((np.zeros(1, np.uint64), text.hashes()[:-1])) if len(text.start) else np.zeros(0, np.uint64)
         yield keys, at + rows, before[word]
+    release()
 
 
 def _marked(shared):
@@ -453,6 +454,7 @@ def _scorer(shared, column: str):
             data, offsets = _restored(*utf8(batch.column(column)), restorer)
             scores = pa.array(model.score(data, offsets))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores], ["doc_id", "score"])
+            release()
     return score
 
 

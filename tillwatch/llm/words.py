@@ -8,6 +8,8 @@ not the batch.
 
 from __future__ import annotations
 
+import ctypes
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +26,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 _powers: dict[str, np.ndarray] = {}
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None  # glibc
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,16 +115,23 @@ def grams(hashes: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return out[at], at
 
 
-def pieces(batch: pa.RecordBatch, column: str, lower: bool = False) -> Iterator[tuple[int, int, Words]]:
-    """Row ranges of a batch with their words."""
+def release() -> None:
+    """Give freed memory back to the system: a worker outlives its task and shares an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def pieces(batch: pa.RecordBatch, column: str, lower: bool = False, size: int = PIECE) -> Iterator[tuple[int, int, Words]]:
+    """Row ranges of a batch, about ``size`` bytes each, with their words."""
     data, offsets = utf8(batch.column(column))
     at = 0
     while at < len(offsets) - 1:
-        to = max(at + 1, min(at + TEXTS, int(np.searchsorted(offsets, offsets[at] + PIECE, "right")) - 1))
+        to = max(at + 1, min(at + TEXTS, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1))
         part = offsets[at:to + 1]
         yield at, to, Words(data[part[0]:part[-1]], part - part[0], lower)
         at = to
-    pa.default_memory_pool().release_unused()  # a worker outlives its task
+    release()
 
 
 def signed(values: np.ndarray) -> np.ndarray:
