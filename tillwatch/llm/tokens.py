@@ -21,8 +21,7 @@ import pyarrow as pa
 from .words import SPACE, Words, mix, pieces
 
 END = 2            # the id that ends every document
-KNOWN = 200_000    # remembered units of one worker; beyond it those that came once are forgotten
-PART = 1 << 18     # bytes of texts encoded at once, about
+KNOWN = 2_000_000  # remembered units of one worker; beyond it those that came once are forgotten
 CHUNK = 4_000      # units encoded by one call
 
 _encoders: dict[str, "Encoder"] = {}
@@ -56,7 +55,7 @@ class Encoder:
         self.place = np.zeros(0, np.int64)
         self.starts = np.zeros(1, np.int64)
         self.pool = np.zeros(0, np.uint32)
-        self.uses = np.zeros(0, np.int32)  # by place: parts that held the unit since the last tidying
+        self.uses = np.zeros(0, np.int32)  # by place: pieces that held the unit since the last tidying
 
     def _tidy(self) -> None:
         """Keep the units that came again; all go if these are too many themselves."""
@@ -197,7 +196,7 @@ def token_ids(batch: pa.RecordBatch, column: str, path: str) -> list[np.ndarray]
     """The ids of every whole text of a batch, each with the end id after it."""
     out: list[np.ndarray] = []
     model = encoder(path)
-    for _, _, text in pieces(batch, column, size=PART):
+    for _, _, text in pieces(batch, column):
         ids, at = model.encode(text)
         odd = {*_odd(text).tolist(), *_with_added(text, model.added).tolist()}
         for i in range(text.texts):
