@@ -64,6 +64,43 @@ def test_a_worker_keeps_only_units_that_come_again(ids, monkeypatch):
     model.forget()
 
 
+def test_a_worker_needs_little_memory_besides_its_units(ids):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    model = tokens.encoder(tokens.default_path())
+    model.forget()
+
+    def encode(first, words):
+        texts = [" ".join(f"x{text * 1000 + i:x}" for i in range(1000)) for text in range(first, first + words // 1000)]
+        return texts[-1], tokens.token_ids(pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]), "text", tokens.default_path())[-1]
+
+    for at in range(4):
+        encode(100 * at, 100_000)
+    assert sum(x.nbytes for x in (model.keys, model.place, model.starts, model.pool, model.uses)) < 32 * len(model.keys)
+    tracemalloc.start()
+    text, got = encode(400, 150_000)  # 1.1 MB
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert got.tolist() == ids(text) and peak < 55, peak  # MB, new units among them
+    model.forget()
+
+
+def test_a_worker_forgets_long_units_too(ids, monkeypatch):
+    import pyarrow as pa
+
+    model = tokens.encoder(tokens.default_path())
+    model.forget()
+    monkeypatch.setattr(tokens, "IDS", 20_000)  # few units, each of many ids
+    for at in range(40):
+        texts = [f"the {'qxz%d' % at * 500} the"] * (1 + at % 2)
+        out = tokens.token_ids(pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]), "text", tokens.default_path())
+        assert [o.tolist() for o in out] == [ids(t) for t in texts]
+    assert len(model.keys) < 40 and len(model.pool) < 25_000
+    model.forget()
+
+
 def test_a_worker_gives_freed_memory_back():
     import os
     import subprocess

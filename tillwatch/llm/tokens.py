@@ -22,6 +22,8 @@ from .words import SPACE, Words, mix, pieces
 
 END = 2            # the id that ends every document
 KNOWN = 2_000_000  # remembered units of one worker; beyond it those that came once are forgotten
+IDS = 16_000_000   # their ids, which long units can make many; the same holds beyond it
+PART = 1 << 19     # bytes of texts put together at once, about
 CHUNK = 4_000      # units encoded by one call
 
 _encoders: dict[str, "Encoder"] = {}
@@ -52,24 +54,28 @@ class Encoder:
 
     def forget(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.place = np.zeros(0, np.int64)
-        self.starts = np.zeros(1, np.int64)
-        self.pool = np.zeros(0, np.uint32)
-        self.uses = np.zeros(0, np.int32)  # by place: pieces that held the unit since the last tidying
+        self.place = np.zeros(0, np.int32)
+        self.starts = np.zeros(1, np.uint32)
+        self.pool = np.zeros(0, np.dtype(f"u{self.width}"))
+        self.uses = np.zeros(0, np.uint8)  # by place: parts that held the unit since the last tidying, 2 for more
 
     def _tidy(self) -> None:
         """Keep the units that came again; all go if these are too many themselves."""
         again = np.flatnonzero(self.uses[self.place] > 1)
-        if 2 * len(again) > KNOWN:
+        start, end = self._span(self.place[again])
+        if 2 * len(again) > KNOWN or 2 * (end - start).sum() > IDS:
             return self.forget()
-        place = self.place[again]
-        self.pool, counts = _gather(self.pool, self.starts[place], self.starts[place + 1])
-        self.keys, self.place = self.keys[again], np.arange(len(again))
-        self.starts = np.concatenate(([0], np.cumsum(counts)))
-        self.uses = np.zeros(len(again), np.int32)
+        self.pool, counts = _gather(self.pool, start, end)
+        self.keys, self.place = self.keys[again], np.arange(len(again), dtype=np.int32)
+        self.starts = np.concatenate(([0], np.cumsum(counts))).astype(np.uint32)
+        self.uses = np.zeros(len(again), np.uint8)
+
+    def _span(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of units lie in the pool."""
+        return self.starts[place].astype(np.int64), self.starts[place + 1].astype(np.int64)
 
     def _plain(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode(text, add_special_tokens=False).ids, np.uint32)
+        return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)  # fast: without places
 
     def _joined(self, units: list[bytes], lead: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the units one after another and how many each has."""
@@ -102,20 +108,20 @@ class Encoder:
             counts.append(np.array([len(got)]))
             order.append(np.array([i]))
         made = np.concatenate(counts)
-        place = len(self.starts) - 1 + np.arange(len(made))
-        self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(made)))
-        self.pool = np.concatenate((self.pool, *ids))
-        self.uses = np.concatenate((self.uses, np.zeros(len(made), np.int32)))
+        place = np.arange(len(made), dtype=np.int32) + np.int32(len(self.starts) - 1)
+        self.starts = np.concatenate((self.starts, (int(self.starts[-1]) + np.cumsum(made)).astype(np.uint32)))
+        self.pool = np.concatenate((self.pool, *(x.astype(self.pool.dtype) for x in ids)))
+        self.uses = np.concatenate((self.uses, np.zeros(len(made), np.uint8)))
         fresh = keys[np.concatenate(order)]
-        keys, place = np.concatenate((self.keys, fresh)), np.concatenate((self.place, place))
-        by = np.argsort(keys, kind="stable")
-        self.keys, self.place = keys[by], place[by]
-
-    def encode(self, text: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and where each text's begin."""
+        by = np.argsort(fresh)
+        at = np.searchsorted(self.keys, fresh[by])  # the known ones are not sorted again, and grow one array at a time
+        self.keys = np.insert(self.keys, at, fresh[by])
+        self.place = np.insert(self.place, at, place[by])
+
+    @staticmethod
+    def _units(text: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end, kind (see _learn) and text of all units."""
         n, texts = len(text.start), text.texts
-        if len(self.keys) > KNOWN:
-            self._tidy()
         # one row for each word and one for each text's tail; up to three units a row
         rows = n + texts
         row = np.arange(n) + text.doc
@@ -141,8 +147,13 @@ class Encoder:
         doc = np.zeros(rows, np.int64)
         doc[row], doc[tail] = text.doc, np.arange(texts)
         used = (end > start).ravel()
-        start, end, kind = start.ravel()[used], end.ravel()[used], kind.ravel()[used]
-        doc = np.repeat(doc, 3)[used]
+        return start.ravel()[used], end.ravel()[used], kind.ravel()[used], np.repeat(doc, 3)[used]
+
+    def encode(self, text: Words) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text's begin."""
+        if len(self.keys) > KNOWN or len(self.pool) > IDS:
+            self._tidy()
+        start, end, kind, doc = self._units(text)
         keys = mix(text.range_hash(start, end) + kind.astype(np.uint64))
         unique, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
         at = np.searchsorted(self.keys, unique)
@@ -153,10 +164,9 @@ class Encoder:
             self._learn(unique[~known], kind[new], text, start[new], end[new])
             at = np.searchsorted(self.keys, unique)
         place = self.place[at]
-        self.uses[place] += 1
-        place = place[inverse]
-        ids, counts = _gather(self.pool, self.starts[place], self.starts[place + 1])
-        sizes = np.bincount(doc, counts, texts).astype(np.int64)
+        self.uses[place] = np.minimum(self.uses[place] + 1, 2)
+        ids, counts = _gather(self.pool, *self._span(place[inverse]))
+        sizes = np.bincount(doc, counts, text.texts).astype(np.int64)
         return ids, np.concatenate(([0], np.cumsum(sizes)))
 
 
@@ -196,7 +206,7 @@ def token_ids(batch: pa.RecordBatch, column: str, path: str) -> list[np.ndarray]
     """The ids of every whole text of a batch, each with the end id after it."""
     out: list[np.ndarray] = []
     model = encoder(path)
-    for _, _, text in pieces(batch, column):
+    for _, _, text in pieces(batch, column, size=PART):
         ids, at = model.encode(text)
         odd = {*_odd(text).tolist(), *_with_added(text, model.added).tolist()}
         for i in range(text.texts):
