@@ -260,6 +260,17 @@ def test_language_model_of_a_pair_many_times(spark):
     assert (abs(trie.count(np.arange(5, dtype=np.uint64)) / counts - 1) < 0.04).all()
 
 
+def test_language_model_works_out_only_the_counts_asked_for(monkeypatch):
+    counts = np.append(np.arange(1, 50_000), [26_000_000, 4_000_000_000])
+    trie, worked, values = lm.Trie(lm.Trie.build(np.arange(len(counts), dtype=np.uint64) << np.uint64(31), counts)), [], lm._values
+    monkeypatch.setattr(lm, "_values", lambda steps: (worked.append(len(steps)), values(steps))[1])
+    asked = np.array([3, 70, 40_000, 49_999, 50_000, 60_000], np.uint64) << np.uint64(31)
+    for _ in range(10):  # each batch of texts asks its shards
+        got = trie.count(asked)
+        assert (abs(got[:5] / counts[[3, 70, 40_000, 49_999, 50_000]] - 1) < 0.04).all() and got[3] != got[4] and got[5] == 0
+    assert sum(worked) <= 10 * len(asked)
+
+
 def test_language_model_without_training(spark, docs):
     out = lm.score(docs, F.lit(False), F.lit(True)).collect()
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["base_score"] == 0.0 and r["held_out"] for r in out)

@@ -282,9 +282,15 @@ class Trie:
         at = np.searchsorted(self.successors, wanted)
         inside = known & (at < self.pointers[rank + 1].astype(np.int64))
         at = np.where(inside, at, 0)
-        values = _values(self.steps)
-        values[self.large] = self.large_counts
-        return np.where(inside & (self.successors[at] == wanted), values[at], 0.0)
+        return np.where(inside & (self.successors[at] == wanted), self._at(at), 0.0)
+
+    def _at(self, places: np.ndarray) -> np.ndarray:
+        """Counts at the places asked for; every batch of texts asks, so the whole level is never worked out."""
+        steps = self.steps[places]
+        values = _values(steps)
+        listed = np.flatnonzero(steps == 255)
+        values[listed] = self.large_counts[np.searchsorted(self.large, places[listed])]
+        return values
 
 
 def _steps(counts: np.ndarray) -> np.ndarray:
